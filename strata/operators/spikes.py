@@ -28,13 +28,14 @@ def readings(df: DataFrame, *, row_id: Column, source: Column, code: Column, ent
 
 def _tail(edges: np.ndarray, n: np.ndarray, risk: float) -> float:
     """The value exceeded at `risk`, by peaks over threshold: a generalised Pareto law is fitted
-    to what lies above the 90 % quantile. The likelihood is censored above the 98 % quantile (a
-    peak there counts only as "beyond"), so that spikes, fewer than 2 %, cannot bend the fit. A
-    weak prior keeps the shape near -0.1 where there are few peaks. edges: values, ascending."""
+    to what lies above the 80 % quantile. The likelihood is censored above the 95 % quantile and
+    at the last two values at least (a peak there counts only as "beyond"), so that spikes cannot
+    bend the fit. A weak prior keeps the shape near -0.1 where there are few peaks. edges:
+    values, ascending; n: how often each occurs."""
     total = n.sum()
     cum = np.cumsum(n)
-    u = edges[np.searchsorted(cum, 0.90 * total)]
-    cap = edges[min(np.searchsorted(cum, 0.98 * total), len(edges) - 1)]
+    at = lambda k: edges[min(np.searchsorted(cum, max(k, 1)), len(edges) - 1)]
+    u, cap = at(0.80 * total), at(min(0.95 * total, total - 2))
     over = edges > u
     k = n[over].sum()
     if k == 0 or cap <= u:
@@ -76,7 +77,8 @@ def spike_borders(r: DataFrame, *, risk: float = 0.005, hole: float = 1.5) -> Da
     are spikes.
 
     1. Exact median per source and code; approximate median of log value per source, code and
-       load month: what lies off the latter is the seasonal residual.
+       month, drawn towards the former as if it held twenty readings more: what lies off it is
+       the seasonal residual.
     2. Both distances, |log ratio| and |residual|, are counted in a two-dimensional histogram per
        source and code, with cells of 1/50 on a log scale that keep their exact least and greatest
        values: a few thousand cells at most, whatever the number of readings.
@@ -89,11 +91,12 @@ def spike_borders(r: DataFrame, *, risk: float = 0.005, hole: float = 1.5) -> Da
     med = weighted_quantile(r.withColumn("w", F.lit(1)), ["source", "code"], "v", "w", 0.5, "median")
     month = F.date_trunc("month", F.timestamp_micros("at"))
     logs = r.filter(pos).withColumn("season", F.coalesce(month, F.lit("1900-01-01").cast("timestamp")))
-    season = logs.groupBy("source", "code", "season").agg(F.percentile_approx(F.log("v"), 0.5, 500).alias("level"))
+    season = logs.groupBy("source", "code", "season").agg(F.percentile_approx(F.log("v"), 0.5, 500).alias("mid"), F.count("*").alias("c"))
     med, season = bounded(written(med, "median")), bounded(written(season, "season"))
     far = (
         logs.join(med, ["source", "code"]).join(season, ["source", "code", "season"])
         .filter("median > 0")
+        .withColumn("level", (F.col("mid") * F.col("c") + F.log("median") * 20) / (F.col("c") + 20))
         .select("source", "code", F.abs(F.log(F.col("v") / F.col("median"))).alias("d"), F.abs(F.log("v") - F.col("level")).alias("e"))
     )
     cell = lambda c: F.floor(F.log(F.greatest(F.col(c), F.lit(1e-9))) * CELLS)
