@@ -3,14 +3,48 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from strata.llm.mixing import mixture, mixture_report
+from strata.llm.packing import pack, packing_report
 from strata.llm.spans import expand, shared_share, shared_spans
+from strata.llm.tokens import with_token_counts
+from strata.session import written
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def p8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every decision in containers of each kind."""
+    counts = with_token_counts(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("doc"), "text"))
+    kinds = table(spark, sf_dir, "pack_capacity").select(F.col("container_kind").alias("kind"), F.col("capacity_tokens").alias("capacity"))
+    return pack(counts, kinds)
+
+
+def p8_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Containers against the lower bound, and the space used."""
+    return packing_report(written(p8_pack(spark, sf_dir), "packed"))
+
+
+def _targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "mix_target").select("source", F.col("target_weight").alias("weight"), F.col("max_repeats").alias("repeats"))
+
+
+def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each decision is used, and for which source."""
+    docs = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("doc"), "source", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(7), F.col("text")).alias("h2"), F.length("text").alias("chars"), "text"
+    )
+    return mixture(with_token_counts(docs), _targets(spark, sf_dir))
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shares really reached."""
+    return mixture_report(written(p9_mix(spark, sf_dir), "mixed"), _targets(spark, sf_dir))
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = shared_spans(table(spark, sf_dir, "documents"))
     return expand(got["pairs"], got["members"]).toDF("doc_id_a", "doc_id_b")
@@ -21,5 +55,5 @@ def p10_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shared_share(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p10_found, p10_share)}
+QUERIES = {f.__name__: f for f in (p8_pack, p8_report, p9_mix, p9_shares, p10_found, p10_share)}
 SQL: dict[str, str] = {}
