@@ -27,11 +27,6 @@ def date_key(c: Column) -> Column:
     return F.date_format(c, "yyyyMMdd").cast("int")
 
 
-def exact_mean(c: Column, scale: int = 6) -> Column:
-    """Mean of a double through exact decimal sums, so that it does not depend on row order."""
-    return F.round(F.sum(c.cast("decimal(28,4)")).cast("double") / F.count(c), scale)
-
-
 def silver_patient(spark: SparkSession, d: str) -> DataFrame:
     """One pseudonymised row per patient: the latest delivery."""
     raw = table(spark, d, "patient")
@@ -138,7 +133,7 @@ def patient_360(spark: SparkSession, d: str) -> DataFrame:
     visits, results = fact_encounter(spark, d), fact_lab(spark, d)
     v = visits.groupBy("patient_key").agg(
         F.count("*").alias("encounter_count"), F.count_if(F.col("care_setting_key") == "inpatient").alias("inpatient_count"), F.count_if(F.col("care_setting_key") == "emergency").alias("ed_count"),
-        F.round(F.sum("los_s") / F.count("*") / 86400, 6).alias("avg_los_days"), F.min("admit_ts").alias("first_admit"), F.max("admit_ts").alias("last_admit"),
+        (F.sum("los_s") / F.count("*") / 86400).alias("avg_los_days"), F.min("admit_ts").alias("first_admit"), F.max("admit_ts").alias("last_admit"),
     )
     r = results.groupBy("patient_key").agg(F.count("*").alias("lab_count"), F.count_distinct("lab_test_key").alias("distinct_tests"))
     out = dim_patient(spark, d).join(v, "patient_key", "left").join(r, "patient_key", "left")
@@ -148,7 +143,7 @@ def patient_360(spark: SparkSession, d: str) -> DataFrame:
 def utilization(spark: SparkSession, d: str, k: int = 11) -> DataFrame:
     who = dim_patient(spark, d).select("patient_key", "age_band", "sex")
     cells = fact_encounter(spark, d).select("patient_key", "care_setting_key", "los_s").join(who, "patient_key").groupBy("age_band", "sex", "care_setting_key").agg(
-        F.count("*").alias("n"), F.round(F.sum("los_s") / F.count("*") / 86400, 6).alias("avg_los_days")
+        F.count("*").alias("n"), (F.sum("los_s") / F.count("*") / 86400).alias("avg_los_days")
     )
     return rel.suppress_small_cells(cells, "n", k, ["avg_los_days"])
 
@@ -178,9 +173,9 @@ def ft_lab_trend_180d(spark: SparkSession, d: str) -> DataFrame:
     v = F.col("value_num").cast("decimal(18,4)")
     out = rel.trailing(
         fact_lab(spark, d).filter("resulted_ts is not null"), "patient_key", "resulted_ts", 180 * 86_400,
-        {"labs_180d": F.count("*"), "tests_180d": F.size(F.collect_set("lab_test_key")), "_s": F.sum(v), "_n": F.count(v)}, include_now=True,
+        {"labs_180d": F.count("*"), "_tests": F.collect_set("lab_test_key"), "_s": F.sum(v), "_n": F.count(v)}, include_now=True,
     )
-    return out.select("patient_key", "lab_result_key", "labs_180d", F.col("tests_180d").cast("long").alias("tests_180d"), F.round(F.col("_s").cast("double") / F.col("_n"), 6).alias("mean_value_180d"))
+    return out.select("patient_key", "lab_result_key", "labs_180d", F.size("_tests").cast("long").alias("tests_180d"), (F.col("_s").cast("double") / F.col("_n")).alias("mean_value_180d"))
 
 
 def ft_latest_score(spark: SparkSession, d: str) -> DataFrame:

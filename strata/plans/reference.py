@@ -221,7 +221,7 @@ def metric_readmission_30d(spark, d):
 @query
 def metric_avg_los(spark, d):
     _views(spark, d, gold_encounter=L.fact_encounter)
-    return spark.sql("select round(sum(los_s) / count(*) / 86400, 6) avg_los_days, count(*) encounters from gold_encounter where care_setting_key = 'inpatient'")
+    return spark.sql("select sum(los_s) / count(*) / 86400 avg_los_days, count(*) encounters from gold_encounter where care_setting_key = 'inpatient'")
 
 
 @query
@@ -240,7 +240,7 @@ def metric_response_rate(spark, d):
 def metric_mean_change(spark, d):
     _views(spark, d, gold_trajectory=L.trajectory)
     return spark.sql(
-        "select instrument_key, round(cast(sum(cast(change as decimal(18,4))) as double) / count(*), 6) mean_change, count_if(changed_markedly) marked, count(*) rows_n "
+        "select instrument_key, cast(sum(cast(change as decimal(18,4))) as double) / count(*) mean_change, count_if(changed_markedly) marked, count(*) rows_n "
         "from gold_trajectory where wave <> 'baseline' and change is not null group by instrument_key"
     )
 
@@ -264,7 +264,7 @@ def dash_readmission(spark, d):
 def dash_scores(spark, d):
     _views(spark, d, gold_trajectory=L.trajectory)
     return spark.sql(
-        "select instrument_key, wave, count(*) n_responses, round(cast(sum(cast(total_score as decimal(18,4))) as double) / count(*), 6) mean_score from gold_trajectory group by instrument_key, wave having count(*) >= 11 order by 1, 2"
+        "select instrument_key, wave, count(*) n_responses, cast(sum(cast(total_score as decimal(18,4))) as double) / count(*) mean_score from gold_trajectory group by instrument_key, wave having count(*) >= 11 order by 1, 2"
     )
 
 

@@ -89,14 +89,14 @@ trajectory as (
 
 MARTS = """
 v360 as (select patient_key, count(*) encounter_count, count(*) filter (care_setting_key = 'inpatient') inpatient_count, count(*) filter (care_setting_key = 'emergency') ed_count,
-  round(sum(los_s) / count(*) / 86400, 6)::double avg_los_days, min(admit_ts) first_admit, max(admit_ts) last_admit from fact_encounter group by 1),
+  (sum(los_s) / count(*) / 86400)::double avg_los_days, min(admit_ts) first_admit, max(admit_ts) last_admit from fact_encounter group by 1),
 l360 as (select patient_key, count(*) lab_count, count(distinct lab_test_key) distinct_tests from fact_lab group by 1),
 mart_360 as (
   select p.*, coalesce(encounter_count, 0) encounter_count, coalesce(inpatient_count, 0) inpatient_count, coalesce(ed_count, 0) ed_count, avg_los_days, first_admit, last_admit, coalesce(lab_count, 0) lab_count, coalesce(distinct_tests, 0) distinct_tests
   from dim_patient p left join v360 using (patient_key) left join l360 using (patient_key)),
 utilization as (
   select age_band, sex, care_setting_key, case when n >= 11 then n end n, case when n >= 11 then m end avg_los_days from (
-    select age_band, sex, care_setting_key, count(*) n, round(sum(los_s) / count(*) / 86400, 6)::double m from fact_encounter join dim_patient using (patient_key) group by 1, 2, 3))"""
+    select age_band, sex, care_setting_key, count(*) n, (sum(los_s) / count(*) / 86400)::double m from fact_encounter join dim_patient using (patient_key) group by 1, 2, 3))"""
 
 _P, _PV, _PVL = f"with {PEOPLE} ", f"with {PEOPLE}, {VISITS} ", f"with {PEOPLE}, {VISITS}, {LABS} "
 _S = f"with {SURVEYS} "
@@ -166,7 +166,7 @@ SQL = {
     "row_fingerprint": "select distinct patient_id, sha256(concat_ws('|', patient_id, sex, race, ethnicity, zip3, age_band)) hash from patient",
     "hmac_surrogate": f"select c_custkey, {_hmac('c_name')} key from customer",
     "patient_xref": f"select {_hmac('i')} patient_sk, i source_patient_id from (select distinct {_id('patient_id')} i from patient) where i is not null",
-    "day_shift": f"select o_orderkey, {_days('o_custkey::varchar')} days, {_dk(f'(o_orderdate::date + {_days(chr(111) + "_custkey::varchar")})')} shifted_key from orders",
+    "day_shift": f"select o_orderkey, {_days('o_custkey::varchar')} as days, {_dk(f'(o_orderdate::date + {_days(chr(111) + "_custkey::varchar")})')} shifted_key from orders",
     "zip3_mask": f"select case when z in ({_ZIPS}) then null else z end zip3, count(*) n from (select substr(trim(zip3), 1, 3) z from patient) group by 1",
     "age_band": f"select birth_year, {_AGE} band, count(*) n from patient group by 1, 2",
     "boolean_norm": f"select deceased_flag::varchar raw, {_BOOL.format(c='deceased_flag')} flag, count(*) n from patient group by 1, 2",
@@ -199,20 +199,20 @@ SQL = {
       from fact_encounter window w as {_W90}),
       last as (select *, row_number() over (partition by patient_key, admit_ts::date order by admit_ts desc, encounter_key desc) rn from back)
       select patient_key, {_dk('admit_ts')} as_of_key, coalesce(encounters_90d, 0)::bigint encounters_90d, coalesce(inpatient_90d, 0)::bigint inpatient_90d, coalesce(ed_90d, 0)::bigint ed_90d, coalesce(los_s_90d, 0)::bigint los_s_90d from last where rn = 1""",
-    "ft_trailing180_distinct": _PVL + f"""select patient_key, lab_result_key, count(*) over w labs_180d, count(distinct lab_test_key) over w tests_180d, round((sum(value_num::decimal(18, 4)) over w)::double / count(value_num) over w, 6) mean_value_180d
+    "ft_trailing180_distinct": _PVL + f"""select patient_key, lab_result_key, count(*) over w labs_180d, count(distinct lab_test_key) over w tests_180d, (sum(value_num::decimal(18, 4)) over w)::double / count(value_num) over w mean_value_180d
       from fact_lab where resulted_ts is not null window w as {_W180}""",
     "ft_latest_score": _S + """select patient_key, instrument_key, wave, total_score from (
       select *, row_number() over (partition by patient_key, instrument_key order by administered_ts desc nulls last, list_position(['baseline', 'day_30', 'day_90', 'day_180', 'day_365'], wave) desc nulls last, survey_response_key desc) rn from fact_survey) where rn = 1""",
     "ft_weighted_codes": _PVL + f"select patient_key, max({_dk('resulted_ts')}) as_of_key, sum({_WEIGHT})::bigint code_weight, count(distinct lab_test_key) distinct_codes from fact_lab group by 1",
     "ft_density": _PVL + f"select patient_key, max({_dk('resulted_ts')}) as_of_key, count(*) events, 1.0::double adherence from fact_lab group by 1",
     "metric_readmission_30d": _PV + "select count(*) denominator, sum(readmission_30d::int)::bigint numerator, sum(readmission_30d::int)::double / nullif(count(*), 0) rate from fact_readmission",
-    "metric_avg_los": _PV + "select round(sum(los_s) / count(*) / 86400, 6)::double avg_los_days, count(*) encounters from fact_encounter where care_setting_key = 'inpatient'",
+    "metric_avg_los": _PV + "select (sum(los_s) / count(*) / 86400)::double avg_los_days, count(*) encounters from fact_encounter where care_setting_key = 'inpatient'",
     "metric_ed_utilization": _ALL + "select avg(ed_count) mean_ed_encounters, sum(ed_count)::bigint total_ed_encounters, count(*) patients from mart_360",
     "metric_response_rate": _S + "select count(distinct patient_key) patients_with_scores, count(*) scored_responses from fact_survey",
-    "metric_mean_change": _S + "select instrument_key, round(sum(change::decimal(18, 4))::double / count(*), 6) mean_change, count(*) filter (changed_markedly) marked, count(*) rows_n from trajectory where wave <> 'baseline' and change is not null group by 1",
+    "metric_mean_change": _S + "select instrument_key, sum(change::decimal(18, 4))::double / count(*) mean_change, count(*) filter (changed_markedly) marked, count(*) rows_n from trajectory where wave <> 'baseline' and change is not null group by 1",
     "dash_utilization": _ALL + "select age_band, sex, care_setting_key, n encounter_count, avg_los_days from utilization order by 1, 2, 3",
     "dash_readmission": _PV + "select age_band, count(*) index_stays, count(*) filter (readmission_30d) readmissions_30d, round(count(*) filter (readmission_30d) / count(*), 4)::double readmission_rate from fact_readmission join dim_patient using (patient_key) group by 1 having count(*) >= 11 order by 1",
-    "dash_scores": _S + "select instrument_key, wave, count(*) n_responses, round(sum(total_score::decimal(18, 4))::double / count(*), 6) mean_score from trajectory group by 1, 2 having count(*) >= 11 order by 1, 2",
+    "dash_scores": _S + "select instrument_key, wave, count(*) n_responses, sum(total_score::decimal(18, 4))::double / count(*) mean_score from trajectory group by 1, 2 having count(*) >= 11 order by 1, 2",
     "dash_linkage": _ALL + "select count(distinct patient_key) patients_with_linkage, count(*) linkage_rows from mart_360 join fact_survey using (patient_key)",
     "dq_encounter": _PV + _ENC_RULES,
     "dq_lab": _PVL + _LAB_RULES,
