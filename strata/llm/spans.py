@@ -175,6 +175,8 @@ def _matrix(texts: list[str], c: int) -> np.ndarray:
 
 def _agree(m: np.ndarray, size: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
     """Length of the common start of rows u and v."""
+    if not m.shape[1]:  # nothing is missing
+        return np.zeros(len(u), dtype=np.int64)
     differ = m[u] != m[v]
     n = np.where(differ.any(axis=1), differ.argmax(axis=1), m.shape[1])
     return np.minimum(n, np.minimum(size[u], size[v]))
@@ -244,9 +246,9 @@ def _split(rows: pa.Table, c: int) -> Iterator[pa.RecordBatch]:
         need = c - half  # at most `half` characters before, so at least these after
         if len(after) >= need:
             put(_text_hash(key, 1, after[:need]), doc, lo, hi + need, before[:half], after[need : need + half])
-        need, rest = half + 1, c - half - 1  # more than `half` before
+        # at most `half` after, so at least `need` before; both sides then lack `half`
         if len(before) >= need:
-            put(_text_hash(key, 0, before[:need]), doc, lo - need, hi, before[need : need + rest], after[:rest])
+            put(_text_hash(key, 0, before[:need]), doc, lo - need, hi, before[need : need + half], after[:half])
     if out["key"]:
         yield _block(_DEEPER, len(out["key"]), **out)
 
