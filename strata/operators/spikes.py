@@ -122,7 +122,7 @@ def stuck_runs(r: DataFrame, *, least: int = 6, slices: int = SLICES) -> DataFra
     keys = ["entity", "code", "source"]
     usable = r.filter("entity is not null and at is not null")
     often = usable.groupBy(*keys, "v").agg(F.count("*").alias("n")).filter(F.col("n") >= least).select(*keys).distinct()
-    some = usable.join(often, keys, "left_semi")
+    some = usable.join(bounded(written(often, "series")), keys, "left_semi")
     cut = some.withColumn("_slice", slice_of(F.col("at"), boundaries(r, "at", slices)))
     ranked = row_number(row_number(cut, keys, ["at", "id"], "k"), [*keys, "v"], ["at", "id"], "j")
     run = [*keys, "v", "run"]

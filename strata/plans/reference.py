@@ -464,6 +464,46 @@ def propensity_scores(spark, d):
     return ml.propensity(rows, "treated", ["lab_count", "birth_year"]).select("patient_key", "treated", "propensity")
 
 
+@query
+def lowest_cluster(spark, d):
+    """Each cluster with its size, and whether its mean score is the lowest."""
+    c = kmeans_assign(spark, d).groupBy("cluster").agg(F.count("*").alias("n"), F.min("mean_value").alias("mean_value"))
+    lowest = c.agg(F.min_by("cluster", "mean_value").alias("lowest"))
+    return c.join(F.broadcast(lowest)).select("cluster", "n", (F.col("cluster") == F.col("lowest")).alias("is_lowest"))  # one row
+
+
+@query
+def researcher_frame(spark, d):
+    """Cohort members with their 360 row and trajectory."""
+    members = cohort_lab(spark, d)
+    wide = L.patient_360(spark, d).select("patient_key", "encounter_count", "lab_count")
+    return members.join(wide, "patient_key", "left").join(L.trajectory(spark, d).select("patient_key", "instrument_key", "wave", "change"), "patient_key", "left")
+
+
+@query
+def monthly_json_rollup(spark, d):
+    """Events by month and a field of their JSON, grouped by ordinals."""
+    table(spark, d, "events").createOrReplaceTempView("raw_events")
+    return spark.sql(
+        "select cast(date_format(date_trunc('month', ts), 'yyyyMM') as int) month_key, cast(get_json_object(props, '$.k') as int) k, count(*) n from raw_events group by 1, 2"
+    )
+
+
+@query
+def event_sequence(spark, d):
+    """The event before and after each of a user's events."""
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    return table(spark, d, "events").select("event_id", F.lag("event_id").over(w).alias("before"), F.lead("event_id").over(w).alias("after"))
+
+
+@query
+def key_sets(spark, d):
+    """Users in events and in orders, in both, and in events alone, by set operations."""
+    u, c = table(spark, d, "events").select(F.col("user_id").alias("k")), table(spark, d, "orders").select(F.col("o_custkey").alias("k"))
+    tell = lambda df, s: df.groupBy().agg(F.count("*").alias("n")).select(F.lit(s).alias("part"), "n")
+    return tell(u.intersect(c), "both").unionByName(tell(u.subtract(c), "events_only")).unionByName(tell(u.union(c).distinct(), "either"))
+
+
 @query
 def pivot_scores(spark, d):
     wide = L.fact_survey(spark, d).groupBy("patient_key").pivot("instrument_key", ["MOOD-8", "MOVE-10", "SLEEP-6"]).agg(F.sum(F.col("total_score").cast("decimal(18,2)")).cast("double"))

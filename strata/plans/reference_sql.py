@@ -237,6 +237,10 @@ SQL = {
     "band_match": f"select t.c_custkey treated, c.c_custkey control from ({_BANK}) t join ({_BANK}) c on abs(t.s - c.s) <= 0.25 where t.c_mktsegment = 'BUILDING' and c.c_mktsegment = 'MACHINERY'",
     "matched_pairs": f"""with r as (select c_custkey, c_mktsegment, floor(s / 5.0)::bigint band, row_number() over (partition by c_mktsegment, floor(s / 5.0) order by s, c_custkey) k from ({_BANK}))
       select t.c_custkey treated, c.c_custkey control from r t join r c on t.band = c.band and t.k = c.k where t.c_mktsegment = 'BUILDING' and c.c_mktsegment = 'MACHINERY'""",
+    "researcher_frame": _ALL + f", members as ({_COHORT_LAB}) select patient_key, encounter_count, lab_count, instrument_key, wave, change from members left join mart_360 using (patient_key) left join trajectory using (patient_key)",
+    "monthly_json_rollup": "select (year(ts) * 100 + month(ts))::int month_key, (props->>'$.k')::int k, count(*) n from events group by 1, 2",
+    "event_sequence": "select event_id, lag(event_id) over w \"before\", lead(event_id) over w \"after\" from events window w as (partition by user_id order by ts, event_id)",
+    "key_sets": "select 'both' part, count(*) n from (select user_id from events intersect select o_custkey from orders) union all select 'events_only', count(*) from (select user_id from events except select o_custkey from orders) union all select 'either', count(*) from (select user_id from events union select o_custkey from orders)",
     "pivot_scores": _S + "select patient_key, " + ", ".join(f"coalesce(sum(total_score::decimal(18, 2)) filter (instrument_key = '{i}')::double, 0) {n}" for i, n in (("MOOD-8", "mood"), ("MOVE-10", "move"), ("SLEEP-6", "sleep"))) + " from fact_survey group by 1",
     "lineage_edges": f"select * from {_values(governance_rows.EDGES)} t(source, target, transform)",
     "lineage_closure": f"""with recursive e as (select distinct source, target from {_values(governance_rows.EDGES)} t(source, target, transform)),

@@ -88,3 +88,40 @@ def severity(score: Column, cuts: dict[str, float]) -> Column:
     for label, upper in reversed(list(cuts.items())):
         out = F.when(score <= upper, F.lit(label)).otherwise(out)
     return F.when(score.isNotNull(), out)
+
+
+def organizations(spark: SparkSession, n: int, seed: int = 42) -> DataFrame:
+    return spark.range(1, n + 1).select(synth_id("ORG", F.col("id")).alias("organization_id"), F.concat(F.lit("Clinic "), F.col("id")).alias("name"), F.substring(pick(seed, ZIPS, "orgzip", F.col("id")), 1, 3).alias("zip3"))
+
+
+def providers(spark: SparkSession, n: int, orgs: int, specialties: list[str], seed: int = 42) -> DataFrame:
+    org = (1 + F.floor(uniform(seed, "porg", F.col("id")) * orgs)).cast("long")
+    return spark.range(1, n + 1).select(synth_id("PRV", F.col("id")).alias("provider_id"), synth_id("ORG", org).alias("organization_id"), pick(seed, specialties, "spec", F.col("id")).alias("specialty"))
+
+
+def coded_events(visits: DataFrame, prefix: str, codes: dict[str, str], share: float, seed: int = 42) -> DataFrame:
+    """Conditions, medications, procedures, immunisations or claims: each visit has each code with
+    probability `share`. codes: code to display."""
+    table = F.array(*[F.struct(F.lit(c).alias("code"), F.lit(t).alias("display")) for c, t in codes.items()])
+    each = visits.select("encounter_id", "patient_id", "admit_ts", F.explode(table).alias("x"))
+    return each.filter(uniform(seed, prefix, F.col("encounter_id"), F.col("x.code")) < share).select(
+        F.concat_ws("-", F.lit(prefix), "encounter_id", "x.code").alias("event_id"), "patient_id", "encounter_id", "x.code", "x.display", F.col("admit_ts").alias("event_ts")
+    )
+
+
+def consents(people: DataFrame, share: float = 0.9, seed: int = 42) -> DataFrame:
+    return people.select(F.regexp_replace("patient_id", "PAT", "CNS").alias("consent_id"), "patient_id", F.when(uniform(seed, "consent", F.col("patient_id")) < share, "granted").otherwise("declined").alias("consent_status"))
+
+
+def survey_items(spark: SparkSession, instruments: dict[str, tuple[int, int, int]]) -> DataFrame:
+    rows = [(i, f"{i}_Q{q}", lo, hi) for i, (n, lo, hi) in instruments.items() for q in range(1, n + 1)]
+    return spark.createDataFrame(rows, "instrument_id string, item_id string, min_value int, max_value int")
+
+
+def write_landing(frames: dict[str, DataFrame], folder: str) -> None:
+    """One CSV with header per entity; meant for demonstration sizes."""
+    from pathlib import Path
+
+    Path(folder).mkdir(parents=True, exist_ok=True)
+    for name, df in frames.items():
+        df.toPandas().to_csv(f"{folder}/{name}.csv", index=False)
