@@ -53,19 +53,27 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- 2: implausible spikes
 
-def _readings(spark: SparkSession, sf_dir: str, name: str, row_id: str, at: str) -> DataFrame:
-    return readings(
-        table(spark, sf_dir, name), row_id=key_of(F.col(row_id)), source=F.lower(F.trim("source_system")), code=F.upper(F.trim("loinc_code")),
-        entity=id_of(F.col("patient_id")), at=micros(F.col(at)), value=F.col("value_num"),
-    )
+MEASURED = {"l": ("lab_result", "lab_result_id", "resulted_ts"), "o": ("observation", "observation_id", "observed_ts")}
 
 
-def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The readings of both tables as one; a letter before ids and sources tells the tables apart."""
     parts = [
-        implausible(_readings(spark, sf_dir, name, row_id, at)).select(F.lit(name).alias("table_name"), F.col("id").alias("row_id"))
-        for name, row_id, at in (("lab_result", "lab_result_id", "resulted_ts"), ("observation", "observation_id", "observed_ts"))
+        readings(
+            table(spark, sf_dir, name), row_id=F.concat(F.lit(tag), key_of(F.col(row_id))), source=F.concat(F.lit(tag), F.coalesce(F.lower(F.trim("source_system")), F.lit(""))),
+            code=F.upper(F.trim("loinc_code")), entity=id_of(F.col("patient_id")), at=micros(F.col(at)), value=F.col("value_num"),
+        )
+        for tag, (name, row_id, at) in MEASURED.items()
     ]
-    return parts[0].unionByName(parts[1]).distinct()
+    return parts[0].unionByName(parts[1])
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings at fault for any reason."""
+    tag = F.substring("id", 1, 1)
+    name = F.when(tag == "l", MEASURED["l"][0]).otherwise(MEASURED["o"][0])
+    found = implausible(_readings(spark, sf_dir)).select("id").distinct()
+    return found.select(name.alias("table_name"), F.expr("substring(id, 2)").alias("row_id"))
 
 
 # --- 3: history of attributes
