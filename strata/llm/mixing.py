@@ -161,10 +161,10 @@ def mixture(counted: DataFrame, targets: DataFrame, *, total: int | None = None,
 def mixture_report(mixed: DataFrame, targets: DataFrame) -> DataFrame:
     """Per target source: its weight, the tokens drawn for it and the share really reached."""
     got = mixed.groupBy("source").agg(F.count("*").alias("documents"), F.sum(F.col("uses") * F.col("tokens")).alias("tokens"), F.max("uses").alias("most_uses"))
-    total = got.agg(F.sum("tokens").alias("all_tokens"))
+    total = F.sum("tokens").over(Window.partitionBy(F.lit(1)))  # over one row a source
     rows = targets.select(F.lower(F.trim("source")).alias("source"), "weight", "repeats")
     none = lambda c: F.coalesce(c, F.lit(0))
-    joined = rows.join(got, "source", "left").join(F.broadcast(total))  # the total is one row
+    joined = rows.join(got.withColumn("all_tokens", total), "source", "left")
     return joined.select(
         "source", F.col("weight").alias("target_weight"), F.col("repeats").alias("max_repeats"), none("documents").alias("documents"), none("tokens").alias("tokens"),
         none("most_uses").alias("most_uses"), F.coalesce(F.col("tokens") / F.col("all_tokens"), F.lit(0.0)).alias("share"),

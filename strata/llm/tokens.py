@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -15,9 +14,8 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
-@lru_cache(maxsize=4)
 def tokenizer(vocabulary: str, pattern: str = PATTERN):
-    """A byte-level BPE from a rank file ("base64 rank" lines), one per Python worker."""
+    """A byte-level BPE from a rank file ("base64 rank" lines), made once per task."""
     import tiktoken
 
     with open(vocabulary, "rb") as lines:
