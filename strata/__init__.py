@@ -1,3 +1,10 @@
 """strata: a Spark-native engine for layered research data."""
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# functions that run in Python workers travel with their task, so executors need no copy of this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

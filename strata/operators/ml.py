@@ -25,8 +25,8 @@ def entity_split(df: DataFrame, entity: str, test_share: float = 0.25, seed: int
 def temporal_split(df: DataFrame, at: str, train_share: float = 0.75) -> DataFrame:
     """Adds `split`: rows up to the approximate `train_share` quantile of time are train; equal
     times fall on one side."""
-    cut = df.agg(F.percentile_approx(at, train_share, 10_000).alias("c"))
-    return df.join(F.broadcast(cut), how="left").withColumn("split", F.when(F.col(at) <= F.col("c"), "train").otherwise("test")).drop("c")  # one row
+    cut = df.agg(F.percentile_approx(at, train_share, 10_000)).first()[0]  # one value
+    return df.withColumn("split", F.when(F.col(at) <= F.lit(cut), "train").otherwise("test"))
 
 
 def fit_codes(train: DataFrame, column: str, most: int = 10_000) -> dict[str, int]:

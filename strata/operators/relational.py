@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.privacy import record_hash
 from strata.functions.text import is_missing
+from strata.operators import sliced
 
 TECHNICAL = ["_ingest_ts", "_source_system", "_source_file", "_file_modification_time", "_batch_id", "_record_hash", "_rescued_data", "_ingest_pipeline_version"]
 
@@ -112,17 +113,30 @@ def suppress_small_cells(df: DataFrame, count: str = "n", k: int = 11, mask: Seq
 
 def next_event_within(df: DataFrame, entity: str, start: str, end: str, key: str, days: float = 30.0, out: str = "again") -> DataFrame:
     """Adds `out`: the entity's next event begins at most `days` after this one ended (or began,
-    if it has no end). Order: start, then key."""
-    following = F.lead(F.col(start)).over(Window.partitionBy(entity).orderBy(start, key))
-    gap = F.unix_timestamp(following) - F.unix_timestamp(F.coalesce(F.col(end), F.col(start)))
-    return df.withColumn(out, F.coalesce(gap <= days * 86_400, F.lit(False)))
+    if it has no end). Order: start, then key. Rows without an entity or a start have no next
+    event. The next start is looked up per time slice, so a hot entity is spread over tasks."""
+    marked = df.withColumn("_at", F.unix_timestamp(start))
+    usable = F.col(entity).isNotNull() & F.col("_at").isNotNull()
+    led = sliced.following(sliced.sliced(marked.filter(usable), "_at"), [entity], "_at", "_then", ties=[key])
+    gap = F.col("_then") - F.unix_timestamp(F.coalesce(F.col(end), F.col(start)))
+    return led.select(*df.columns, F.coalesce(gap <= days * 86_400, F.lit(False)).alias(out)).unionByName(
+        marked.filter(~usable).select(*df.columns, F.lit(False).alias(out))
+    )
 
 
 def trailing(df: DataFrame, entity: str, at: str, seconds_back: int, aggregates: dict[str, Column], *, include_now: bool = False) -> DataFrame:
     """Aggregates over the entity's rows of the last `seconds_back` seconds; those of the same
-    second only with `include_now`. `at` is a timestamp."""
-    w = Window.partitionBy(entity).orderBy(F.unix_timestamp(at)).rangeBetween(-seconds_back, 0 if include_now else -1)
-    return df.select("*", *[a.over(w).alias(n) for n, a in aggregates.items()])
+    second only with `include_now`. `at` is a timestamp; rows without one see each other.
+
+    Time is cut into stretches as long as the frame; each row also stands, as context, in the
+    stretch after its own, so that frames never leave a (entity, stretch) group. However many rows
+    an entity has, a task gets those of two stretches."""
+    t = F.unix_timestamp(at)
+    stretch = F.floor(t / seconds_back)
+    spread = df.withColumn("_s", F.explode(F.when(t.isNull(), F.array(F.lit(None).cast("long"))).otherwise(F.array(stretch, stretch + 1))))
+    w = Window.partitionBy(entity, "_s").orderBy(F.unix_timestamp(at)).rangeBetween(-seconds_back, 0 if include_now else -1)
+    full = spread.select("*", *[a.over(w).alias(n) for n, a in aggregates.items()])
+    return full.filter(F.col("_s").eqNullSafe(stretch)).drop("_s")
 
 
 def baseline_delta(df: DataFrame, keys: Sequence[str], stage: str, score: str, baseline: str = "baseline", threshold: float = 5.0) -> DataFrame:

@@ -79,12 +79,13 @@ def previous(df: DataFrame, keys: list[str], order: list, columns: list[str], sl
     return out.select(*df.columns, *[got[c].alias(f"prev_{c}") for c in columns])
 
 
-def following(df: DataFrame, keys: list[str], order: str, out: str, slice_col: str = "_slice") -> DataFrame:
-    """Adds `out`: the order value of the next row (lead), exact across slices; null in the last."""
+def following(df: DataFrame, keys: list[str], order: str, out: str, slice_col: str = "_slice", ties: Sequence[str] = ()) -> DataFrame:
+    """Adds `out`: the order value of the next row (lead), exact across slices; null in the last.
+    Rows of equal order value follow each other by `ties`."""
     first = _carried(
         df, keys, [F.min(order).alias("_f")], {"_next": lambda w: F.lead("_f").over(w)}, slice_col
     )
-    w = Window.partitionBy(*keys, slice_col).orderBy(order)
+    w = Window.partitionBy(*keys, slice_col).orderBy(order, *ties)
     return (
         df.withColumn("_lead", F.lead(order).over(w)).join(first, [*keys, slice_col])
         .select(*df.columns, F.coalesce("_lead", "_next").alias(out))

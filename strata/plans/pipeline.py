@@ -29,7 +29,7 @@ FEATURES: Mapping[str, Frame] = {
 
 
 def _publish(store: Store, source: str, schema: str, frames: Mapping[str, Frame]) -> dict[str, int]:
-    """Each table written once; rows are counted while writing."""
+    """Each table written once."""
     return {name: store.write(f(store.spark, source), schema, name, mode="overwrite") for name, f in frames.items()}
 
 

@@ -468,8 +468,8 @@ def propensity_scores(spark, d):
 def lowest_cluster(spark, d):
     """Each cluster with its size, and whether its mean score is the lowest."""
     c = kmeans_assign(spark, d).groupBy("cluster").agg(F.count("*").alias("n"), F.min("mean_value").alias("mean_value"))
-    lowest = c.agg(F.min_by("cluster", "mean_value").alias("lowest"))
-    return c.join(F.broadcast(lowest)).select("cluster", "n", (F.col("cluster") == F.col("lowest")).alias("is_lowest"))  # one row
+    lowest = F.min_by("cluster", "mean_value").over(Window.partitionBy(F.lit(1)))  # over one row a cluster
+    return c.select("cluster", "n", (F.col("cluster") == lowest).alias("is_lowest"))
 
 
 @query

@@ -251,3 +251,23 @@ def test_as_of_join(spark):
     a = spark.createDataFrame([("k", 5, 1), ("k", 1, 2), ("z", 5, 3)], "k string, t long, id int")
     b = spark.createDataFrame([("k", 5, "x"), ("k", 2, "y"), ("k", 9, "w")], "k string, u long, v string")
     assert {(r.id, r.prior_v) for r in rel.as_of_join(a, b, "k", "t", "u", ["v"]).collect()} == {(1, "x"), (2, None), (3, None)}
+
+
+def test_trailing_and_next_against_brute_force(spark):
+    import random
+
+    rng = random.Random(2)
+    data = [(i, "hot" if rng.random() < 0.6 else "b", rng.randrange(0, 4000) if rng.random() > 0.02 else None) for i in range(300)]
+    df = spark.createDataFrame(data, "id long, k string, s long").select("id", "k", F.timestamp_seconds("s").alias("at"))
+    got = {r.id: r.n for r in rel.trailing(df, "k", "at", 500, {"n": F.count("*")}).collect()}
+    now = {r.id: r.n for r in rel.trailing(df, "k", "at", 500, {"n": F.count("*")}, include_now=True).collect()}
+    for i, k, s in data:
+        if s is not None:
+            assert got[i] == sum(1 for _, kk, x in data if kk == k and x is not None and s - 500 <= x <= s - 1)
+            assert now[i] == sum(1 for _, kk, x in data if kk == k and x is not None and s - 500 <= x <= s)
+    assert len(got) == len(data)
+    again = {r.id: r.again for r in rel.next_event_within(df.withColumn("end", F.lit(None).cast("timestamp")), "k", "at", "end", "id", 10 / 86_400).collect()}
+    for k in ("hot", "b"):
+        own = sorted((s, i) for i, kk, s in data if kk == k and s is not None)
+        for n, (s, i) in enumerate(own):
+            assert again[i] == (n + 1 < len(own) and own[n + 1][0] - s <= 10)
