@@ -133,10 +133,10 @@ def trailing(df: DataFrame, entity: str, at: str, seconds_back: int, aggregates:
     an entity has, a task gets those of two stretches."""
     t = F.unix_timestamp(at)
     stretch = F.floor(t / seconds_back)
-    spread = df.withColumn("_s", F.explode(F.when(t.isNull(), F.array(F.lit(None).cast("long"))).otherwise(F.array(stretch, stretch + 1))))
-    w = Window.partitionBy(entity, "_s").orderBy(F.unix_timestamp(at)).rangeBetween(-seconds_back, 0 if include_now else -1)
+    spread = df.withColumn("_stretch_", F.explode(F.when(t.isNull(), F.array(F.lit(None).cast("long"))).otherwise(F.array(stretch, stretch + 1))))
+    w = Window.partitionBy(entity, "_stretch_").orderBy(F.unix_timestamp(at)).rangeBetween(-seconds_back, 0 if include_now else -1)
     full = spread.select("*", *[a.over(w).alias(n) for n, a in aggregates.items()])
-    return full.filter(F.col("_s").eqNullSafe(stretch)).drop("_s")
+    return full.filter(F.col("_stretch_").eqNullSafe(stretch)).drop("_stretch_")
 
 
 def baseline_delta(df: DataFrame, keys: Sequence[str], stage: str, score: str, baseline: str = "baseline", threshold: float = 5.0) -> DataFrame:
