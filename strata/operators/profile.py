@@ -27,10 +27,6 @@ def value_counts(df: DataFrame, load: str, columns: list[str]) -> DataFrame:
     return long.groupBy("x.column_name", "load", "x.value", "x.number").agg(F.count("*").alias("n"))
 
 
-def load_sizes(df: DataFrame, load: str) -> DataFrame:
-    return df.groupBy(F.col(load).alias("load")).agg(F.count("*").alias("load_rows"))
-
-
 def shares(counts: DataFrame, domains: dict[str, Column] | None = None) -> DataFrame:
     """Per column and load from `value_counts`: rows, nulls, distinct values, range, breaches of
     the domain (`domains`: per column a condition on F.col("value") that holds for valid values),
@@ -42,6 +38,8 @@ def shares(counts: DataFrame, domains: dict[str, Column] | None = None) -> DataF
     valid = F.lit(None).cast("boolean")
     for name, ok in (domains or {}).items():
         valid = F.when(F.col("column_name") == name, ok).otherwise(valid)
+    # a value has at most one row a load here, so its window is small
+    counts = counts.withColumn("t", F.sum("n").over(Window.partitionBy("column_name", "value")))
     per_value = counts.withColumn("breach", F.when(F.col("value").isNotNull() & ~valid, F.col("n")).otherwise(0))
     held = F.col("value").isNotNull()
     some = lambda c: F.when(held, c)
@@ -55,24 +53,23 @@ def shares(counts: DataFrame, domains: dict[str, Column] | None = None) -> DataF
     w = Window.partitionBy("column_name")  # one row per column and load
     by_load = by_load.select("*", F.sum("rows").over(w).alias("whole_rows"), F.sum("nulls").over(w).alias("whole_nulls"))
     # departure: only values that the load holds need a row; the others enter by what is left over
-    whole = counts.filter(held).groupBy("column_name", "value").agg(F.sum("n").alias("t"))
-    base = by_load.select("column_name", "load", (F.col("rows") - F.col("nulls")).alias("held"), (F.col("whole_rows") - F.col("whole_nulls")).alias("whole_held"))
+    base = by_load.select(F.col("column_name").alias("_column"), F.col("load").alias("_load"), (F.col("rows") - F.col("nulls")).alias("held"), (F.col("whole_rows") - F.col("whole_nulls")).alias("whole_held"))
     p, q = F.col("n") / F.col("held"), F.col("t") / F.col("whole_held")
     tiny = F.lit(1e-6)
     away = (
-        counts.filter(held).groupBy("column_name", "load", "value").agg(F.sum("n").alias("n"))
-        .join(whole, ["column_name", "value"]).join(base, ["column_name", "load"])
+        counts.filter(held).join(base, (F.col("column_name") == F.col("_column")) & F.col("load").eqNullSafe(F.col("_load")))
         .groupBy("column_name", "load").agg(
             F.sum(F.abs(p - q)).alias("_d"), F.sum(q).alias("_q"),
             F.sum((p - q) * F.log(F.greatest(p, tiny) / F.greatest(q, tiny))).alias("psi"),
             F.sum((p - q) * (p - q) / q * F.col("held")).alias("_chi"), F.max("held").alias("_h"),
         )
         .select(
-            "column_name", "load", ((F.col("_d") + F.greatest(1 - F.col("_q"), F.lit(0.0))) / 2).alias("variation"),
+            F.col("column_name").alias("_column"), F.col("load").alias("_load"), ((F.col("_d") + F.greatest(1 - F.col("_q"), F.lit(0.0))) / 2).alias("variation"),
             "psi", (F.col("_chi") + F.greatest(1 - F.col("_q"), F.lit(0.0)) * F.col("_h")).alias("chi_square"),
         )
     )
-    return by_load.join(away, ["column_name", "load"], "left")
+    same = (F.col("column_name") == F.col("_column")) & F.col("load").eqNullSafe(F.col("_load"))
+    return by_load.join(away, same, "left").drop("_column", "_load")
 
 
 def load_medians(df: DataFrame, load: str, value: str, strata: list[str]) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -173,60 +175,56 @@ STATUSES = ["complete", "partial", "missed"]
 RATIO = {"lab_result": 1.5, "observation": 1.2}
 
 
-def _domains(name: str) -> dict:
+def _domains() -> dict:
+    """Per table.column the condition that valid values meet."""
     v = F.col("value")
     return {
-        "patient": {"race": v.isin(RACES), "zip3": v.rlike(r"\A[0-9]{3}\z")},
-        "lab_result": {"unit": v.isin(UNITS)},
-        "survey_administration": {"completion_status": v.isin(STATUSES)},
-    }.get(name, {})
+        "patient.race": v.isin(RACES), "patient.zip3": v.rlike(r"\A[0-9]{3}\z"), "lab_result.unit": v.isin(UNITS), "survey_administration.completion_status": v.isin(STATUSES),
+    }
+
+
+def _profiled(spark: SparkSession, sf_dir: str, columns: dict[str, list[str]]) -> DataFrame:
+    """Profiles of all the tables' columns at once: their counts are one frame, with the table's
+    name before the column's."""
+    counts = [
+        profile.value_counts(table(spark, sf_dir, name), "_batch_id", own).withColumn("column_name", F.concat(F.lit(f"{name}."), "column_name")) for name, own in columns.items()
+    ]
+    both = F.split("column_name", "[.]")
+    return profile.shares(reduce(DataFrame.unionByName, counts), _domains()).withColumns({"table_name": both[0], "column_name": both[1]}).withColumnRenamed("load", "batch_id")
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    null_share = F.col("nulls") / F.col("rows") - F.col("whole_nulls") / F.col("whole_rows")
-    findings = []
-    for name, columns in {
-        "patient": ["race", "zip3"], "lab_result": ["unit", "value_num"], "observation": ["value_num"], "survey_administration": ["completion_status"],
-    }.items():
-        df = table(spark, sf_dir, name)
-        profiled = profile.shares(profile.value_counts(df, "_batch_id", columns), _domains(name)).filter(
-            F.col("load").rlike(r"\Aload-20(23|24)(0[1-9]|1[0-2])\z") & (F.col("rows") >= 100)
-        )
-        tests = {"nulls": F.abs(null_share) > 0.10}
-        tests["domain"] = F.col("breaches") > 0.05 * (F.col("rows") - F.col("nulls"))
-        if name == "survey_administration":
-            tests["shift"] = F.col("variation") > 0.25
-        found = F.array_compact(F.array(*[F.when(t, F.lit(k)) for k, t in tests.items()]))
-        findings.append(profiled.select(F.lit(name).alias("table_name"), "column_name", F.col("load").alias("batch_id"), F.explode(found).alias("finding")))
-        if name in RATIO:
-            most = F.lit(RATIO[name])
-            ratio = F.col("load_median") / F.col("whole_median")
-            sizes = profile.load_sizes(df, "_batch_id").filter("load_rows >= 100")
-            shifted = profile.load_medians(df, "_batch_id", "value_num", ["loinc_code", "source_system"]).filter(
-                F.col("load").rlike(r"\Aload-20(23|24)(0[1-9]|1[0-2])\z") & (F.col("n") >= 25) & (F.col("whole_median") != 0) & ~ratio.between(1 / most, most)
-            )
-            findings.append(
-                shifted.select("load").distinct().join(sizes, "load").select(
-                    F.lit(name).alias("table_name"), F.lit("value_num").alias("column_name"), F.col("load").alias("batch_id"), F.lit("shift").alias("finding")
-                )
-            )
-    out = findings[0]
-    for f in findings[1:]:
-        out = out.unionByName(f)
-    return out
+    columns = {"patient": ["race", "zip3"], "lab_result": ["unit", "value_num"], "observation": ["value_num"], "survey_administration": ["completion_status"]}
+    counted = F.col("batch_id").rlike(r"\Aload-20(23|24)(0[1-9]|1[0-2])\z")
+    profiled = _profiled(spark, sf_dir, columns).filter(counted & (F.col("rows") >= 100))
+    tests = {
+        "nulls": F.abs(F.col("nulls") / F.col("rows") - F.col("whole_nulls") / F.col("whole_rows")) > 0.10,
+        "domain": F.col("breaches") > 0.05 * (F.col("rows") - F.col("nulls")),
+        "shift": (F.col("column_name") == "completion_status") & (F.col("variation") > 0.25),
+    }
+    found = F.array_compact(F.array(*[F.when(t, F.lit(k)) for k, t in tests.items()]))
+    by_share = profiled.select("table_name", "column_name", "batch_id", F.explode(found).alias("finding"))
+
+    names = ["_batch_id", "value_num", "loinc_code", "source_system"]
+    values = reduce(DataFrame.unionByName, [table(spark, sf_dir, t).select(*names, F.lit(t).alias("table_name")) for t in RATIO])
+    most = F.when(F.col("table_name") == "lab_result", RATIO["lab_result"]).otherwise(RATIO["observation"])
+    ratio = F.col("load_median") / F.col("whole_median")
+    shifted = profile.load_medians(values, "_batch_id", "value_num", ["table_name", "loinc_code", "source_system"]).withColumnRenamed("load", "batch_id").filter(
+        counted & (F.col("n") >= 25) & (F.col("whole_median") != 0) & ~ratio.between(1 / most, most)
+    )
+    large = values.groupBy("table_name", F.col("_batch_id").alias("batch_id")).agg(F.count("*").alias("rows")).filter("rows >= 100")
+    by_median = shifted.select("table_name", "batch_id").distinct().join(large, ["table_name", "batch_id"]).select(
+        "table_name", F.lit("value_num").alias("column_name"), "batch_id", F.lit("shift").alias("finding")
+    )
+    return by_share.unionByName(by_median)
 
 
 def p6_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every column of the large tables: each load's figures against the whole table's."""
-    parts = []
-    for name in LARGE:
-        df = table(spark, sf_dir, name)
-        got = profile.shares(profile.value_counts(df, "_batch_id", [c for c in df.columns if c != "_batch_id"]), _domains(name))
-        parts.append(got.select(F.lit(name).alias("table_name"), "column_name", F.col("load").alias("batch_id"), "rows", "nulls", "distinct_values", "breaches", "min_value", "max_value", "min_number", "max_number", "variation", "psi", "chi_square"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    columns = {t: [c for c in table(spark, sf_dir, t).columns if c != "_batch_id"] for t in LARGE}
+    return _profiled(spark, sf_dir, columns).select(
+        "table_name", "column_name", "batch_id", "rows", "nulls", "distinct_values", "breaches", "min_value", "max_value", "min_number", "max_number", "variation", "psi", "chi_square"
+    )
 
 
 # --- 7: orphan references
