@@ -52,20 +52,23 @@ def shares(counts: DataFrame, domains: dict[str, Column] | None = None) -> DataF
     by_load = per_value.groupBy("column_name", "load").agg(*figures)
     w = Window.partitionBy("column_name")  # one row per column and load
     by_load = by_load.select("*", F.sum("rows").over(w).alias("whole_rows"), F.sum("nulls").over(w).alias("whole_nulls"))
-    # departure: only values that the load holds need a row; the others enter by what is left over
+    # departure: only values that the load holds need a row; the others enter by what is left over,
+    # in psi by the column's total of q * ln(q / tiny) less that of the values held
     base = by_load.select(F.col("column_name").alias("_column"), F.col("load").alias("_load"), (F.col("rows") - F.col("nulls")).alias("held"), (F.col("whole_rows") - F.col("whole_nulls")).alias("whole_held"))
     p, q = F.col("n") / F.col("held"), F.col("t") / F.col("whole_held")
     tiny = F.lit(1e-6)
+    absent = F.log(F.greatest(q, tiny) / tiny)
     away = (
         counts.filter(held).join(base, (F.col("column_name") == F.col("_column")) & F.col("load").eqNullSafe(F.col("_load")))
         .groupBy("column_name", "load").agg(
             F.sum(F.abs(p - q)).alias("_d"), F.sum(q).alias("_q"),
-            F.sum((p - q) * F.log(F.greatest(p, tiny) / F.greatest(q, tiny))).alias("psi"),
+            F.sum((p - q) * F.log(F.greatest(p, tiny) / F.greatest(q, tiny))).alias("_psi"),
+            F.sum(q * absent).alias("_own"), F.sum(F.col("n") / F.col("whole_held") * absent).alias("_part"),
             F.sum((p - q) * (p - q) / q * F.col("held")).alias("_chi"), F.max("held").alias("_h"),
         )
         .select(
             F.col("column_name").alias("_column"), F.col("load").alias("_load"), ((F.col("_d") + F.greatest(1 - F.col("_q"), F.lit(0.0))) / 2).alias("variation"),
-            "psi", (F.col("_chi") + F.greatest(1 - F.col("_q"), F.lit(0.0)) * F.col("_h")).alias("chi_square"),
+            (F.col("_psi") + F.greatest(F.sum("_part").over(w) - F.col("_own"), F.lit(0.0))).alias("psi"), (F.col("_chi") + F.greatest(1 - F.col("_q"), F.lit(0.0)) * F.col("_h")).alias("chi_square"),
         )
     )
     same = (F.col("column_name") == F.col("_column")) & F.col("load").eqNullSafe(F.col("_load"))
