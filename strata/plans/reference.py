@@ -429,10 +429,21 @@ def band_match(spark, d):
     return ml.band_candidates(c.filter("c_mktsegment = 'BUILDING'"), c.filter("c_mktsegment = 'MACHINERY'"), "s", "c_custkey", 0.25).select("treated", "control")
 
 
+def _segments(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    c = table(spark, d, "customer").select("c_custkey", F.col("c_acctbal").alias("s"), "c_mktsegment")
+    return c.filter("c_mktsegment = 'BUILDING'"), c.filter("c_mktsegment = 'MACHINERY'")
+
+
 @query
 def matched_pairs(spark, d):
-    c = table(spark, d, "customer").select("c_custkey", F.col("c_acctbal").alias("s"), "c_mktsegment")
-    return ml.matched_pairs(c.filter("c_mktsegment = 'BUILDING'"), c.filter("c_mktsegment = 'MACHINERY'"), "s", "c_custkey", 5.0).select("treated", "control")
+    """By the rule of bands that the SQL twin states; `nearest_pairs` is the whole matching."""
+    return ml.banded_pairs(*_segments(spark, d), "s", "c_custkey", 5.0).select("treated", "control")
+
+
+@query
+def nearest_pairs(spark, d):
+    """Every treated with its nearest free control within the caliper."""
+    return ml.matched_pairs(*_segments(spark, d), "s", "c_custkey", 5.0)
 
 
 def _training(spark: SparkSession, d: str) -> DataFrame:

@@ -213,6 +213,28 @@ def test_matching(spark):
     assert {(r.treated, r.control) for r in ml.band_candidates(t, c, "s", "id", 0.05).collect()} == want
 
 
+def test_matching_is_nearest_free(spark):
+    import random
+
+    rng = random.Random(2)
+    score = lambda i: rng.choice([rng.uniform(0, 40), rng.uniform(100, 110), float(rng.randrange(30)), float(rng.randrange(30))])
+    data = [(i, score(i), i % 3 == 0) for i in range(300)] + [(900, 4.99 - 1000, True), (901, 5.01 - 1000, False), (902, None, True), (903, float("nan"), False)]
+    df = spark.createDataFrame(data, "id long, s double, t boolean")
+    for caliper in (0.0, 0.3, 5.0):
+        free = {i: s for i, s, t in data if not t and s is not None and s == s}
+        want = set()
+        for i, s, t in data:
+            if t and s is not None and free:
+                gap, _, near = min((abs(s - x), x, k) for k, x in free.items())
+                if gap <= caliper:
+                    want.add((i, near))
+                    del free[near]
+        got = ml.matched_pairs(df.filter("t"), df.filter("not t"), "s", "id", caliper).collect()
+        assert {(r.treated, r.control) for r in got} == want and len(got) == len(want)
+    assert (900, 901) in want
+    assert ml.matched_pairs(df.filter("t"), df.limit(0), "s", "id", 5.0).count() == 0
+
+
 def test_classifier(spark):
     df = spark.range(600).select("id", (F.col("id") % 10).cast("double").alias("a"), F.rand(1).alias("b")).withColumn("y", (F.col("a") + F.col("b") > 5).cast("int"))
     got = ml.calibrated_classifier(df, ["a", "b"], "y")(df)
