@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,11 +56,17 @@ def with_end(rows: DataFrame) -> DataFrame:
     return following(rows, ["entity"], "valid_from", "valid_to").drop("_slice")
 
 
+def united(satellites: dict[str, DataFrame], groups: dict[str, list[str]]) -> DataFrame:
+    """The union of the satellites' change points, each with the attributes that every satellite
+    states as of then."""
+    parts = [rows.select("entity", "valid_from", "_slice", F.struct(*groups[g]).alias(g)) for g, rows in satellites.items()]
+    points = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    points = points.groupBy("entity", "valid_from", "_slice").agg(*[F.first(g, ignorenulls=True).alias(g) for g in groups])
+    full = filled_forward(points, ["entity"], "valid_from", list(groups))
+    return full.select("entity", "valid_from", "_slice", *[F.col(g)[c].alias(c) for g, cols in groups.items() for c in cols])
+
+
 def history(state: DataFrame, groups: dict[str, list[str]]) -> DataFrame:
-    """One row per period of unchanged attributes over all satellites: the union of their change
-    points, with the end computed by lead."""
-    names = [c for cols in groups.values() for c in cols]
-    changed = F.lit(False)
-    for g in groups:
-        changed = changed | F.col(f"{g}_changed")
-    return with_end(state.filter(changed).select("entity", "valid_from", "_slice", *names))
+    """One row per period of unchanged attributes over all satellites, with the end computed by
+    lead. Every satellite reads `state`, so it should be written."""
+    return with_end(united({g: satellite(state, g, cols) for g, cols in groups.items()}, groups))

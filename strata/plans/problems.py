@@ -16,6 +16,7 @@ from strata.operators.intervals import periods_and_gaps
 from strata.operators.orphans import orphan_references
 from strata.operators.rolling import each_day, trailing_runs
 from strata.operators.spikes import implausible, readings
+from strata.session import written
 
 ATTRIBUTES = {"slow": ["sex", "race", "ethnicity"], "fast": ["zip3", "age_band"]}
 FIRST_DAY, LAST_DAY = "2023-01-01", "2024-12-31"
@@ -97,7 +98,7 @@ def _spell(df: DataFrame, *columns: str) -> DataFrame:
 
 def p3_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The full history with its attributes."""
-    return _spell(history(_states(spark, sf_dir), ATTRIBUTES), *[c for cols in ATTRIBUTES.values() for c in cols])
+    return _spell(history(written(_states(spark, sf_dir), "states"), ATTRIBUTES), *[c for cols in ATTRIBUTES.values() for c in cols])
 
 
 def p3_satellite_slow(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,7 +106,7 @@ def p3_satellite_slow(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _spell(history(_states(spark, sf_dir), ATTRIBUTES))
+    return _spell(history(written(_states(spark, sf_dir), "states"), ATTRIBUTES))
 
 
 # --- 4: intervals

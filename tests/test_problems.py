@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from strata.operators.asof import as_known
-from strata.operators.history import history, satellite, states, with_end
+from strata.operators.history import history, satellite, states, united, with_end
 from strata.operators.intervals import periods_and_gaps
 from strata.operators.orphans import orphan_references
 from strata.operators.profile import load_medians, shares, value_counts
@@ -93,6 +93,13 @@ def test_history_odd(spark):
     assert rows(history(history_of(df.limit(0)), GROUPS)) == []
 
 
+def test_history_comes_from_the_satellites(spark):
+    slow = spark.createDataFrame([("k", 1, 0, "h", "x"), ("k", 4, 0, "i", None)], "entity string, valid_from long, _slice int, row_hash string, a string")
+    fast = spark.createDataFrame([("k", 1, 0, "h", "1"), ("k", 3, 0, "i", "2"), ("k", 4, 0, "j", "3"), ("k", 9, 1, "l", "1")], "entity string, valid_from long, _slice int, row_hash string, b string")
+    got = with_end(united({"slow": slow, "fast": fast}, {"slow": ["a"], "fast": ["b"]})).select("valid_from", "a", "b", "valid_to")
+    assert rows(got) == sorted([(1, "x", "1", 3), (3, "x", "2", 4), (4, None, "3", 9), (9, None, "1", None)], key=repr)
+
+
 # --- intervals
 
 def test_intervals_random(spark):
