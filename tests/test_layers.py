@@ -201,6 +201,17 @@ def test_splits_and_metrics(spark):
     assert one_class.auc is None
 
 
+def test_repeated_delivery_goes_through_the_sink(spark, sf, monkeypatch):
+    from strata.plans import reference
+
+    total = lambda: reference.stream_ingest_idempotent(spark, sf).agg(F.sum("n")).first()[0]
+    events = spark.read.parquet(f"{sf}/events.parquet").count()
+    assert total() == events
+    # a sink that appends whatever comes must show
+    monkeypatch.setattr(reference, "append_new", lambda store, schema, table: lambda batch, _: store.write(batch, schema, table))
+    assert total() == 2 * events
+
+
 def test_matching(spark):
     import random
 
