@@ -60,9 +60,16 @@ def conformed_encounter(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def encounter_windows(stays: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(stays with a valid window, the others): one without a start is not valid, whether or not
+    it has an end."""
+    good, bad = rel.window_violations(stays, "admit_ts", "discharge_ts")
+    return good.filter("admit_ts is not null"), bad.unionByName(good.filter("admit_ts is null"))
+
+
 def silver_encounter(spark: SparkSession, d: str) -> DataFrame:
     known = rel.referential_keep(conformed_encounter(spark, d), silver_patient(spark, d), "patient_sk")
-    return rel.window_violations(known, "admit_ts", "discharge_ts")[0].filter("admit_ts is not null")
+    return encounter_windows(known)[0]
 
 
 def conformed_lab(spark: SparkSession, d: str) -> DataFrame:

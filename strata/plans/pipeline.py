@@ -39,7 +39,7 @@ def build_silver(store: Store, source: str, batch_id: str) -> dict[str, int]:
     conformed = L.conformed_encounter(spark, source)
     rejected = {
         ("encounter", "orphan_patient"): rel.referential_orphans(conformed, L.silver_patient(spark, source), "patient_sk"),
-        ("encounter", "window"): rel.window_violations(conformed, "admit_ts", "discharge_ts")[1],
+        ("encounter", "window"): L.encounter_windows(conformed)[1],
         ("lab_result", "orphan_parent"): L.lab_status(spark, source).filter("status <> 'good'").drop("status"),
     }
     out = _publish(store, source, "silver", SILVER)

@@ -6,12 +6,23 @@ from pyspark.sql import functions as F
 from strata import config
 from strata.operators import cohort as ch
 from strata.operators import contracts, rules
-from strata.plans import pipeline
+from strata.plans import layers, pipeline
 from strata.plans.reference import ENCOUNTER_RULES
 from strata.sources import landing, synth
 from strata.sources.store import Store
 
 
+def test_stay_without_times_is_quarantined(spark, sf, tmp_path, monkeypatch):
+    lost = layers.silver_encounter(spark, sf).selectExpr("min(encounter_sk)").first()[0]
+    times = {c: F.when(F.col("encounter_sk") != lost, F.col(c)) for c in ("admit_ts", "discharge_ts")}
+    held = layers.conformed_encounter(spark, sf).withColumns(times)
+    monkeypatch.setattr(layers, "conformed_encounter", lambda *_: held)
+    store = Store(spark, str(tmp_path / "lake"))
+    pipeline.build_silver(store, sf, "b1")
+    found = lambda schema, table: store.read(schema, table).filter(F.col("encounter_sk") == lost).count()
+    assert (found("silver", "encounter"), found("quarantine", "encounter_window")) == (0, 1)
+
+
 def test_chain(spark, sf, tmp_path):
     store = Store(spark, str(tmp_path / "lake"))
     silver = pipeline.build_silver(store, sf, "b1")
