@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import UTC, datetime
+from itertools import count
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -62,14 +63,14 @@ def tag_rows(defaults: dict[str, str], by_schema: dict[str, dict[str, str]]) ->
     return [(s, k, v) for s, own in sorted(by_schema.items()) for k, v in sorted((defaults | own).items())]
 
 
-def closure(edges: DataFrame, most_steps: int = 50) -> DataFrame:
+def closure(edges: DataFrame) -> DataFrame:
     """(source, target, steps): everything each source leads to, by the shortest way. The frontier
     joins the edges until nothing new comes; it is written at each step, so plans stay short."""
     from strata.session import written
 
     edge = edges.select("source", "target").distinct()
     reached = frontier = written(edge.withColumn("steps", F.lit(1)), "closure")
-    for step in range(2, most_steps + 1):
+    for step in count(2):  # ends, since pairs that are reached don't come again
         grown = frontier.select("source", F.col("target").alias("via")).join(edge.select(F.col("source").alias("via"), "target"), "via").select("source", "target").distinct()
         frontier = written(grown.join(reached, ["source", "target"], "left_anti").withColumn("steps", F.lit(step)), "closure")
         if frontier.isEmpty():

@@ -254,6 +254,13 @@ def test_classifier(spark):
     assert "## Features" in ml.model_card("m", "1", "demo", ["a"], {"auc": 1})
 
 
+def test_closure_reaches_the_end(spark):
+    edges = spark.createDataFrame([(f"n{i}", f"n{i + 1}") for i in range(53)], "source string, target string")
+    # few sources, so that the many steps stay cheap
+    got = {r.target: r.steps for r in gov.closure(edges).filter("source = 'n0'").collect()}
+    assert got == {f"n{i}": i for i in range(1, 54)}
+
+
 def test_governance(spark):
     with pytest.raises(ValueError):
         gov.parse_grants([{"group": "account users", "asset": "*.a.*", "privilege": "SELECT"}])
