@@ -32,7 +32,7 @@ def lower_bound(sizes: np.ndarray, counts: np.ndarray, capacity: int) -> int:
         exact = (x * (k + 1)) % capacity == 0
         mapped = np.where(exact, x * k, (x * (k + 1)) // capacity * capacity)
         best = max(best, -(-int((mapped * n).sum()) // (capacity * k)))
-    for t in np.unique(x[x <= capacity // 2])[:512]:  # whole multiples of t; large sizes by what they leave
+    for t in np.unique(x[x <= capacity // 2]):  # whole multiples of t; large sizes by what they leave
         slots = capacity // t
         mapped = np.where(2 * x > capacity, 2 * (slots - (capacity - x) // t), np.where(2 * x == capacity, slots, 2 * (x // t)))
         best = max(best, -(-int((mapped * n).sum()) // (2 * slots)))

@@ -81,6 +81,13 @@ def test_lower_bound_never_exceeds_a_packing():
     assert packing.lower_bound(np.array([34]), np.array([9]), 100) == 5
 
 
+def test_lower_bound_tries_large_thresholds():
+    # beside 600 small sizes, 4,900 leaves too little for 3,300, two of which fill a container
+    v = np.array([*range(1, 601), 3300, 4900])
+    c = np.array([1] * 600 + [1000, 1000])
+    assert packing.lower_bound(v, c, 8192) == 1500
+
+
 def test_pack(spark):
     rng = random.Random(3)
     counts = [(i, rng.choice([0, 1, 5, 7, 30, 99, 100, 101, 250])) for i in range(600)] + [(None, 5), (7, 5), (7, 5)]
