@@ -9,6 +9,7 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -56,10 +57,10 @@ def probability(c: str = "probability") -> Column:
     return vector_to_array(F.col(c))[1]
 
 
-def calibrated_classifier(train: DataFrame, features: list[str], label: str, *, depth: int = 3, iterations: int = 20, seed: int = 42):
-    """A boosted-tree model with a logistic calibration of its raw score, fitted on the fifth of
-    the training rows the trees have not seen. Returns a function from a frame to the frame with
-    `score` in [0, 1]."""
+def calibrated_classifier(train: DataFrame, features: list[str], label: str, *, depth: int = 3, iterations: int = 50, seed: int = 42, isotonic_from: int | None = 40):
+    """A boosted-tree model with a calibration of its raw score, fitted on the fifth of the
+    training rows the trees have not seen: isotonic from `isotonic_from` training rows on, logistic
+    with fewer or if it is None. Returns a function from a frame to the frame with `score` in [0, 1]."""
     rows = vectorised(train.withColumn("_label", F.col(label).cast("double")), features)
     fold = F.pmod(F.xxhash64("features", "_label"), F.lit(5))
     trees = GBTClassifier(labelCol="_label", maxDepth=depth, maxIter=iterations, seed=seed).fit(rows.filter(fold != 0))
@@ -70,6 +71,9 @@ def calibrated_classifier(train: DataFrame, features: list[str], label: str, *,
     kinds = held.select("_label").distinct().count()
     if kinds < 2:  # nothing to calibrate on: the trees' own probability
         return lambda df: trees.transform(vectorised(df, features)).withColumn("score", probability()).drop("features", "rawPrediction", "probability", "prediction")
+    if isotonic_from is not None and train.count() >= isotonic_from:
+        steps = IsotonicRegression(featuresCol="_score", labelCol="_label", predictionCol="score").fit(held)
+        return lambda df: steps.transform(raw(vectorised(df, features))).drop("features", "_raw", "_score")
     scale = LogisticRegression(featuresCol="_score", labelCol="_label").fit(held)
     return lambda df: scale.transform(raw(vectorised(df, features))).withColumn("score", probability()).drop("features", "_raw", "_score", "rawPrediction", "probability", "prediction")
 
@@ -188,6 +192,16 @@ def propensity(df: DataFrame, treatment: str, features: list[str]) -> DataFrame:
     return LogisticRegression(labelCol="_t", maxIter=50).fit(rows).transform(rows).withColumn("propensity", probability()).drop("features", "_t", "rawPrediction", "probability", "prediction")
 
 
+def propensity_pairs(df: DataFrame, treatment: str, features: list[str], ident: str, caliper: float = 0.2) -> DataFrame:
+    """(treated, control, gap): `matched_pairs` on the propensity. Rows with a null treatment or
+    feature don't count; no pairs from fewer than four rows or one kind of treatment."""
+    rows = written(df.select(ident, treatment, *features).dropna(subset=[treatment, *features]), "propensity")
+    n, kinds = rows.agg(F.count("*"), F.count_distinct(treatment)).first()
+    scored = rows.withColumn("propensity", F.lit(0.0)).limit(0) if n < 4 or kinds < 2 else propensity(rows, treatment, features)
+    side = F.col(treatment).cast("int")
+    return matched_pairs(scored.filter(side == 1), scored.filter(side == 0), "propensity", ident, caliper)
+
+
 def model_card(name: str, version: str, use: str, features: list[str], metrics: dict, fairness: pd.DataFrame | None = None, notes: str = "") -> str:
     """Markdown; at most 40 rows of subgroup figures."""
     lines = [f"# {name} {version}", "", use, "", "## Features", *[f"- {f}" for f in features], "", "## Metrics", *[f"- {k}: {v}" for k, v in metrics.items()]]

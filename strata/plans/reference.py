@@ -477,6 +477,13 @@ def propensity_scores(spark, d):
     return ml.propensity(rows, "treated", ["lab_count", "birth_year"]).select("patient_key", "treated", "propensity")
 
 
+@query
+def propensity_match(spark, d):
+    """Patients with an emergency stay matched to patients without."""
+    rows = L.patient_360(spark, d).select("patient_key", (F.col("ed_count") >= 1).cast("int").alias("treated"), "lab_count", "birth_year")
+    return ml.propensity_pairs(rows, "treated", ["lab_count", "birth_year"], "patient_key")
+
+
 @query
 def lowest_cluster(spark, d):
     """Each cluster with its size, and whether its mean score is the lowest."""

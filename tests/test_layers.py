@@ -261,6 +261,33 @@ def test_closure_reaches_the_end(spark):
     assert got == {f"n{i}": i for i in range(1, 54)}
 
 
+def test_calibration_and_iterations(spark, monkeypatch):
+    from pyspark.ml import classification
+
+    asked = []
+    real = classification.GBTClassifier
+
+    def trees(**k):
+        asked.append(k["maxIter"])
+        return real(**k | {"maxIter": 3})
+
+    monkeypatch.setattr(ml, "GBTClassifier", trees)
+    df = spark.range(600).select((F.col("id") % 10).cast("double").alias("a"), (F.col("id") % 7).cast("double").alias("b")).withColumn("y", (F.col("a") + F.col("b") > 8).cast("int"))
+    isotonic = ml.calibrated_classifier(df, ["a", "b"], "y")(df)
+    logistic = ml.calibrated_classifier(df, ["a", "b"], "y", isotonic_from=None)(df)
+    assert asked == [50, 50] and isotonic.columns == logistic.columns == ["a", "b", "y", "score"]
+    # steps reach 0 and 1, which a logistic curve does not
+    assert isotonic.agg(F.min("score"), F.max("score")).first() == (0.0, 1.0)
+    assert logistic.filter("score <= 0 or score >= 1").isEmpty()
+
+
+def test_propensity_pairs(spark):
+    df = spark.range(200).select("id", (F.col("id") % 3 == 0).cast("int").alias("t"), F.when(F.col("id") != 9, F.col("id") % 11).alias("x"))
+    got = ml.propensity_pairs(df, "t", ["x"], "id").collect()
+    assert len(got) == len({r.treated for r in got}) == len({r.control for r in got}) == 66  # all but the one without x
+    assert ml.propensity_pairs(df.filter("t = 1"), "t", ["x"], "id").count() == ml.propensity_pairs(df.limit(3), "t", ["x"], "id").count() == 0
+
+
 def test_governance(spark):
     with pytest.raises(ValueError):
         gov.parse_grants([{"group": "account users", "asset": "*.a.*", "privilege": "SELECT"}])
