@@ -57,22 +57,20 @@ def _tail(edges: np.ndarray, n: np.ndarray, risk: float) -> float:
     return float(u + sigma[0, j] / xi[i, 0] * ((risk / share) ** -xi[i, 0] - 1)) if risk < share else float(u)
 
 
-def _border(pdf: pd.DataFrame, risk: float, hole: float) -> float:
-    """Distance from which the readings of one source and code are spikes (inf: none)."""
-    by_e = pdf.groupby("e_cell", sort=True)[["e_hi", "n"]].agg({"e_hi": "max", "n": "sum"})
+def _border(cells: pd.DataFrame, risk: float, far: float) -> float:
+    """Distance from which the readings behind `cells` are spikes (inf: none): `far` times the
+    farthest distance of any reading whose residual lies within the fitted cutoff."""
+    by_e = cells.groupby("e_cell", sort=True).agg({"e_lo": "min", "e_hi": "max", "n": "sum"})
     cut = _tail(by_e["e_hi"].to_numpy(float), by_e["n"].to_numpy(float), risk)
-    beyond = pdf["e_lo"].to_numpy(float) > cut
-    lo, hi = pdf["d_lo"].to_numpy(float), pdf["d_hi"].to_numpy(float)
-    regular = hi[~beyond].max() if (~beyond).any() else 0.0
-    far = np.flatnonzero(beyond & (hi > regular))
-    for i in far[np.argsort(lo[far])]:
-        if lo[i] > regular * hole * (1 - 1e-9):
-            return float(lo[i])
-        regular = max(regular, hi[i])
-    return float("inf")
-
-
-def spike_borders(r: DataFrame, *, risk: float = 0.005, hole: float = 1.5) -> DataFrame:
+    regular = (cells["e_lo"] <= cut).to_numpy()
+    lo, hi = cells["d_lo"].to_numpy(float), cells["d_hi"].to_numpy(float)
+    body = hi[regular].max() if regular.any() else 0.0
+    beyond = ~regular & (hi > 0) & (hi >= body * far * (1 - 1e-9))
+    # a body of equal values: whatever differs from it and lies beyond the cutoff is far off
+    return float(max(body * far * (1 - 1e-9), 0.0 if body > 0 else max(lo[beyond].min(), 5e-324))) if beyond.any() else float("inf")
+
+
+def spike_borders(r: DataFrame, *, risk: float = 0.001, far: float = 1.5, least: int = 100) -> DataFrame:
     """(source, code, median, border): readings whose |log(value / median)| is at least `border`
     are spikes.
 
@@ -82,33 +80,46 @@ def spike_borders(r: DataFrame, *, risk: float = 0.005, hole: float = 1.5) -> Da
     2. Both distances, |log ratio| and |residual|, are counted in a two-dimensional histogram per
        source and code, with cells of 1/50 on a log scale that keep their exact least and greatest
        values: a few thousand cells at most, whatever the number of readings.
-    3. Peaks over threshold on the residuals give the cutoff of the stated `risk`; readings within
-       it are regular.
-    4. Exact check: regular readings form one body without wide holes, so those beyond the cutoff
-       join it, nearest first, until one is `hole` times as far out as the body's edge. The rest
-       are spikes."""
+    3. Peaks over threshold on the residuals give the cutoff that regular readings exceed at the
+       fixed `risk`; readings within it are the regular body.
+    4. Exact check: of the readings beyond the cutoff those are spikes that lie at least `far`
+       times as far out as every reading within it.
+
+    A source with fewer than `least` readings of a code has too few peaks for a tail of its own;
+    its distances, taken off its own median and levels, are judged by the tail and body fitted to
+    the distances of all sources of the code."""
     pos = F.col("v") > 0
     med = weighted_quantile(r.withColumn("w", F.lit(1)), ["source", "code"], "v", "w", 0.5, "median")
     month = F.date_trunc("month", F.timestamp_micros("at"))
     logs = r.filter(pos).withColumn("season", F.coalesce(month, F.lit("1900-01-01").cast("timestamp")))
     season = logs.groupBy("source", "code", "season").agg(F.percentile_approx(F.log("v"), 0.5, 500).alias("mid"), F.count("*").alias("c"))
     med, season = bounded(written(med, "median")), bounded(written(season, "season"))
-    far = (
+    off = (
         logs.join(med, ["source", "code"]).join(season, ["source", "code", "season"])
         .filter("median > 0")
         .withColumn("level", (F.col("mid") * F.col("c") + F.log("median") * 20) / (F.col("c") + 20))
         .select("source", "code", F.abs(F.log(F.col("v") / F.col("median"))).alias("d"), F.abs(F.log("v") - F.col("level")).alias("e"))
     )
     cell = lambda c: F.floor(F.log(F.greatest(F.col(c), F.lit(1e-9))) * CELLS)
-    cells = far.groupBy("source", "code", cell("d").alias("d_cell"), cell("e").alias("e_cell")).agg(
+    cells = written(off.groupBy("source", "code", cell("d").alias("d_cell"), cell("e").alias("e_cell")).agg(
         F.count("*").alias("n"), F.min("d").alias("d_lo"), F.max("d").alias("d_hi"), F.min("e").alias("e_lo"), F.max("e").alias("e_hi")
+    ), "cells")
+    sizes = cells.groupBy("source", "code").agg(F.sum("n").alias("size"))
+    own = F.col("size") >= least
+    of_code = cells.groupBy("code", "d_cell", "e_cell").agg(
+        F.sum("n").alias("n"), *[f(c).alias(c) for f, c in ((F.min, "d_lo"), (F.max, "d_hi"), (F.min, "e_lo"), (F.max, "e_hi"))]
     )
 
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"source": [pdf["source"].iloc[0]], "code": [pdf["code"].iloc[0]], "border": [_border(pdf, risk, hole)]})
+    def fitted(groups: list[str]):
+        def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+            return pd.DataFrame({**{g: [pdf[g].iloc[0]] for g in groups}, "border": [_border(pdf, risk, far)]})
+
+        return fit
 
-    borders = cells.groupBy("source", "code").applyInPandas(fit, "source string, code string, border double")
-    return borders.join(med, ["source", "code"])
+    single = cells.join(sizes.filter(own), ["source", "code"], "left_semi").groupBy("source", "code").applyInPandas(fitted(["source", "code"]), "source string, code string, border double")
+    few = sizes.filter(~own).select("source", "code")
+    shared = of_code.join(few.select("code").distinct(), "code", "left_semi").groupBy("code").applyInPandas(fitted(["code"]), "code string, border double")
+    return single.unionByName(few.join(shared, "code").select("source", "code", "border")).join(med, ["source", "code"])
 
 
 def stuck_runs(r: DataFrame, *, least: int = 6, slices: int = SLICES) -> DataFrame:
@@ -131,12 +142,12 @@ def stuck_runs(r: DataFrame, *, least: int = 6, slices: int = SLICES) -> DataFra
     return ranked.join(long, run, "left_semi").select("id")
 
 
-def implausible(r: DataFrame, *, risk: float = 0.005, hole: float = 1.5, least: int = 6) -> DataFrame:
+def implausible(r: DataFrame, *, risk: float = 0.001, far: float = 1.5, least: int = 6) -> DataFrame:
     """(id, reason) of the `readings` that are "impossible" (zero or less), a "spike" (see
     `spike_borders`) or "stuck" (see `stuck_runs`); one row per reason. The readings are written
     once to the shared folder, since several passes follow. An empty input gives no rows."""
     r = written(r, "readings")
-    border = bounded(written(spike_borders(r, risk=risk, hole=hole), "borders"))
+    border = bounded(written(spike_borders(r, risk=risk, far=far), "borders"))
     spikes = r.filter("v > 0").join(border, ["source", "code"]).filter(F.abs(F.log(F.col("v") / F.col("median"))) >= F.col("border"))
     tell = lambda df, why: df.select("id", F.lit(why).alias("reason"))
     return tell(r.filter("v <= 0"), "impossible").unionByName(tell(spikes, "spike")).unionByName(tell(stuck_runs(r, least=least), "stuck"))

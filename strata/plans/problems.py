@@ -60,11 +60,11 @@ MEASURED = {"l": ("lab_result", "lab_result_id", "resulted_ts"), "o": ("observat
 
 
 def _readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The readings of both tables as one; a letter before ids and sources tells the tables apart."""
+    """The readings of both tables as one; a letter before ids and codes tells the tables apart."""
     parts = [
         readings(
-            table(spark, sf_dir, name), row_id=F.concat(F.lit(tag), key_of(F.col(row_id))), source=F.concat(F.lit(tag), F.coalesce(F.lower(F.trim("source_system")), F.lit(""))),
-            code=F.upper(F.trim("loinc_code")), entity=id_of(F.col("patient_id")), at=micros(F.col(at)), value=F.col("value_num"),
+            table(spark, sf_dir, name), row_id=F.concat(F.lit(tag), key_of(F.col(row_id))), source=F.lower(F.trim("source_system")),
+            code=F.concat(F.lit(tag), F.coalesce(F.upper(F.trim("loinc_code")), F.lit(""))), entity=id_of(F.col("patient_id")), at=micros(F.col(at)), value=F.col("value_num"),
         )
         for tag, (name, row_id, at) in MEASURED.items()
     ]

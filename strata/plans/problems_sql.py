@@ -73,11 +73,14 @@ def _p2_table(name: str, row_id: str, at: str) -> str:
 r_{name} as (
   select distinct upper(trim({row_id})) id, lower(trim(source_system)) s, upper(trim(loinc_code)) l, {_id('patient_id')} p, {at} tm, value_num v
   from {name} where value_num is not null and not isnan(value_num)),
-d_{name} as (select id, s, l, abs(ln(v / median(v) over (partition by s, l))) d, v from r_{name} where v > 0),
 m_{name} as (select s, l, median(v) m from r_{name} group by 1, 2),
 e_{name} as (select x.id, x.s, x.l, abs(ln(v / m)) d from r_{name} x join m_{name} y on x.s = y.s and x.l = y.l where v > 0),
-h_{name} as (select *, lag(d) over (partition by s, l order by d) below, percent_rank() over (partition by s, l order by d) pr from e_{name}),
-b_{name} as (select s, l, min(d) border from h_{name} where pr > 0.96 and d >= 1.5 * below group by 1, 2),
+h_{name} as (
+  select *, lag(d) over w below, percent_rank() over w pr, lag(d) over c below_c, percent_rank() over c pr_c, count(*) over (partition by s, l) n
+  from e_{name} window w as (partition by s, l order by d), c as (partition by l order by d)),
+b_{name} as (
+  select s, l, case when any_value(n) >= 100 then min(d) filter (pr > 0.96 and d >= 1.5 * below) else any_value(shared) end border from h_{name}
+  join (select l, min(d) filter (pr_c > 0.96 and d >= 1.5 * below_c) shared from h_{name} group by 1) using (l) group by 1, 2),
 k_{name} as (
   select *, row_number() over (partition by p, l, s order by tm, id) - row_number() over (partition by p, l, s, v order by tm, id) run
   from r_{name} where p is not null and tm is not null),

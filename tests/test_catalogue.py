@@ -14,10 +14,6 @@ from strata.plans import catalogue
 SLOW = {"p5_rolling"}
 
 
-#: p2's twin states the hole rule without a fitted tail; in groups of a few dozen readings the two may differ.
-LARGER = {"p2_found": "/root/testdata/sf0.01"}
-
-
 def duck(folder):
     c = duckdb.connect()
     c.execute("set timezone='UTC'")
@@ -36,7 +32,6 @@ def plain(v):
 
 @pytest.mark.parametrize("name", sorted(set(catalogue.SQL) - SLOW))
 def test_same_as_sql(spark, sf, name):
-    sf = LARGER.get(name, sf)
     got = catalogue.QUERIES[name](spark, sf)
     cols = sorted(got.columns)
     ours = sorted(repr(tuple(plain(v) for v in r)) for r in got.select(*cols).collect())

@@ -251,3 +251,29 @@ def test_orphans_empty(spark):
     r = spark.createDataFrame([("r", "a", 1), ("s", "b", 1)], "row_id string, ref string, seen long")
     assert rows(orphan_references(r.limit(0), p)) == []
     assert {x[2] for x in rows(orphan_references(r, p.limit(0)))} == {"missing"}
+
+
+# --- the fitted tail decides which readings are spikes
+
+@pytest.mark.parametrize("share", [0.5, 0.8])
+def test_spikes_come_from_the_fitted_tail(spark, monkeypatch, share):
+    import numpy as np
+
+    from strata.operators import spikes
+    from strata.plans import problems
+
+    large = "/root/testdata/sf0.1"
+    want = {tuple(r) for r in problems.p2_found(spark, large).collect()}
+    quantile = lambda edges, n, risk: float(edges[np.searchsorted(np.cumsum(n), share * n.sum())])
+    monkeypatch.setattr(spikes, "_tail", quantile)
+    other = {tuple(r) for r in problems.p2_found(spark, large).collect()}
+    assert len(other ^ want) > len(want)
+
+
+def test_few_readings_share_the_tail_of_their_code(spark):
+    rng = random.Random(11)
+    v = lambda: 50.0 * 2.718281828 ** max(-0.6, min(0.6, rng.gauss(0, 0.2)))
+    data = [(f"r{i}", "many", "a", None, i, v()) for i in range(900)] + [(f"f{i}", "few", "a", None, i, v()) for i in range(7)]
+    data += [("x", "few", "a", None, 8, 50.0 * 2.718281828**1.3), ("y", "lone", "b", None, 1, 7.0)]
+    got = implausible(reading(spark.createDataFrame([(*x, None, None, None) for x in data], SCHEMA)))
+    assert rows(got) == [("x", "spike")]
