@@ -10,10 +10,11 @@ from datetime import UTC, datetime
 from pathlib import Path
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.privacy import SEP
+from strata.sources import files
 
 
 @dataclass(frozen=True)
@@ -107,19 +108,21 @@ class Manifest:
     made_at: str = field(default_factory=lambda: datetime.now(UTC).isoformat())
 
     def save(self, path: str | Path) -> None:
-        Path(path).write_text(json.dumps(asdict(self), indent=1, sort_keys=True))
+        files.write_text(SparkSession.active(), str(path), json.dumps(asdict(self), indent=1, sort_keys=True))
 
     @classmethod
-    def load(cls, path: str | Path) -> Manifest:
-        return cls(**json.loads(Path(path).read_text()))
+    def load(cls, path: str | Path) -> Manifest | None:
+        """The manifest on any file system; None if there is none."""
+        text = files.read_text(SparkSession.active(), str(path))
+        return cls(**json.loads(text)) if text is not None else None
 
 
 def reproduce(path: str | Path, cohort: Cohort, rebuild: Callable[[dict[str, int]], DataFrame]) -> int:
     """0 same; 1 no manifest; 2 other kind; 3 definition changed; 4 row count; 5 checksum;
     6 two rebuilds differ. `rebuild` gets the pinned input versions."""
-    if not Path(path).exists():
-        return 1
     m = Manifest.load(path)
+    if m is None:
+        return 1
     if m.kind != "cohort":
         return 2
     if m.definition_hash != cohort.digest:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -18,7 +17,7 @@ from strata.plans import layers as L
 from strata.plans.governance_rows import EDGES
 from strata.plans.problems import table
 from strata.session import written
-from strata.sources.store import Store
+from strata.sources.store import shared_store
 from strata.streaming.ingest import append_new, expect_or_drop, run_available
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -572,11 +571,7 @@ def row_filtered(spark, d):
 
 def _streamed(spark: SparkSession, d: str, transform: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
     """The events table as a stream of files, run until all are read, into a written table."""
-    import uuid
-
-    from strata.session import shared_folder
-
-    base = f"{shared_folder(spark)}/strata-stream-{uuid.uuid4().hex}"
+    base = shared_store(spark, "stream").root
     schema = table(spark, d, "events").schema
     source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
     run_available(transform(source), lambda df, i: df.write.mode("overwrite").parquet(f"{base}/{name}/batch={i}"), f"{base}/checkpoint")
@@ -592,17 +587,12 @@ def stream_expect_drop(spark, d):
 def stream_ingest_idempotent(spark, d):
     """Every file is delivered twice, to a stream with a checkpoint of its own each time; rows
     are new only once."""
-    import uuid
-
-    from strata.session import shared_folder
-
-    base = f"{shared_folder(spark)}/strata-stream-{uuid.uuid4().hex}"
-    store = Store(spark, re.sub("^file:/+", "/", base))  # its version list is a local file
+    store = shared_store(spark, "stream")
     schema = table(spark, d, "events").schema
     for delivery in ("first", "second"):
         source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
         hashed = source.withColumn("_record_hash", F.sha2(F.col("event_id").cast("string"), 256))
-        run_available(hashed, append_new(store, "bronze", "events"), f"{base}/checkpoint-{delivery}")
+        run_available(hashed, append_new(store, "bronze", "events"), f"{store.root}/checkpoint-{delivery}")
     return store.read("bronze", "events").groupBy("event_type").agg(F.count("*").alias("n"))
 
 

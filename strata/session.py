@@ -9,6 +9,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strata.sources import files
+
 
 def get_spark(app_name: str = "strata", master: str | None = None, **conf: str) -> SparkSession:
     """A UTC session with adaptive execution. Cluster settings given by the caller or by
@@ -42,15 +44,6 @@ def shared_folder(spark: SparkSession) -> str:
     return own
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    try:
-        jvm = spark.sparkContext._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-    except Exception:  # the session may be gone already
-        pass
-
-
 def written(df: DataFrame, label: str = "cut") -> DataFrame:
     """Cut the lineage of `df`: write it once as a compressed table in the shared folder and read
     it back. Lost executors cost nothing, since no copy lives on them. The table is removed when
@@ -58,5 +51,5 @@ def written(df: DataFrame, label: str = "cut") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/strata-{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    atexit.register(_remove, spark, path)
+    atexit.register(files.remove, spark, path)
     return spark.read.schema(df.schema).parquet(path)

@@ -1,21 +1,28 @@
-"""A versioned Parquet table store: <root>/<schema>/<table>/v=N and a pointer to the latest."""
+"""A versioned Parquet table store: <root>/<schema>/<table>/v=N-... and a log entry per version."""
 
 from __future__ import annotations
 
+import atexit
 import json
-from pathlib import Path
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.session import shared_folder
+from strata.sources import files
+
 #: Logical schemas of the layers.
 SCHEMAS = ["landing", "bronze", "silver", "gold", "quarantine", "checkpoints", "artifacts", "restricted", "ops", "ml", "sandbox"]
 
 
 class Store:
-    """Writes go to a new version directory and become visible when the pointer moves, so that a
-    table may be overwritten while it is read and failed writes leave no trace. An append writes
-    only the new rows: a version lists the directories that make it up."""
+    """Writes go to a new version directory and become visible when the version's log entry is
+    created, so that a table may be overwritten while it is read and failed writes leave no trace.
+    An entry is never replaced: of two writers of the same version one fails. An append writes only
+    the new rows: a version lists the directories that make it up.
+
+    The root may lie on any file system that Spark reads."""
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark, self.root = spark, root.rstrip("/")
@@ -23,54 +30,67 @@ class Store:
     def path(self, schema: str, table: str) -> str:
         return f"{self.root}/{schema}/{table}"
 
-    def _log(self, schema: str, table: str) -> list[list[str]]:
-        p = Path(self.path(schema, table)) / "_versions.json"
-        return json.loads(p.read_text()) if p.exists() else []
+    def version(self, schema: str, table: str) -> int:
+        """Number of the latest version; -1 if the table is missing."""
+        entries = files.names(self.spark, f"{self.path(schema, table)}/_log")
+        return int(entries[-1].split(".")[0]) if entries else -1
 
     def exists(self, schema: str, table: str) -> bool:
-        return bool(self._log(schema, table))
+        return self.version(schema, table) >= 0
 
-    def version(self, schema: str, table: str) -> int:
-        """Number of the latest version; -1 if the table is missing."""
-        return len(self._log(schema, table)) - 1
+    def _parts(self, schema: str, table: str, version: int) -> list[str]:
+        text = files.read_text(self.spark, f"{self.path(schema, table)}/_log/{version:012d}.json") if version >= 0 else None
+        if text is None:
+            raise FileNotFoundError(f"{schema}.{table}")
+        return json.loads(text)
+
+    def _read_parts(self, schema: str, table: str, parts: list[str]) -> DataFrame:
+        return self.spark.read.option("mergeSchema", len(parts) > 1).parquet(*[f"{self.path(schema, table)}/{p}" for p in parts])
 
     def read(self, schema: str, table: str, version: int | None = None) -> DataFrame:
-        log = self._log(schema, table)
-        if not log:
-            raise FileNotFoundError(f"{schema}.{table}")
-        parts = log[-1 if version is None else version]
-        base = self.path(schema, table)
-        return self.spark.read.option("mergeSchema", len(parts) > 1).parquet(*[f"{base}/{p}" for p in parts])
+        return self._read_parts(schema, table, self._parts(schema, table, self.version(schema, table) if version is None else version))
 
     def write(self, df: DataFrame, schema: str, table: str, *, mode: str = "append", partition_by: list[str] | None = None) -> int:
         """Rows written. Modes: append, overwrite, error, ignore."""
-        log = self._log(schema, table)
-        if log and mode == "error":
+        last = self.version(schema, table)
+        if last >= 0 and mode == "error":
             raise FileExistsError(f"{schema}.{table}")
-        if log and mode == "ignore":
+        if last >= 0 and mode == "ignore":
             return 0
-        part = f"v={len(log)}"
-        writer = df.write.mode("overwrite").option("compression", "zstd")
+        part = f"v={last + 1}-{uuid.uuid4().hex[:8]}"
+        writer = df.write.option("compression", "zstd")
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{self.path(schema, table)}/{part}")
-        log.append((log[-1] if log and mode == "append" else []) + [part])
-        target = Path(self.path(schema, table)) / "_versions.json"
-        swap = target.with_suffix(".tmp")
-        swap.write_text(json.dumps(log))
-        swap.replace(target)
+        held = self._parts(schema, table, last) if last >= 0 and mode == "append" else []
+        files.write_text(self.spark, f"{self.path(schema, table)}/_log/{last + 1:012d}.json", json.dumps([*held, part]), overwrite=False)
         return self.spark.read.parquet(f"{self.path(schema, table)}/{part}").count()  # from the files' footers
 
     def changes(self, schema: str, table: str, since: int) -> DataFrame:
         """Rows of the latest version that version `since` lacks, and the other way round, with
-        `_change` insert or delete."""
-        new, old = self.read(schema, table), self.read(schema, table, since)
-        return new.exceptAll(old).withColumn("_change", F.lit("insert")).unionByName(old.exceptAll(new).withColumn("_change", F.lit("delete")))
+        `_change` insert or delete. Directories that both versions list are not read, so after
+        appends only the new rows are."""
+        last = self.version(schema, table)
+        new, old = self._parts(schema, table, last), self._parts(schema, table, since)
+        came, gone = [p for p in new if p not in old], [p for p in old if p not in new]
+        empty = self.read(schema, table, last).limit(0)
+        rows = lambda parts: self._read_parts(schema, table, parts) if parts else empty
+        tell = lambda df, what: df.withColumn("_change", F.lit(what))
+        if not gone:
+            return tell(rows(came), "insert")
+        return tell(rows(came).exceptAll(rows(gone)), "insert").unionByName(tell(rows(gone).exceptAll(rows(came)), "delete"))
 
     def register(self, *schemas: str) -> list[str]:
         """Temporary views schema_table for every table of the schemas."""
-        names = []
+        found = []
         for s in schemas:
-            base = Path(self.root) / s
-            for t in sorted(p.name for p in base.iterdir() if self.exists(s, p.name)) if base.exists() else []:
-                self.read(s, t).createOrReplaceTempView(f"{s}_{t}")
-                names.append(f"{s}_{t}")
-        return names
+            for t in files.names(self.spark, f"{self.root}/{s}"):
+                if self.exists(s, t):
+                    self.read(s, t).createOrReplaceTempView(f"{s}_{t}")
+                    found.append(f"{s}_{t}")
+        return found
+
+
+def shared_store(spark: SparkSession, label: str) -> Store:
+    """A store in the session's shared folder that is removed when the driver ends."""
+    store = Store(spark, f"{shared_folder(spark)}/strata-{label}-{uuid.uuid4().hex}")
+    atexit.register(files.remove, spark, store.root)
+    return store
