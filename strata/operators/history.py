@@ -1,4 +1,16 @@
-"""History of changing entity attributes: insert-only satellites and lead-based end dates."""
+"""History of changing entity attributes: insert-only satellites and lead-based end dates.
+
+Attributes are split by change rate into groups. Each group has a satellite, a table that rows are
+only ever appended to: a delivery adds a row where the hash of its stated attributes differs from
+the hash in force before it. A narrow tracking table keeps the hashes of every delivery that
+counts, also of those that added nothing. It is what makes loads independent of their order: when a
+late delivery lands between two equal ones, the later of them, dropped before, is restored.
+
+    load(store, "patient", deliveries(...), groups)      # once per batch
+    history(store, "patient", groups)                     # view over all satellites
+
+Tables of a store's schema "vault": <name>_<group> and <name>_track.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +19,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.sliced import SLICES, filled_forward, following, sliced
+from strata.operators.sliced import SLICES, filled_forward, following, previous, sliced
+from strata.session import written
+from strata.sources.store import Store
+
+VAULT = "vault"
+_KEY = ["entity", "valid_from"]
 
 
 def _digest(columns: list[str]) -> Column:
@@ -16,39 +33,80 @@ def _digest(columns: list[str]) -> Column:
     return F.sha2(F.concat_ws("␟", *parts), 256)
 
 
-def states(
-    deliveries: DataFrame, *, entity: Column, valid_from: Column, recorded_at: Column,
-    attributes: dict[str, Column], groups: dict[str, list[str]], slices: int = SLICES,
-) -> DataFrame:
-    """Per entity and `valid_from` the delivery with the greatest `recorded_at` (ties: the
-    greatest attribute values), missing attributes filled from the last stated value, with
-    <group>_changed for each satellite group: its hash differs from the one before, or the row is
-    the entity's first. Times are epoch microseconds.
+def deliveries(df: DataFrame, *, entity: Column, valid_from: Column, recorded_at: Column, attributes: dict[str, Column]) -> DataFrame:
+    """(entity, valid_from, rec, attributes): per entity and `valid_from` the delivery with the
+    greatest `recorded_at` (ties: the greatest attribute values). Times are epoch microseconds, a
+    null attribute is not stated.
 
     Deliveries with a null entity or `valid_from` are ignored; a null `recorded_at` is older than
     any; an empty table gives no rows."""
-    names = list(attributes)
-    src = deliveries.select(
-        entity.alias("entity"), valid_from.alias("valid_from"), recorded_at.alias("rec"),
-        *[c.alias(n) for n, c in attributes.items()],
-    ).filter("entity is not null and valid_from is not null")
-    won = src.groupBy("entity", "valid_from").agg(F.max(F.struct("rec", *names)).alias("m")).select(
-        "entity", "valid_from", *[F.col("m")[n].alias(n) for n in names]
-    )
-    full = filled_forward(sliced(won, "valid_from", slices=slices), ["entity"], "valid_from", names)
-    return full.select(
-        "entity", "valid_from", "_slice", *names,
-        *[
-            (F.col("_first") | (_digest(cols) != _digest([f"was_{c}" for c in cols]))).alias(f"{g}_changed")
-            for g, cols in groups.items()
-        ],
-        *[_digest(cols).alias(f"{g}_hash") for g, cols in groups.items()],
-    )
-
-
-def satellite(state: DataFrame, group: str, columns: list[str]) -> DataFrame:
-    """The insert-only table of one attribute group: a row only where its hash changed."""
-    return state.filter(F.col(f"{group}_changed")).select("entity", "valid_from", "_slice", F.col(f"{group}_hash").alias("row_hash"), *columns)
+    src = df.select(entity.alias("entity"), valid_from.alias("valid_from"), recorded_at.alias("rec"), *[c.alias(n) for n, c in attributes.items()])
+    won = src.filter("entity is not null and valid_from is not null").groupBy(*_KEY).agg(F.max(F.struct("rec", *attributes)).alias("m"))
+    return won.select(*_KEY, "m.*")
+
+
+def _tracked(store: Store, name: str, groups: dict[str, list[str]], touched: DataFrame) -> DataFrame:
+    """The deliveries of the touched entities that count so far, with their attributes looked up
+    by hash in the satellites: every tracked hash stands in its entity's satellite."""
+    rows = store.read(VAULT, f"{name}_track").join(touched, "entity", "left_semi")
+    rows = rows.groupBy(*_KEY).agg(F.max(F.struct("rec", "seq", *[f"{g}_hash" for g in groups])).alias("m")).select(*_KEY, "m.*")
+    for g, cols in groups.items():
+        known = store.read(VAULT, f"{name}_{g}").select("entity", F.col("row_hash").alias(f"{g}_hash"), *cols).distinct()
+        rows = rows.join(known, ["entity", f"{g}_hash"])
+    return rows
+
+
+def load(store: Store, name: str, batch: DataFrame, groups: dict[str, list[str]], *, slices: int = SLICES) -> dict[str, int]:
+    """Appends a batch of `deliveries` to the satellites and the tracking table; returns the rows
+    added to each. Batches may come in any order and more than once: the views show the same as
+    after one load of everything, and a batch that was loaded before adds nothing.
+
+    Only entities of the batch are looked at. Predecessors are found per time slice, so a hot
+    entity is spread over tasks."""
+    names = [c for cols in groups.values() for c in cols]
+    hashes = {g: f"{g}_hash" for g in groups}
+    new = batch.select(*_KEY, "rec", *names)
+    seq = store.version(VAULT, f"{name}_track") + 1  # number of this load
+    if seq == 0:
+        won = new.withColumns({h: _digest(groups[g]) for g, h in hashes.items()})
+        won = won.select("*", *[F.lit(None).cast("string").alias(f"had_{g}") for g in groups], F.lit(None).cast("string").alias("had"))
+    else:
+        old = _tracked(store, name, groups, new.select("entity").distinct())
+        mark = F.concat_ws("|", F.coalesce(F.col("rec").cast("string"), F.lit("~")), *hashes.values())
+        both = old.select(*_KEY, "rec", *names, mark.alias("had")).unionByName(new.withColumn("had", F.lit(None).cast("string")))
+        won = both.groupBy(*_KEY).agg(F.max(F.struct("rec", *names)).alias("m"), F.max("had").alias("had")).select(*_KEY, "m.*", "had")
+        won = won.withColumns({h: _digest(groups[g]) for g, h in hashes.items()})
+        for g in groups:
+            held = satellite(store, name, g, groups[g]).select(*_KEY, F.col("row_hash").alias(f"had_{g}"))
+            won = won.join(held.join(new.select("entity").distinct(), "entity", "left_semi"), _KEY, "left")
+    cut = sliced(won, "valid_from", slices=slices)
+    before = previous(cut, ["entity"], ["valid_from"], list(hashes.values()))
+    now = F.concat_ws("|", F.coalesce(F.col("rec").cast("string"), F.lit("~")), *hashes.values())
+    adds = {g: F.when(F.col(f"had_{g}").isNotNull(), F.col(f"had_{g}") != F.col(h)).otherwise(~F.col(h).eqNullSafe(F.col(f"prev_{h}"))).alias(f"adds_{g}") for g, h in hashes.items()}
+    marked = written(before.select(*_KEY, "rec", *names, *hashes.values(), *adds.values(), (~F.col("had").eqNullSafe(now)).alias("tracks")), "load")
+    out = {}
+    for g, cols in groups.items():
+        rows = marked.filter(f"adds_{g}").select(*_KEY, "rec", F.lit(seq).alias("seq"), F.col(hashes[g]).alias("row_hash"), *cols)
+        out[g] = store.write(rows, VAULT, f"{name}_{g}") if seq == 0 or not rows.isEmpty() else 0
+    tracked = marked.filter("tracks").select(*_KEY, "rec", F.lit(seq).alias("seq"), *hashes.values())
+    out["track"] = store.write(tracked, VAULT, f"{name}_track") if seq == 0 or not tracked.isEmpty() else 0
+    return out
+
+
+def satellite(store: Store, name: str, group: str, columns: list[str]) -> DataFrame:
+    """(entity, valid_from, row_hash, columns): the rows of a satellite that hold, i.e. the latest
+    that was appended per entity and `valid_from`."""
+    rows = store.read(VAULT, f"{name}_{group}")
+    return rows.groupBy(*_KEY).agg(F.max(F.struct("rec", "seq", "row_hash", *columns)).alias("m")).select(*_KEY, "m.row_hash", *[f"m.{c}" for c in columns])
+
+
+def changes(rows: DataFrame, columns: list[str], *, slices: int = SLICES) -> DataFrame:
+    """Of rows per (entity, valid_from), those where an attribute in force changes, with what is
+    in force: an attribute that is not stated leaves the last stated value. The entity's first row
+    is a change. `_slice` stays for `with_end`."""
+    full = filled_forward(sliced(rows, "valid_from", slices=slices), ["entity"], "valid_from", columns)
+    differs = reduce(lambda a, b: a | b, [~F.col(c).eqNullSafe(F.col(f"was_{c}")) for c in columns], F.col("_first"))
+    return full.filter(differs).select(*_KEY, "_slice", *columns)
 
 
 def with_end(rows: DataFrame) -> DataFrame:
@@ -56,17 +114,22 @@ def with_end(rows: DataFrame) -> DataFrame:
     return following(rows, ["entity"], "valid_from", "valid_to").drop("_slice")
 
 
+def timeline(rows: DataFrame, columns: list[str], *, slices: int = SLICES) -> DataFrame:
+    """The lead view of one satellite: its changes with their ends and the hash of what is in
+    force."""
+    return with_end(changes(rows, columns, slices=slices).withColumn("row_hash", _digest(columns)))
+
+
 def united(satellites: dict[str, DataFrame], groups: dict[str, list[str]]) -> DataFrame:
-    """The union of the satellites' change points, each with the attributes that every satellite
-    states as of then."""
-    parts = [rows.select("entity", "valid_from", "_slice", F.struct(*groups[g]).alias(g)) for g, rows in satellites.items()]
+    """The union of the satellites' rows per (entity, valid_from), each with what every satellite
+    states there."""
+    parts = [rows.select(*_KEY, *groups[g]) for g, rows in satellites.items()]
     points = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    points = points.groupBy("entity", "valid_from", "_slice").agg(*[F.first(g, ignorenulls=True).alias(g) for g in groups])
-    full = filled_forward(points, ["entity"], "valid_from", list(groups))
-    return full.select("entity", "valid_from", "_slice", *[F.col(g)[c].alias(c) for g, cols in groups.items() for c in cols])
+    return points.groupBy(*_KEY).agg(*[F.max(c).alias(c) for cols in groups.values() for c in cols])  # one row a satellite
 
 
-def history(state: DataFrame, groups: dict[str, list[str]]) -> DataFrame:
-    """One row per period of unchanged attributes over all satellites, with the end computed by
-    lead. Every satellite reads `state`, so it should be written."""
-    return with_end(united({g: satellite(state, g, cols) for g, cols in groups.items()}, groups))
+def history(store: Store, name: str, groups: dict[str, list[str]], *, slices: int = SLICES) -> DataFrame:
+    """(entity, valid_from, attributes, valid_to): one row per period of unchanged attributes over
+    all satellites, with the end computed by lead."""
+    points = united({g: satellite(store, name, g, cols) for g, cols in groups.items()}, groups)
+    return with_end(changes(points, [c for cols in groups.values() for c in cols], slices=slices))

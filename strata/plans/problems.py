@@ -11,12 +11,12 @@ from strata.functions.text import attribute_of, id_of, key_of, micros
 from strata.operators import profile
 from strata.operators.asof import as_known
 from strata.operators.current import latest
-from strata.operators.history import history, satellite, states, with_end
+from strata.operators.history import deliveries, history, load, satellite, timeline
 from strata.operators.intervals import periods_and_gaps
 from strata.operators.orphans import orphan_references
 from strata.operators.rolling import each_day, trailing_runs
 from strata.operators.spikes import implausible, readings
-from strata.session import written
+from strata.sources.store import Store, shared_store
 
 ATTRIBUTES = {"slow": ["sex", "race", "ethnicity"], "fast": ["zip3", "age_band"]}
 FIRST_DAY, LAST_DAY = "2023-01-01", "2024-12-31"
@@ -81,12 +81,15 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- 3: history of attributes
 
-def _states(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return states(
-        table(spark, sf_dir, "patient"), entity=id_of(F.col("patient_id")), valid_from=micros(F.col("valid_from")),
-        recorded_at=micros(F.col("_ingest_ts")), groups=ATTRIBUTES,
+def _vault(spark: SparkSession, sf_dir: str) -> Store:
+    """A store with the satellites of all patient deliveries, loaded as one batch."""
+    store = shared_store(spark, "vault")
+    batch = deliveries(
+        table(spark, sf_dir, "patient"), entity=id_of(F.col("patient_id")), valid_from=micros(F.col("valid_from")), recorded_at=micros(F.col("_ingest_ts")),
         attributes={c: attribute_of(F.col(c)) for cols in ATTRIBUTES.values() for c in cols},
     )
+    load(store, "patient", batch, ATTRIBUTES)
+    return store
 
 
 def _spell(df: DataFrame, *columns: str) -> DataFrame:
@@ -98,15 +101,32 @@ def _spell(df: DataFrame, *columns: str) -> DataFrame:
 
 def p3_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The full history with its attributes."""
-    return _spell(history(written(_states(spark, sf_dir), "states"), ATTRIBUTES), *[c for cols in ATTRIBUTES.values() for c in cols])
+    return _spell(history(_vault(spark, sf_dir), "patient", ATTRIBUTES), *[c for cols in ATTRIBUTES.values() for c in cols])
 
 
 def p3_satellite_slow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _spell(with_end(satellite(_states(spark, sf_dir), "slow", ATTRIBUTES["slow"])), "row_hash", *ATTRIBUTES["slow"])
+    slow = ATTRIBUTES["slow"]
+    return _spell(timeline(satellite(_vault(spark, sf_dir), "patient", "slow", slow), slow), "row_hash", *slow)
+
+
+def p3_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history from satellites that were loaded half-year by half-year of arrival, the latest
+    first, and one of them twice: the same as from one load."""
+    store = shared_store(spark, "vault")
+    rows = table(spark, sf_dir, "patient")
+    for part in ("2024-07", "2024-01", "2023-07", "2024-01", ""):
+        end = {"2024-07": "9", "2024-01": "2024-07", "2023-07": "2024-01", "": "2023-07"}[part]
+        arrived = F.coalesce(F.date_format("_ingest_ts", "yyyy-MM"), F.lit(""))
+        batch = deliveries(
+            rows.filter((arrived >= part) & (arrived < end)), entity=id_of(F.col("patient_id")), valid_from=micros(F.col("valid_from")), recorded_at=micros(F.col("_ingest_ts")),
+            attributes={c: attribute_of(F.col(c)) for cols in ATTRIBUTES.values() for c in cols},
+        )
+        load(store, "patient", batch, ATTRIBUTES)
+    return _spell(history(store, "patient", ATTRIBUTES))
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _spell(history(written(_states(spark, sf_dir), "states"), ATTRIBUTES))
+    return _spell(history(_vault(spark, sf_dir), "patient", ATTRIBUTES))
 
 
 # --- 4: intervals
@@ -262,5 +282,5 @@ def p7_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (p1_found, p1_known, p2_found, p3_found, p3_history, p3_satellite_slow, p4_found, p4_periods, p5_found, p5_rolling, p6_found, p6_profile, p7_found, p7_report)
+    for f in (p1_found, p1_known, p2_found, p3_found, p3_history, p3_satellite_slow, p3_batches, p4_found, p4_periods, p5_found, p5_rolling, p6_found, p6_profile, p7_found, p7_report)
 }

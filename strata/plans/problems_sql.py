@@ -162,6 +162,7 @@ SQL = {
     "p1_known": _P1 + f" select s.encounter_id, s.patient patient_id, {_s('s.admit_ts')} admit_s, k.band age_band, case when s.admit_ts is not null then l.band end latest_age_band from standing s left join known k using (encounter_id) left join lasts l on l.patient = s.patient",
     "p2_found": _P2,
     "p3_found": _WON + f" select patient_id, {_s('valid_from')} valid_from_s, coalesce({_s('valid_to')}, -1) valid_to_s from history",
+    "p3_batches": _WON + f" select patient_id, {_s('valid_from')} valid_from_s, coalesce({_s('valid_to')}, -1) valid_to_s from history",
     "p3_history": _WON + f" select patient_id, {_s('valid_from')} valid_from_s, coalesce({_s('valid_to')}, -1) valid_to_s, sex, race, ethnicity, zip3, age_band from history",
     "p3_satellite_slow": _WON + f""" select patient_id, {_s('valid_from')} valid_from_s, coalesce(lead({_s('valid_from')}) over (partition by patient_id order by valid_from), -1) valid_to_s,
       sha256(concat_ws('␟', coalesce('=' || sex, '~'), coalesce('=' || race, '~'), coalesce('=' || ethnicity, '~'))) row_hash, sex, race, ethnicity

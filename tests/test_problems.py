@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from strata.operators.asof import as_known
-from strata.operators.history import history, satellite, states, united, with_end
+from strata.operators.history import changes, deliveries, history, load, satellite, timeline, united, with_end
 from strata.operators.intervals import periods_and_gaps
 from strata.operators.orphans import orphan_references
 from strata.operators.profile import load_medians, shares, value_counts
 from strata.operators.rolling import each_day, trailing_runs
 from strata.operators.spikes import implausible, readings, spike_borders, stuck_runs
+from strata.sources.store import Store
 
 C = F.col
 
@@ -53,16 +54,22 @@ def test_as_known_odd(spark):
 # --- history
 
 GROUPS = {"slow": ["a"], "fast": ["b"]}
+DELIVERY = "k string, vf long, rec long, a string, b string"
 
 
-def history_of(df, slices=4):
-    return states(df, entity=C("k"), valid_from=C("vf"), recorded_at=C("rec"), attributes={"a": C("a"), "b": C("b")}, groups=GROUPS, slices=slices)
+def delivered(df):
+    return deliveries(df, entity=C("k"), valid_from=C("vf"), recorded_at=C("rec"), attributes={"a": C("a"), "b": C("b")})
 
 
-def test_history_random(spark):
-    rng = random.Random(4)
-    data = [("hot" if rng.random() < 0.5 else f"p{rng.randrange(4)}", rng.randrange(40), rng.randrange(5), rng.choice([None, "x", "y"]), rng.choice([None, "1", "2"])) for _ in range(200)]
-    df = spark.createDataFrame(data, "k string, vf long, rec long, a string, b string")
+def history_of(spark, where, *batches):
+    """The history from one load per batch, and the store."""
+    store = Store(spark, str(where))
+    for df in batches:
+        load(store, "p", delivered(df), GROUPS, slices=4)
+    return history(store, "p", GROUPS, slices=4), store
+
+
+def history_by_force(data):
     want = []
     for key in {d[0] for d in data}:
         won = {}
@@ -79,25 +86,59 @@ def test_history_random(spark):
                 spans.append([key, vf, *new])
             state = new
         want += [(*s, e[1] if e else None) for s, e in zip(spans, [*spans[1:], None], strict=True)]
-    got = history(history_of(df), GROUPS).select("entity", "valid_from", "a", "b", "valid_to")
-    assert rows(got) == sorted(want, key=repr)
-    slow = with_end(satellite(history_of(df), "slow", ["a"])).filter("entity = 'hot'").orderBy("valid_from").collect()
+    return sorted(want, key=repr)
+
+
+def test_history_random(spark, tmp_path):
+    rng = random.Random(4)
+    data = [("hot" if rng.random() < 0.5 else f"p{rng.randrange(4)}", rng.randrange(40), rng.randrange(5), rng.choice([None, "x", "y"]), rng.choice([None, "1", "2"])) for _ in range(200)]
+    got, store = history_of(spark, tmp_path, spark.createDataFrame(data, DELIVERY))
+    assert rows(got.select("entity", "valid_from", "a", "b", "valid_to")) == history_by_force(data)
+    slow = timeline(satellite(store, "p", "slow", ["a"]), ["a"]).filter("entity = 'hot'").orderBy("valid_from").collect()
     assert all(x.a != y.a for x, y in zip(slow, slow[1:], strict=False))
     assert [x.valid_to for x in slow[:-1]] == [y.valid_from for y in slow[1:]]
 
 
-def test_history_odd(spark):
-    schema = "k string, vf long, rec long, a string, b string, entity string, _slice int"
-    df = spark.createDataFrame([(None, 1, 1, "x", "1", "", 0), ("k", None, 1, "x", "1", "", 0), ("k", 1, None, None, None, "", 0), ("k", 2, None, "é" * 5000, None, "", 0), ("k", 2, None, "é" * 5000, None, "", 0)], schema)
-    assert [(r.entity, r.valid_from, r.valid_to) for r in history(history_of(df), GROUPS).orderBy("valid_from").collect()] == [("k", 1, 2), ("k", 2, None)]
-    assert rows(history(history_of(df.limit(0)), GROUPS)) == []
+@pytest.mark.parametrize("seed", [1, 2])
+def test_satellites_are_insert_only(spark, tmp_path, seed):
+    """Batches in any order of validity and arrival, some twice: the view is that of one load,
+    stored rows never change, and what was loaded before adds nothing."""
+    rng = random.Random(seed)
+    data = [(rng.choice(["hot", "hot", "p0", "p1"]), rng.randrange(25), rng.randrange(6), rng.choice([None, "x", "y"]), rng.choice([None, "1", "2", "3"])) for _ in range(150)]
+    store, kept = Store(spark, str(tmp_path)), set()
+    for i in range(3):
+        batch = delivered(spark.createDataFrame(data[i * 50 : i * 50 + 50], DELIVERY))
+        load(store, "p", batch, GROUPS, slices=3)
+        assert set(load(store, "p", batch, GROUPS, slices=3).values()) == {0}
+        now = {(g, *r) for g in GROUPS for r in store.read("vault", f"p_{g}").collect()}
+        assert kept <= now
+        kept = now
+        assert rows(history(store, "p", GROUPS).select("entity", "valid_from", "a", "b", "valid_to")) == history_by_force(data[: i * 50 + 50])
+    assert set(load(store, "p", delivered(spark.createDataFrame(data, DELIVERY)), GROUPS).values()) == {0}
+
+
+def test_late_delivery_restores_what_was_dropped(spark, tmp_path):
+    at = lambda *d: spark.createDataFrame([("k", *d)], DELIVERY)
+    got, store = history_of(spark, tmp_path, at(1, 1, "x", "1"), at(5, 2, "x", "1"))
+    assert store.read("vault", "p_slow").count() == 1 and store.read("vault", "p_track").count() == 2
+    assert rows(got.select("valid_from", "a", "valid_to")) == [(1, "x", None)]
+    got, store = history_of(spark, tmp_path, at(3, 3, "y", "1"))
+    assert rows(got.select("valid_from", "a", "valid_to")) == sorted([(1, "x", 3), (3, "y", 5), (5, "x", None)], key=repr)
+    assert store.read("vault", "p_slow").count() == 3 and store.read("vault", "p_fast").count() == 1
+
+
+def test_history_odd(spark, tmp_path):
+    schema = "k string, vf long, rec long, a string, b string, entity string, _slice int, row_hash string"
+    df = spark.createDataFrame([(None, 1, 1, "x", "1", "", 0, ""), ("k", None, 1, "x", "1", "", 0, ""), ("k", 1, None, None, None, "", 0, ""), ("k", 2, None, "é" * 5000, None, "", 0, ""), ("k", 2, None, "é" * 5000, None, "", 0, "")], schema)
+    assert [(r.entity, r.valid_from, r.valid_to) for r in history_of(spark, tmp_path / "a", df)[0].orderBy("valid_from").collect()] == [("k", 1, 2), ("k", 2, None)]
+    assert rows(history_of(spark, tmp_path / "b", df.limit(0), df.limit(0))[0]) == []
 
 
 def test_history_comes_from_the_satellites(spark):
-    slow = spark.createDataFrame([("k", 1, 0, "h", "x"), ("k", 4, 0, "i", None)], "entity string, valid_from long, _slice int, row_hash string, a string")
-    fast = spark.createDataFrame([("k", 1, 0, "h", "1"), ("k", 3, 0, "i", "2"), ("k", 4, 0, "j", "3"), ("k", 9, 1, "l", "1")], "entity string, valid_from long, _slice int, row_hash string, b string")
-    got = with_end(united({"slow": slow, "fast": fast}, {"slow": ["a"], "fast": ["b"]})).select("valid_from", "a", "b", "valid_to")
-    assert rows(got) == sorted([(1, "x", "1", 3), (3, "x", "2", 4), (4, None, "3", 9), (9, None, "1", None)], key=repr)
+    slow = spark.createDataFrame([("k", 1, "h", "x"), ("k", 4, "i", None)], "entity string, valid_from long, row_hash string, a string")
+    fast = spark.createDataFrame([("k", 1, "h", "1"), ("k", 3, "i", "2"), ("k", 4, "j", "3"), ("k", 9, "l", "1")], "entity string, valid_from long, row_hash string, b string")
+    got = with_end(changes(united({"slow": slow, "fast": fast}, GROUPS), ["a", "b"])).select("valid_from", "a", "b", "valid_to")
+    assert rows(got) == sorted([(1, "x", "1", 3), (3, "x", "2", 4), (4, "x", "3", 9), (9, "x", "1", None)], key=repr)
 
 
 # --- intervals
