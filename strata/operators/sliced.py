@@ -5,38 +5,62 @@ at quantiles of all rows, windows run per (entity, slice), and what earlier slic
 comes from one row per (entity, slice), aggregated on the map side. An entity with a third of
 all rows is thereby spread over as many tasks as there are slices.
 
-`slices` is a tuning parameter: the largest window group is about the hot entity's rows divided
-by it. Results do not depend on it.
+The number of slices follows the number of rows: `slices` of them at least, and so many that one
+holds about SLICE_ROWS rows, so the largest window group stays the same size as the data grow.
+Results do not depend on it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SLICES = 32
+#: Rows that one slice holds at most, over all entities, if values are spread evenly in it.
+SLICE_ROWS = 2_000_000
 
 
-def boundaries(df: DataFrame, column: str, slices: int = SLICES) -> list:
-    """At most slices-1 ascending cut points, approximate quantiles over all rows (one pass,
-    mergeable sketches). Empty for an empty or all-null column."""
-    steps = [i / slices for i in range(1, slices)]
-    got = df.agg(F.percentile_approx(column, steps, 1000).alias("b")).first()["b"]
-    return sorted(set(got or []))
+@dataclass(frozen=True)
+class Cuts:
+    """Ascending cut points at quantiles; the stretch between two is cut evenly into `parts`."""
 
+    points: list = field(default_factory=list)
+    least: float | None = None
+    greatest: float | None = None
+    parts: int = 1
 
-def slice_of(c: Column, cuts: Sequence) -> Column:
-    """Number of cut points at or below the value, as a balanced tree of comparisons; nulls 0."""
+
+def boundaries(df: DataFrame, column: str, slices: int = SLICES) -> Cuts:
+    """Cut points of a numeric column, from one pass: at most slices-1 approximate quantiles
+    (mergeable sketches), and the even parts between them that the row count asks for. Without
+    points for an empty or all-null column."""
+    steps = [i / slices for i in range(1, slices)] or [0.5]
+    got = df.agg(F.percentile_approx(column, steps, 1000).alias("b"), F.min(column).alias("lo"), F.max(column).alias("hi"), F.count(column).alias("n")).first()
+    points = sorted(set(got["b"] or [])) if slices > 1 else []
+    return Cuts(points, got["lo"], got["hi"], max(1, -(-got["n"] // (slices * SLICE_ROWS))))
+
+
+def slice_of(c: Column, cuts: Cuts) -> Column:
+    """Number of the value's slice, ascending with the value: the cut points at or below it, as a
+    balanced tree of comparisons, and the even part within; nulls 0."""
+    points = cuts.points
 
     def tree(lo: int, hi: int) -> Column:
         if lo == hi:
             return F.lit(lo)
         mid = (lo + hi) // 2
-        return F.when(c < F.lit(cuts[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
+        return F.when(c < F.lit(points[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
 
-    return F.when(c.isNull(), F.lit(0)).otherwise(tree(0, len(cuts)))
+    at = tree(0, len(points))
+    if cuts.parts > 1:
+        edges = F.array(*[F.lit(float(x)) for x in (cuts.least, *points, cuts.greatest)])
+        lo, hi = F.element_at(edges, at + 1), F.element_at(edges, at + 2)
+        inside = F.when(hi > lo, F.floor((c - lo) / (hi - lo) * cuts.parts)).otherwise(F.lit(0))
+        at = at * cuts.parts + F.least(F.greatest(inside, F.lit(0)), F.lit(cuts.parts - 1)).cast("int")
+    return F.when(c.isNull(), F.lit(0)).otherwise(at)
 
 
 def sliced(df: DataFrame, order: str, name: str = "_slice", slices: int = SLICES) -> DataFrame:
@@ -64,19 +88,25 @@ def row_number(df: DataFrame, keys: list[str], order: list, out: str, slice_col:
     return local.join(offset, [*keys, slice_col]).withColumn(out, F.col(out) + F.col("_before")).drop("_before")
 
 
-def previous(df: DataFrame, keys: list[str], order: list, columns: list[str], slice_col: str = "_slice") -> DataFrame:
-    """Adds prev_<column>: the columns of the preceding row (lag), exact across slices; null in
-    the first row of the keys. Null values of the preceding row stay null."""
+def neighbour(df: DataFrame, keys: list[str], order: list, columns: list[str], prefix: str, *, ahead: bool = False, slice_col: str = "_slice") -> DataFrame:
+    """Adds <prefix><column>: the columns of the preceding row (lag), or with `ahead` of the next
+    (lead), exact across slices; null where there is none. Null values of that row stay null."""
     pack = F.struct(*columns)
     at = F.struct(*[F.col(o) if isinstance(o, str) else o for o in order])
-    last = _carried(
-        df, keys, [F.max(F.struct(at.alias("o"), pack.alias("p"))).alias("_m")],
-        {"_in": lambda w: F.lag(F.col("_m.p")).over(w)}, slice_col,
+    edge, step = (F.min, F.lead) if ahead else (F.max, F.lag)
+    outer = _carried(
+        df, keys, [edge(F.struct(at.alias("o"), pack.alias("p"))).alias("_m")],
+        {"_in": lambda w: step(F.col("_m.p")).over(w)}, slice_col,
     )
     w = Window.partitionBy(*keys, slice_col).orderBy(*order)
-    out = df.withColumn("_lag", F.lag(pack).over(w)).join(last, [*keys, slice_col])
-    got = F.coalesce("_lag", "_in")
-    return out.select(*df.columns, *[got[c].alias(f"prev_{c}") for c in columns])
+    out = df.withColumn("_near", step(pack).over(w)).join(outer, [*keys, slice_col])
+    got = F.coalesce("_near", "_in")
+    return out.select(*df.columns, *[got[c].alias(f"{prefix}{c}") for c in columns])
+
+
+def previous(df: DataFrame, keys: list[str], order: list, columns: list[str], slice_col: str = "_slice") -> DataFrame:
+    """`neighbour` under prev_<column>."""
+    return neighbour(df, keys, order, columns, "prev_", slice_col=slice_col)
 
 
 def following(df: DataFrame, keys: list[str], order: str, out: str, slice_col: str = "_slice", ties: Sequence[str] = ()) -> DataFrame:
@@ -92,11 +122,12 @@ def following(df: DataFrame, keys: list[str], order: str, out: str, slice_col: s
     )
 
 
-def filled_forward(df: DataFrame, keys: list[str], order: str, columns: list[str], slice_col: str = "_slice") -> DataFrame:
+def filled_forward(df: DataFrame, keys: list[str], order: str, columns: list[str], slice_col: str = "_slice", ties: Sequence[str] = ()) -> DataFrame:
     """For each column c, c becomes its last non-null value up to the row and was_<c> the same up
-    to the row before; _first tells the first row of the keys. Exact across slices."""
+    to the row before; _first tells the first row of the keys. Exact across slices. Rows of equal
+    order value follow each other by `ties`."""
     aggs = [F.count("*").alias("_n")] + [
-        F.max(F.when(F.col(c).isNotNull(), F.struct(F.col(order).alias("o"), F.col(c).alias("v")))).alias(f"_l_{c}")
+        F.max(F.when(F.col(c).isNotNull(), F.struct(F.col(order).alias("o"), *ties, F.col(c).alias("v")))).alias(f"_l_{c}")
         for c in columns
     ]
     early = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
@@ -104,7 +135,7 @@ def filled_forward(df: DataFrame, keys: list[str], order: str, columns: list[str
         f"_in_{c}": (lambda w, c=c: F.last(f"_l_{c}", ignorenulls=True).over(early(w))["v"]) for c in columns
     }
     carry = _carried(df, keys, aggs, over, slice_col)
-    w = Window.partitionBy(*keys, slice_col).orderBy(order)
+    w = Window.partitionBy(*keys, slice_col).orderBy(order, *ties)
     upto, before = w.rowsBetween(Window.unboundedPreceding, 0), early(w)
     rest = [c for c in df.columns if c not in columns]
     local = df.select(
@@ -112,13 +143,24 @@ def filled_forward(df: DataFrame, keys: list[str], order: str, columns: list[str
         *[F.last(c, ignorenulls=True).over(upto).alias(c) for c in columns],
         *[F.last(c, ignorenulls=True).over(before).alias(f"was_{c}") for c in columns],
     )
-    return local.join(carry, [*keys, slice_col]).select(
+    joined = local.join(carry, [*keys, slice_col])
+    return joined.select(
         *rest, ((F.col("_rn") == 1) & (F.col("_before") == 0)).alias("_first"),
         *[F.coalesce(c, f"_in_{c}").alias(c) for c in columns],
         *[F.coalesce(f"was_{c}", f"_in_{c}").alias(f"was_{c}") for c in columns],
     )
 
 
+def sum_before(df: DataFrame, keys: list[str], order: list, value: str, out: str, slice_col: str = "_slice") -> DataFrame:
+    """Adds `out`: the sum of `value` over the rows of the keys before this one, exact across
+    slices; 0 in the first. `order` must be total for a defined result."""
+    early = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    total = lambda w, c: F.coalesce(F.sum(c).over(early(w)), F.lit(0))
+    carry = _carried(df, keys, [F.sum(value).alias("_s")], {"_earlier": lambda w: total(w, "_s")}, slice_col)
+    local = df.withColumn(out, total(Window.partitionBy(*keys, slice_col).orderBy(*order), value))
+    return local.join(carry, [*keys, slice_col]).withColumn(out, F.col(out) + F.col("_earlier")).drop("_earlier")
+
+
 def _cell(v: Column) -> Column:
     """A monotone whole number of a double: 64 cells an octave."""
     return (F.signum(v) * F.floor(F.log2(F.abs(v) * 1e6 + 1) * 64)).cast("long")

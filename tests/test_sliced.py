@@ -41,6 +41,24 @@ def test_filled_forward_and_following(spark, frame):
             assert nxt[key, t] == (own[n + 1] if n + 1 < len(own) else None)
 
 
+@pytest.mark.parametrize("per_slice", [2_000_000, 3])
+def test_slices_follow_the_rows(spark, frame, monkeypatch, per_slice):
+    monkeypatch.setattr(sliced, "SLICE_ROWS", per_slice)
+    data, df = frame
+    s = sliced.sliced(df, "t", slices=7)
+    assert (s.select(F.max("_slice")).first()[0] > 7) == (per_slice == 3)
+    assert s.groupBy("t").agg(F.count_distinct("_slice").alias("n")).filter("n > 1").isEmpty()
+    order = [r._slice for r in s.orderBy("t").collect()]
+    assert order == sorted(order)
+    total = {r.id: r.total for r in sliced.sum_before(s, ["k"], ["t", "id"], "id", "total").collect()}
+    near = {r.id: (r.prev_id, r.next_id) for r in sliced.neighbour(sliced.previous(s, ["k"], ["t", "id"], ["id"]), ["k"], ["t", "id"], ["id"], "next_", ahead=True).collect()}
+    for key in {d[0] for d in data}:
+        own = [i for _, i in sorted((t, i) for k, t, i, _ in data if k == key)]
+        for n, i in enumerate(own):
+            assert total[i] == sum(own[:n])
+            assert near[i] == (own[n - 1] if n else None, own[n + 1] if n + 1 < len(own) else None)
+
+
 @pytest.mark.parametrize("q", [0.0, 0.25, 0.5, 0.9, 1.0])
 def test_weighted_quantile(spark, q):
     import numpy as np
