@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.privacy import SEP
+from strata.session import written
 from strata.sources import files
 
 
@@ -81,10 +82,24 @@ def row_hashes(df: DataFrame, out: str = "h") -> DataFrame:
     return df.select(F.sha2(F.concat_ws(SEP, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in sorted(df.columns)]), 256).alias(out))
 
 
-def checksum(df: DataFrame) -> DataFrame:
-    """(checksum): SHA-256 over the sorted row hashes joined by a pipe, the same in any row order.
-    All hashes meet in one task; for large tables use `mergeable_checksum`."""
-    return row_hashes(df).agg(F.sha2(F.array_join(F.array_sort(F.collect_list("h")), "|"), 256).alias("checksum"))
+def checksum(df: DataFrame, group_rows: int = 100_000) -> DataFrame:
+    """(checksum): the same in any row order. Up to `group_rows` rows it is the SHA-256 over the
+    sorted row hashes joined by a pipe. With more rows the distinct hashes, each with its count,
+    are digested in groups of a common prefix, as long as it takes to keep a group at about
+    `group_rows`, and the groups' digests by three digits less at a time, up to one. No task gets
+    more than a group."""
+    hashes = written(row_hashes(df).groupBy("h").agg(F.count("*").alias("n")), "hashes")
+    n, distinct = hashes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    digest = lambda c: F.sha2(F.array_join(F.array_sort(F.collect_list(c)), "|"), 256)
+    if n <= group_rows:
+        return hashes.select(F.explode(F.array_repeat("h", F.col("n").cast("int"))).alias("h")).agg(digest("h").alias("checksum"))
+    digits = 3
+    while distinct > group_rows * 16**digits:
+        digits += 3
+    level = hashes.groupBy(F.substring("h", 1, digits).alias("p")).agg(digest(F.concat_ws("*", "h", "n")).alias("d"))
+    while digits := digits - 3:
+        level = level.groupBy(F.substring("p", 1, digits).alias("p")).agg(digest(F.concat("p", "d")).alias("d"))
+    return level.agg(digest(F.concat("p", "d")).alias("checksum"))
 
 
 def mergeable_checksum(df: DataFrame) -> DataFrame:

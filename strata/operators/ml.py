@@ -10,11 +10,11 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.privacy import digest_bucket
-from strata.operators.sliced import filled_forward, previous, sliced
+from strata.operators.sliced import filled_forward, previous, sliced, sum_before
 from strata.session import written
 
 
@@ -90,15 +90,18 @@ def clusters(df: DataFrame, columns: list[str], k: int = 3, seed: int = 42) -> D
 def subgroup_metrics(df: DataFrame, slices: list[str], label: str, score: str, threshold: float = 0.5) -> DataFrame:
     """(slice, level, n, positive_rate, accuracy, brier, auc) for each level of each slice column,
     null levels too. AUC comes from mid-ranks over (level, score) counts, so rows are aggregated
-    before anything is ordered; null if a level has one class only."""
+    before anything is ordered; null if a level has one class only. Rows with a null score don't
+    count."""
     cells = F.explode(F.array(*[F.struct(F.lit(s).alias("slice"), F.col(s).cast("string").alias("level")) for s in slices]))
     y, p = F.col(label).cast("int"), F.col(score).cast("double")
-    counts = df.select(cells.alias("x"), y.alias("y"), p.alias("p")).groupBy("x.slice", "x.level", "p").agg(
+    counts = df.select(cells.alias("x"), y.alias("y"), p.alias("p")).filter("p is not null").groupBy("x.slice", "x.level", "p").agg(
         F.count("*").alias("n"), F.sum("y").alias("pos"), F.sum(((F.col("p") >= threshold).cast("int") == F.col("y")).cast("int")).alias("right"),
         F.sum((F.col("p") - F.col("y")) ** 2).alias("err"),
     )
-    w = Window.partitionBy("slice", "level").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = counts.withColumn("mid", F.coalesce(F.sum("n").over(w), F.lit(0)) + (F.col("n") + 1) / 2)
+    # scores are ranked per stretch of scores with carried counts: a level may have a score a row
+    counts = written(counts.withColumn("_level", F.coalesce(F.concat(F.lit("="), "level"), F.lit("~"))), "scores")
+    before = sum_before(sliced(counts, "p"), ["slice", "_level"], ["p"], "n", "_below")
+    ranked = before.withColumn("mid", F.col("_below") + (F.col("n") + 1) / 2)
     agg = ranked.groupBy("slice", "level").agg(
         F.sum("n").alias("n"), F.sum("pos").alias("_p"), F.sum("right").alias("_r"), F.sum("err").alias("_e"), F.sum(F.col("mid") * F.col("pos")).alias("_m")
     )
@@ -109,15 +112,6 @@ def subgroup_metrics(df: DataFrame, slices: list[str], label: str, score: str, t
     )
 
 
-def band_candidates(treated: DataFrame, control: DataFrame, score: str, ident: str, caliper: float) -> DataFrame:
-    """(treated, control, gap): pairs whose scores differ by at most the caliper. Scores meet in
-    bands of the caliper's width and their two neighbours, by an equi-join on the band."""
-    band = F.floor(F.col(score) / F.lit(caliper)).cast("long")
-    t = treated.select(F.col(ident).alias("treated"), F.col(score).alias("ts"), F.explode(F.array(band - 1, band, band + 1)).alias("band"))
-    c = control.select(F.col(ident).alias("control"), F.col(score).alias("cs"), band.alias("band"))
-    return t.join(c, "band").withColumn("gap", F.abs(F.col("ts") - F.col("cs"))).filter(F.col("gap") <= caliper).select("treated", "control", "gap")
-
-
 def _nearest_free(rows: pd.DataFrame) -> pd.DataFrame:
     """Greedy pairs of one run of scores. Full and empty scores are skipped by links to the next
     score with a free control on either side, so a treated costs about constant time."""
@@ -173,19 +167,6 @@ def matched_pairs(treated: DataFrame, control: DataFrame, score: str, ident: str
     )
 
 
-def banded_pairs(treated: DataFrame, control: DataFrame, score: str, ident: str, caliper: float) -> DataFrame:
-    """(treated, control, gap): equal ranks within fixed bands of the caliper's width, as the SQL
-    twin of the query `matched_pairs` states it. Not a whole matching: pairs across a band's edge
-    and a band's surplus are left out, see `matched_pairs`."""
-    def ranked(df: DataFrame, name: str) -> DataFrame:
-        band = F.floor(F.col(score) / F.lit(caliper)).cast("long")
-        w = Window.partitionBy("band").orderBy("s", name)
-        return df.select(F.col(ident).alias(name), F.col(score).alias("s"), band.alias("band")).withColumn("rank", F.row_number().over(w)).withColumnRenamed("s", f"{name}_s")
-
-    t, c = ranked(treated, "treated"), ranked(control, "control")
-    return t.join(c, ["band", "rank"]).select("treated", "control", F.abs(F.col("treated_s") - F.col("control_s")).alias("gap"))
-
-
 def propensity(df: DataFrame, treatment: str, features: list[str]) -> DataFrame:
     """Adds `propensity`, the fitted probability of treatment."""
     rows = vectorised(df.withColumn("_t", F.col(treatment).cast("double")), features)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -141,22 +142,29 @@ def trailing(df: DataFrame, entity: str, at: str, seconds_back: int, aggregates:
 
 def baseline_delta(df: DataFrame, keys: Sequence[str], stage: str, score: str, baseline: str = "baseline", threshold: float = 5.0) -> DataFrame:
     """Adds the keys' mean score at the baseline stage, the change from it, whether the change is
-    at least `threshold` in either direction, and the number of rows."""
-    w = Window.partitionBy(*keys)
-    base = F.avg(F.when(F.col(stage) == baseline, F.col(score))).over(w)
+    at least `threshold` in either direction, and the number of rows. The figures of the keys are
+    aggregated on the map side and joined back, so that a hot key is split between tasks; null
+    keys are keys too."""
+    own = df.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys]).agg(F.avg(F.when(F.col(stage) == baseline, F.col(score))).alias("baseline_score"), F.count("*").alias("stages"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
     change = F.col(score) - F.col("baseline_score")
-    return df.withColumn("baseline_score", base).select("*", change.alias("change"), (F.abs(change) >= threshold).alias("changed_markedly"), F.count("*").over(w).alias("stages"))
+    return df.join(own, same).select(*df.columns, "baseline_score", change.alias("change"), (F.abs(change) >= threshold).alias("changed_markedly"), "stages")
 
 
 def as_of_join(left: DataFrame, right: DataFrame, entity: str, left_at: str, right_at: str, columns: Sequence[str]) -> DataFrame:
-    """Each left row with the entity's latest right row at or before it: both sides in one sorted
-    stream, the last right row carried forward. One shuffle, no join."""
-    lcols = left.columns
-    a = left.select(F.col(entity).alias("_e"), F.col(left_at).alias("_t"), F.lit(1).alias("_side"), F.struct(*lcols).alias("_l"), F.lit(None).cast(right.select(F.struct(right_at, *columns).alias("x")).schema["x"].dataType).alias("_r"))
-    b = right.select(F.col(entity).alias("_e"), F.col(right_at).alias("_t"), F.lit(0).alias("_side"), F.lit(None).cast(a.schema["_l"].dataType).alias("_l"), F.struct(right_at, *columns).alias("_r"))
-    w = Window.partitionBy("_e").orderBy("_t", "_side", F.col("_r")).rowsBetween(Window.unboundedPreceding, 0)
-    got = a.unionByName(b).withColumn("_last", F.last("_r", ignorenulls=True).over(w)).filter("_side = 1")
-    return got.select("_l.*", *[F.col("_last")[c].alias(f"prior_{c}") for c in [right_at, *columns]])
+    """Each left row with the entity's latest right row at or before it (of equally late ones the
+    greatest), under prior_<column>: both sides in one stream sorted by time, the last right row
+    carried forward within and across time slices, so a hot entity is spread over tasks.
+
+    Left rows with a null entity or time have no prior row; such right rows don't count."""
+    known = lambda df, at: df.filter(F.col(entity).isNotNull() & F.col(at).isNotNull())
+    lcols, rcols = left.columns, [right_at, *columns]
+    b = known(right, right_at).select(F.col(entity).alias("_e"), F.col(right_at).alias("_t"), F.lit(0).alias("_side"), F.struct(*rcols).alias("_r"))
+    a = left.select(F.col(entity).alias("_e"), F.col(left_at).alias("_t"), F.lit(1).alias("_side"), F.struct(*lcols).alias("_l"), F.lit(None).cast(b.schema["_r"].dataType).alias("_r"))
+    usable = F.col("_e").isNotNull() & F.col("_t").isNotNull()
+    both = a.filter(usable).unionByName(b.withColumn("_l", F.lit(None).cast(a.schema["_l"].dataType)))
+    got = sliced.filled_forward(sliced.sliced(both, "_t"), ["_e"], "_t", ["_r"], ties=["_side", "_r"]).filter("_side = 1").select("_l", "_r")
+    return got.unionByName(a.filter(~usable).select("_l", "_r")).select("_l.*", *[F.col("_r")[c].alias(f"prior_{c}") for c in rcols])
 
 
 def flagged_split(df: DataFrame, good: Column) -> tuple[DataFrame, DataFrame]:

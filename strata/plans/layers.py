@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions import privacy
@@ -87,7 +87,8 @@ def conformed_lab(spark: SparkSession, d: str) -> DataFrame:
 
 
 def lab_status(spark: SparkSession, d: str) -> DataFrame:
-    return rel.two_parent_status(conformed_lab(spark, d), silver_patient(spark, d), "patient_sk", conformed_encounter(spark, d), "encounter_sk")
+    """Conformed results with what becomes of them; an encounter is one that Silver holds."""
+    return rel.two_parent_status(conformed_lab(spark, d), silver_patient(spark, d), "patient_sk", silver_encounter(spark, d), "encounter_sk")
 
 
 def silver_lab(spark: SparkSession, d: str) -> DataFrame:
@@ -171,9 +172,9 @@ def ft_trailing_90d(spark: SparkSession, d: str) -> DataFrame:
         fact_encounter(spark, d), "patient_key", "admit_ts", 90 * 86_400,
         {"encounters_90d": F.count("*"), "inpatient_90d": F.sum((setting == "inpatient").cast("int")), "ed_90d": F.sum((setting == "emergency").cast("int")), "los_s_90d": F.sum("los_s")},
     ).withColumn("feature_as_of", F.to_date("admit_ts"))
-    w = Window.partitionBy("patient_key", "feature_as_of").orderBy(F.desc("admit_ts"), F.desc("encounter_key"))
-    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
-    return out.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").select("patient_key", date_key(F.col("feature_as_of")).alias("as_of_key"), *[zero(c) for c in ("encounters_90d", "inpatient_90d", "ed_90d", "los_s_90d")])
+    names = ["encounters_90d", "inpatient_90d", "ed_90d", "los_s_90d"]
+    last = out.groupBy("patient_key", "feature_as_of").agg(F.max(F.struct("admit_ts", "encounter_key", *names)).alias("m"))
+    return last.select("patient_key", date_key(F.col("feature_as_of")).alias("as_of_key"), *[F.coalesce(F.col("m")[c], F.lit(0)).cast("long").alias(c) for c in names])
 
 
 def ft_lab_trend_180d(spark: SparkSession, d: str) -> DataFrame:
@@ -188,8 +189,8 @@ def ft_lab_trend_180d(spark: SparkSession, d: str) -> DataFrame:
 def ft_latest_score(spark: SparkSession, d: str) -> DataFrame:
     """Latest score per patient and instrument, by time of administration, then by wave order."""
     rank = F.array_position(F.array(*[F.lit(w) for w in WAVE_ORDER]), F.col("wave"))
-    w = Window.partitionBy("patient_key", "instrument_key").orderBy(F.desc_nulls_last("administered_ts"), F.desc_nulls_last(rank), F.desc("survey_response_key"))
-    return fact_survey(spark, d).withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").select("patient_key", "instrument_key", "wave", "total_score")
+    last = fact_survey(spark, d).groupBy("patient_key", "instrument_key").agg(F.max(F.struct("administered_ts", rank.alias("rank"), "survey_response_key", "wave", "total_score")).alias("m"))
+    return last.select("patient_key", "instrument_key", "m.wave", "m.total_score")
 
 
 def ft_weighted_codes(spark: SparkSession, d: str) -> DataFrame:

@@ -11,7 +11,7 @@ from strata.functions import privacy
 from strata.functions.text import id_of
 from strata.operators import cohort as ch
 from strata.operators import governance as gov
-from strata.operators import ml, rules, scanner
+from strata.operators import ml, rules, scanner, sliced
 from strata.operators import relational as rel
 from strata.plans import layers as L
 from strata.plans.governance_rows import EDGES
@@ -358,7 +358,7 @@ def cohort_exclusion(spark, d):
 
 @query
 def frame_checksum(spark, d):
-    return ch.checksum(table(spark, d, "nation").select(F.col("n_nationkey").alias("k"), F.col("n_name").alias("name")))
+    return ch.checksum(table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"))
 
 
 @query
@@ -424,27 +424,15 @@ def subgroup_metrics(spark, d):
     return m.select("slice", "level", "n", *[F.round(c, 6).alias(c) for c in ("positive_rate", "accuracy", "brier", "auc")])
 
 
-@query
-def band_match(spark, d):
-    c = table(spark, d, "customer").select("c_custkey", F.col("c_acctbal").alias("s"), "c_mktsegment")
-    return ml.band_candidates(c.filter("c_mktsegment = 'BUILDING'"), c.filter("c_mktsegment = 'MACHINERY'"), "s", "c_custkey", 0.25).select("treated", "control")
-
-
 def _segments(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     c = table(spark, d, "customer").select("c_custkey", F.col("c_acctbal").alias("s"), "c_mktsegment")
     return c.filter("c_mktsegment = 'BUILDING'"), c.filter("c_mktsegment = 'MACHINERY'")
 
 
-@query
-def matched_pairs(spark, d):
-    """By the rule of bands that the SQL twin states; `nearest_pairs` is the whole matching."""
-    return ml.banded_pairs(*_segments(spark, d), "s", "c_custkey", 5.0).select("treated", "control")
-
-
 @query
 def nearest_pairs(spark, d):
     """Every treated with its nearest free control within the caliper."""
-    return ml.matched_pairs(*_segments(spark, d), "s", "c_custkey", 5.0)
+    return ml.matched_pairs(*_segments(spark, d), "s", "c_custkey", 5.0).select("treated", "control")
 
 
 def _training(spark: SparkSession, d: str) -> DataFrame:
@@ -511,8 +499,11 @@ def monthly_json_rollup(spark, d):
 @query
 def event_sequence(spark, d):
     """The event before and after each of a user's events."""
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    return table(spark, d, "events").select("event_id", F.lag("event_id").over(w).alias("before"), F.lead("event_id").over(w).alias("after"))
+    e = table(spark, d, "events").select("event_id", "user_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("at"))
+    cut = written(sliced.sliced(e.filter("user_id is not null"), "at"), "events")
+    order = ["at", "event_id"]
+    both = sliced.neighbour(sliced.neighbour(cut, ["user_id"], order, ["event_id"], "before_"), ["user_id"], order, ["event_id"], "after_", ahead=True)
+    return both.select("event_id", F.col("before_event_id").alias("before"), F.col("after_event_id").alias("after"))
 
 
 @query

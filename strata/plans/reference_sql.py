@@ -69,7 +69,7 @@ conformed_lab as (
   where rn = 1 and lid is not null),
 lab_status as (
   select *, case when patient_sk is null or patient_sk not in (select patient_sk from silver_patient) then 'no_first'
-    when encounter_sk is not null and encounter_sk not in (select encounter_sk from conformed_encounter) then 'no_second' else 'good' end status from conformed_lab),
+    when encounter_sk is not null and encounter_sk not in (select encounter_sk from silver_encounter) then 'no_second' else 'good' end status from conformed_lab),
 silver_lab as (select lab_result_sk, patient_sk, encounter_sk, loinc_code, value_num, unit, resulted_ts from lab_status where status = 'good'),
 fact_lab as (
   select lab_result_sk lab_result_key, patient_sk patient_key, encounter_sk encounter_key, loinc_code lab_test_key, value_num, unit, resulted_ts, {_dk('resulted_ts')} result_date_key from silver_lab)"""
@@ -223,7 +223,10 @@ SQL = {
     "cohort_min_events": _PV + "select patient_key from fact_encounter where care_setting_key = 'inpatient' group by 1 having count(*) >= 2",
     "cohort_intersection": f"with {PEOPLE}, {VISITS}, {LABS}, {SURVEYS} {_COHORT_LAB} and patient_key in ({_MOOD})",
     "cohort_exclusion": f"with {PEOPLE}, {VISITS}, {LABS}, {SURVEYS} {_COHORT_LAB} and patient_key in ({_MOOD}) and patient_key not in (select patient_key from dim_patient where deceased_flag)",
-    "frame_checksum": f"select sha256(string_agg(h, '|' order by h)) checksum from (select {_hash('n_nationkey', 'n_name')} h from nation)",
+    "frame_checksum": f"""with h as (select h, count(*) n from (select {_hash('o_custkey', 'o_orderkey', 'o_orderpriority', 'o_orderstatus')} h from orders) group by 1),
+      flat as (select sha256(string_agg(h, '|' order by h)) checksum from (select h, unnest(range(n)) from h)),
+      grouped as (select substr(h, 1, 3) p, sha256(string_agg(h || '*' || n, '|' order by h)) d from h group by 1)
+      select case when (select sum(n) from h) <= 100000 then (select checksum from flat) else (select sha256(string_agg(p || d, '|' order by p)) from grouped) end checksum""",
     "pattern_scan_lines": _SCAN + "select doc_id, line_no::int line_no, pattern, snippet from hits",
     "pattern_scan_summary": _SCAN + "select pattern, count(*) \"lines\", count(distinct doc_id) documents from hits group by 1",
     "noshow_label": f"select o_orderkey, {_LABEL} label from orders",
@@ -234,9 +237,15 @@ SQL = {
       ranked as (select *, rank() over (partition by slice, level order by p) + (count(*) over (partition by slice, level, p) - 1) / 2.0 r from long)
       select slice, level, count(*) n, round(avg(y), 6) positive_rate, round(avg(((p >= 0.5)::int = y)::int), 6) accuracy, round(avg((p - y) * (p - y)), 6) brier,
         round(case when sum(y) > 0 and sum(y) < count(*) then (sum(case when y = 1 then r end) - sum(y) * (sum(y) + 1) / 2.0) / (sum(y) * (count(*) - sum(y))) end, 6)::double auc from ranked group by 1, 2""",
-    "band_match": f"select t.c_custkey treated, c.c_custkey control from ({_BANK}) t join ({_BANK}) c on abs(t.s - c.s) <= 0.25 where t.c_mktsegment = 'BUILDING' and c.c_mktsegment = 'MACHINERY'",
-    "matched_pairs": f"""with r as (select c_custkey, c_mktsegment, floor(s / 5.0)::bigint band, row_number() over (partition by c_mktsegment, floor(s / 5.0) order by s, c_custkey) k from ({_BANK}))
-      select t.c_custkey treated, c.c_custkey control from r t join r c on t.band = c.band and t.k = c.k where t.c_mktsegment = 'BUILDING' and c.c_mktsegment = 'MACHINERY'""",
+    "nearest_pairs": f"""with recursive t as (select c_custkey, s, row_number() over (order by c_custkey) i from ({_BANK}) where c_mktsegment = 'BUILDING' and s is not null),
+      c as (select c_custkey, s from ({_BANK}) where c_mktsegment = 'MACHINERY' and s is not null),
+      m(i, treated, control, used) as (
+        select 0::bigint, null::bigint, null::bigint, []::bigint[]
+        union all
+        select t.i, t.c_custkey, x.best.id, case when x.best is null then m.used else list_append(m.used, x.best.id) end from m join t on t.i = m.i + 1
+          join (select t2.i, m2.used, min({{'gap': abs(c.s - t2.s), 's': c.s, 'id': c.c_custkey}}) filter (abs(c.s - t2.s) <= 5.0 and not list_contains(m2.used, c.c_custkey)) best
+            from m m2 join t t2 on t2.i = m2.i + 1 cross join c group by 1, 2) x on x.i = t.i)
+      select treated, control from m where control is not null""",
     "researcher_frame": _ALL + f", members as ({_COHORT_LAB}) select patient_key, encounter_count, lab_count, instrument_key, wave, change from members left join mart_360 using (patient_key) left join trajectory using (patient_key)",
     "monthly_json_rollup": "select (year(ts) * 100 + month(ts))::int month_key, (props->>'$.k')::int k, count(*) n from events group by 1, 2",
     "event_sequence": "select event_id, lag(event_id) over w \"before\", lead(event_id) over w \"after\" from events window w as (partition by user_id order by ts, event_id)",
