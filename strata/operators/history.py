@@ -33,6 +33,11 @@ def _digest(columns: list[str]) -> Column:
     return F.sha2(F.concat_ws("␟", *parts), 256)
 
 
+def _mark(columns: list[str]) -> Column:
+    """The first 128 bits of the hash, as satellites store and compare it."""
+    return F.unhex(F.substring(_digest(columns), 1, 32))
+
+
 def deliveries(df: DataFrame, *, entity: Column, valid_from: Column, recorded_at: Column, attributes: dict[str, Column]) -> DataFrame:
     """(entity, valid_from, rec, attributes): per entity and `valid_from` the delivery with the
     greatest `recorded_at` (ties: the greatest attribute values). Times are epoch microseconds, a
@@ -68,20 +73,20 @@ def load(store: Store, name: str, batch: DataFrame, groups: dict[str, list[str]]
     new = batch.select(*_KEY, "rec", *names)
     seq = store.version(VAULT, f"{name}_track") + 1  # number of this load
     if seq == 0:
-        won = new.withColumns({h: _digest(groups[g]) for g, h in hashes.items()})
-        won = won.select("*", *[F.lit(None).cast("string").alias(f"had_{g}") for g in groups], F.lit(None).cast("string").alias("had"))
+        won = new.withColumns({h: _mark(groups[g]) for g, h in hashes.items()})
+        won = won.select("*", *[F.lit(None).cast("binary").alias(f"had_{g}") for g in groups], F.lit(None).cast("string").alias("had"))
     else:
         old = _tracked(store, name, groups, new.select("entity").distinct())
-        mark = F.concat_ws("|", F.coalesce(F.col("rec").cast("string"), F.lit("~")), *hashes.values())
+        mark = F.concat_ws("|", F.coalesce(F.col("rec").cast("string"), F.lit("~")), *[F.hex(h) for h in hashes.values()])
         both = old.select(*_KEY, "rec", *names, mark.alias("had")).unionByName(new.withColumn("had", F.lit(None).cast("string")))
         won = both.groupBy(*_KEY).agg(F.max(F.struct("rec", *names)).alias("m"), F.max("had").alias("had")).select(*_KEY, "m.*", "had")
-        won = won.withColumns({h: _digest(groups[g]) for g, h in hashes.items()})
+        won = won.withColumns({h: _mark(groups[g]) for g, h in hashes.items()})
         for g in groups:
             held = satellite(store, name, g, groups[g]).select(*_KEY, F.col("row_hash").alias(f"had_{g}"))
             won = won.join(held.join(new.select("entity").distinct(), "entity", "left_semi"), _KEY, "left")
     cut = sliced(won, "valid_from", slices=slices)
     before = previous(cut, ["entity"], ["valid_from"], list(hashes.values()))
-    now = F.concat_ws("|", F.coalesce(F.col("rec").cast("string"), F.lit("~")), *hashes.values())
+    now = F.concat_ws("|", F.coalesce(F.col("rec").cast("string"), F.lit("~")), *[F.hex(h) for h in hashes.values()])
     adds = {g: F.when(F.col(f"had_{g}").isNotNull(), F.col(f"had_{g}") != F.col(h)).otherwise(~F.col(h).eqNullSafe(F.col(f"prev_{h}"))).alias(f"adds_{g}") for g, h in hashes.items()}
     marked = written(before.select(*_KEY, "rec", *names, *hashes.values(), *adds.values(), (~F.col("had").eqNullSafe(now)).alias("tracks")), "load")
     out = {}
@@ -95,8 +100,11 @@ def load(store: Store, name: str, batch: DataFrame, groups: dict[str, list[str]]
 
 def satellite(store: Store, name: str, group: str, columns: list[str]) -> DataFrame:
     """(entity, valid_from, row_hash, columns): the rows of a satellite that hold, i.e. the latest
-    that was appended per entity and `valid_from`."""
+    that was appended per entity and `valid_from`. One load appends one such row at most, so after
+    a single load there is nothing to choose from."""
     rows = store.read(VAULT, f"{name}_{group}")
+    if store.version(VAULT, f"{name}_{group}") == 0:
+        return rows.select(*_KEY, "row_hash", *columns)
     return rows.groupBy(*_KEY).agg(F.max(F.struct("rec", "seq", "row_hash", *columns)).alias("m")).select(*_KEY, "m.row_hash", *[f"m.{c}" for c in columns])
 
 
