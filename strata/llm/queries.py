@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strata.llm.mixing import mixture, mixture_report
 from strata.llm.packing import pack, packing_report
-from strata.llm.spans import expand, shared_share, shared_spans
+from strata.llm.spans import expand, linked, shared_share, shared_spans
 from strata.llm.tokens import with_token_counts
 from strata.session import written
 
@@ -47,7 +47,7 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = shared_spans(table(spark, sf_dir, "documents"))
-    return expand(got["pairs"], got["members"]).toDF("doc_id_a", "doc_id_b")
+    return expand(linked(got), got["members"]).toDF("doc_id_a", "doc_id_b")
 
 
 def p10_share(spark: SparkSession, sf_dir: str) -> DataFrame:

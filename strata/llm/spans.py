@@ -11,7 +11,13 @@ regrouping by a hash over half of the characters still missing, until a group is
 window has its full length. No level emits pairs of a group that may yet fall apart, so the work
 follows the repeated text, not the square of a common phrase's occurrences.
 
-Exact copies are compared once, through a representative.
+Only small groups are brought together. Occurrences in large groups are regrouped row by row where
+they lie, and group sizes come from partial counts. An anchor that very many documents hold, such
+as a page header's, would still gather in one task when anchors are first compared: such keys are
+found in a sample of documents beforehand and, known to be repeated, are never gathered.
+
+Exact copies are compared once, through a representative. Windows are told apart by 128 bits of
+hash, and beyond the anchor in small groups by their characters.
 """
 
 from __future__ import annotations
@@ -29,6 +35,8 @@ from strata.session import written
 MIN_CHARS = 200
 #: Groups of at most this many anchors are compared directly; larger ones are split further.
 DIRECT = 32
+#: Documents looked at for common anchors, and how many of them must hold one.
+SAMPLE, COMMON = 4_000, 8
 _CHUNK = 1 << 19  # characters hashed at a time
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -131,29 +139,33 @@ def _anchor_batches(k: int, need: int):
     return run
 
 
-_ROW = "key long, doc long, lo int, hi int, before string, after string"
+_ROW = "key long, mark long, large boolean, doc long, lo int, hi int, before string, after string"
+_COLUMNS = [c.split()[0] for c in _ROW.split(", ")]
 
 
 def _context_batches(k: int, need: int):
+    """Each anchor of a text with the characters beside it that a window of `need` may reach. Read
+    by position from decoded text, so the work is linear in its length."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
         c = need - k
         for b in batches:
             for start in range(0, b.num_rows, 256):
                 part = b.slice(start, 256)
-                doc, text = part.column("doc").to_pylist(), part.column("text").to_pylist()
-                key, ids, lo, before, after = [], [], [], [], []
-                for d, t, spots in zip(doc, text, part.column("spots").to_pylist(), strict=True):
-                    for s in spots:
-                        p = s["pos"]
-                        key.append(s["key"])
-                        ids.append(d)
-                        lo.append(p)
-                        before.append(t[max(0, p - c) : p][::-1])
-                        after.append(t[p + k : p + need])
-                at = np.array(lo, dtype=np.int32)
+                texts, spots = part.column("text").to_pylist(), part.column("spots")
+                flat = pa.array(spots).flatten()
+                owner = np.repeat(np.arange(part.num_rows), spots.value_lengths().to_numpy(zero_copy_only=False))
+                at = flat.field("pos").to_numpy()
+                where = list(zip(owner.tolist(), at.tolist(), strict=True))
+                before = [texts[i][max(0, p - c) : p][::-1] for i, p in where]
+                after = [texts[i][p + k : p + need] for i, p in where]
+                mark = np.array([xxhash.xxh3_64_intdigest(texts[i][p : p + k].encode("utf-8", "surrogatepass")) for i, p in where], dtype=np.uint64).view(np.int64)
+                doc = part.column("doc").to_numpy()[owner]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key, pa.int64()), pa.array(ids, pa.int64()), pa.array(at), pa.array(at + k, pa.int32()), pa.array(before, pa.string()), pa.array(after, pa.string())],
-                    names=["key", "doc", "lo", "hi", "before", "after"],
+                    [flat.field("key"), pa.array(mark), flat.field("large"), pa.array(doc), pa.array(at), pa.array((at + k).astype(np.int32)), pa.array(before, pa.string()), pa.array(after, pa.string())],
+                    names=_COLUMNS,
                 )
 
     return run
@@ -164,7 +176,7 @@ _PAIR, _COVER, _DEEPER, _EQUAL = 0, 1, 2, 3
 
 
 def _block(kind: int, n: int, **cols) -> pa.RecordBatch:
-    types = {"a": pa.int64(), "b": pa.int64(), "key": pa.int64(), "doc": pa.int64(), "lo": pa.int32(), "hi": pa.int32(), "before": pa.string(), "after": pa.string()}
+    types = {"a": pa.int64(), "b": pa.int64(), "key": pa.int64(), "mark": pa.int64(), "large": pa.bool_(), "doc": pa.int64(), "lo": pa.int32(), "hi": pa.int32(), "before": pa.string(), "after": pa.string()}
     arrays = [pa.array(np.full(n, kind, np.int8))] + [pa.array(cols[c], t) if c in cols else pa.nulls(n, t) for c, t in types.items()]
     return pa.RecordBatch.from_arrays(arrays, names=["kind", *types])
 
@@ -223,83 +235,80 @@ def _direct(rows: pa.Table, starts: np.ndarray, sizes: np.ndarray, c: int, cover
         yield _block(_COVER, len(hit), doc=doc[hit], lo=(lo[hit] - far_l[hit]).astype(np.int32), hi=(hi[hit] + far_r[hit]).astype(np.int32))
 
 
-def _text_hash(key: int, side: int, text: str) -> int:
-    import xxhash
-
-    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"), seed=(key * 2 + side) & (2**64 - 1)) - 2**63
-
-
-def _split(rows: pa.Table, c: int) -> Iterator[pa.RecordBatch]:
-    """Occurrences of a large group, regrouped by half of what is missing: a window of full length
+def _split(rows: DataFrame, c: int) -> DataFrame:
+    """Occurrences of large groups, regrouped by half of what is missing: a window of full length
     reaches over that half on the one side or on the other."""
+    kept = lambda kind, *cols: F.struct(F.lit(kind).cast("byte").alias("kind"), *[x.alias(n) for n, x in zip(_COLUMNS, cols, strict=True)])
+    doc, lo, hi, before, after = (F.col(x) for x in ("doc", "lo", "hi", "before", "after"))
+    unknown = F.lit(None).cast("boolean")
     if c == 0:
-        yield _block(_EQUAL, rows.num_rows, key=rows.column("key"), doc=rows.column("doc"), lo=rows.column("lo"), hi=rows.column("hi"))
-        return
-    half = c // 2
-    out: dict[str, list] = {n: [] for n in ("key", "doc", "lo", "hi", "before", "after")}
-
-    def put(*values) -> None:
-        for n, x in zip(out, values, strict=True):
-            out[n].append(x)
-
-    for key, doc, lo, hi, before, after in zip(*[rows.column(n).to_pylist() for n in out], strict=True):
-        need = c - half  # at most `half` characters before, so at least these after
-        if len(after) >= need:
-            put(_text_hash(key, 1, after[:need]), doc, lo, hi + need, before[:half], after[need : need + half])
-        # at most `half` after, so at least `need` before; both sides then lack `half`
-        if len(before) >= need:
-            put(_text_hash(key, 0, before[:need]), doc, lo - need, hi, before[need : need + half], after[:half])
-    if out["key"]:
-        yield _block(_DEEPER, len(out["key"]), **out)
-
-
-def _level_batches(c: int, direct: int, cover: bool):
-    """Streams occurrences sorted by key; never holds more than a batch and one small group."""
+        children = F.array(kept(_EQUAL, F.col("key"), F.col("mark"), unknown, doc, lo, hi, before, after))
+    else:
+        half = c // 2
+        need = c - half
+        h = lambda side, text: (F.xxhash64("key", "mark", F.lit(side), text), F.xxhash64(F.lit(side), text, "mark", "key"))
+        head, rest = (lambda t: F.substring(t, 1, need)), (lambda t: F.substring(t, need + 1, half))
+        # at most `half` characters before, so at least `need` after; or the other way round. Both then lack `half`
+        right = kept(_DEEPER, *h(1, head(after)), unknown, doc, lo, hi + need, F.substring(before, 1, half), rest(after))
+        left = kept(_DEEPER, *h(0, head(before)), unknown, doc, lo - need, hi, rest(before), F.substring(after, 1, half))
+        children = F.array_compact(F.array(F.when(F.length(after) >= need, right), F.when(F.length(before) >= need, left)))
+    return rows.select(F.explode(children).alias("x")).select("x.kind", F.lit(None).cast("long").alias("a"), F.lit(None).cast("long").alias("b"), *[f"x.{n}" for n in _COLUMNS])
+
+
+def _small_batches(c: int, cover: bool):
+    """Streams occurrences sorted by group, all of them small; never holds more than a batch and
+    one group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: pa.Table | None = None
-        large = None  # the key whose group is being passed on in pieces
+
+        def fresh(t: pa.Table) -> np.ndarray:
+            key, mark = t.column("key").to_numpy(), t.column("mark").to_numpy()
+            return np.concatenate([[True], (key[1:] != key[:-1]) | (mark[1:] != mark[:-1])])
 
         def done(t: pa.Table) -> Iterator[pa.RecordBatch]:
-            key = t.column("key").to_numpy()
-            starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-            sizes = np.diff(np.append(starts, len(key)))
-            small = (sizes > 1) & (sizes <= direct)
-            if small.any():
-                yield from _direct(t, starts[small], sizes[small], c, cover)
-            for s, n in zip(starts[sizes > direct], sizes[sizes > direct], strict=True):
-                yield from _split(t.slice(s, n), c)
+            starts = np.flatnonzero(fresh(t))
+            sizes = np.diff(np.append(starts, t.num_rows))
+            if (sizes > 1).any():
+                yield from _direct(t, starts[sizes > 1], sizes[sizes > 1], c, cover)
 
         for b in batches:
             t = pa.Table.from_batches([b])
-            if large is not None:
-                key = t.column("key").to_numpy()
-                n = int(np.argmax(key != large)) if (key != large).any() else len(key)
-                if n:
-                    yield from _split(t.slice(0, n), c)
-                t = t.slice(n)
-                if not t.num_rows:
-                    continue
-                large = None
             t = pa.concat_tables([kept, t]).combine_chunks() if kept is not None else t
-            key = t.column("key").to_numpy()
-            if not len(key):
+            if not t.num_rows:
                 continue
-            other = np.flatnonzero(key != key[-1])
-            last = int(other[-1]) + 1 if len(other) else 0
+            last = int(np.flatnonzero(fresh(t))[-1])
             if last:
                 yield from done(t.slice(0, last).combine_chunks())
             kept = t.slice(last)
-            if kept.num_rows > direct:
-                large = key[-1]
-                yield from _split(kept, c)
-                kept = None
         if kept is not None and kept.num_rows:
             yield from done(kept.combine_chunks())
 
     return run
 
 
+def _level(rows: DataFrame, c: int, direct: int, cover: bool) -> DataFrame:
+    """One level: pairs and covers of the small groups, and what becomes of the large ones."""
+    small = rows.filter(~F.col("large")).repartition("key", "mark").sortWithinPartitions("key", "mark")
+    return small.mapInArrow(_small_batches(c, cover), _OUT).unionByName(_split(rows.filter("large"), c))
+
+
+def _sized(rows: DataFrame, direct: int) -> DataFrame:
+    """`rows` whose group stands in more than one document, marked large or small. The sizes are
+    partial counts; the join back splits hot groups between tasks."""
+    sizes = rows.groupBy("key", "mark").agg(F.count("*").alias("n"), F.min("doc").alias("first"), F.max("doc").alias("last")).filter("first < last")
+    return rows.drop("large").join(sizes, ["key", "mark"]).withColumn("large", F.col("n") > direct).select(*_COLUMNS)
+
+
+def _common(single: DataFrame, documents: int, k: int, need: int) -> DataFrame:
+    """Keys of anchors that stand in many documents of a sample: at most SAMPLE documents' anchors
+    over COMMON rows. They are repeated for certain; which keys are known beforehand decides only
+    the way they take."""
+    part = F.pmod(F.xxhash64(F.lit(11), "doc"), F.lit(max(1, documents // SAMPLE))) == 0
+    seen = single.filter(part).mapInArrow(_anchor_batches(k, need), "key long, doc long, pos int")
+    return seen.groupBy("key").agg(F.count_distinct("doc").alias("n")).filter(F.col("n") >= COMMON).select("key")
+
+
 def copies(docs: DataFrame) -> DataFrame:
     """(doc, rep, chars): the documents whose whole text occurs more than once, with the least id
     that has it. Texts are told apart by two independent 64-bit hashes and their length."""
@@ -312,10 +321,12 @@ def copies(docs: DataFrame) -> DataFrame:
 def shared_spans(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text", need: int = MIN_CHARS, cover: bool = False, direct: int = DIRECT) -> dict[str, DataFrame]:
     """Documents with a span of at least `need` characters (code points) in common.
 
-    Returns `pairs` (a < b), between representatives of equal texts; `members` (doc, rep, chars)
-    of texts that occur more than once; with `cover`, also `spans` (doc, lo, hi): parts of a
-    representative that stand in another text. Every pair of different texts with such a span is
-    found, and every such span lies in the union of `spans`.
+    Returns `pairs` (a < b), between representatives of equal texts; `groups` (key, mark, doc):
+    representatives that all hold one window of `need` characters, where they are too many to be
+    compared one by one; `members` (doc, rep, chars) of texts that occur more than once; with
+    `cover`, also `spans` (doc, lo, hi): parts of a representative that stand in another text.
+    Every pair of different texts with such a span is among the pairs or in a group (`linked`
+    lists them all), and every such span lies in the union of `spans`.
 
     Null ids and texts, and texts shorter than `need`, share nothing; repeated rows count once;
     an empty table gives empty results. Texts of any length are worked on whole, in overlapping
@@ -325,43 +336,50 @@ def shared_spans(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "t
     members = written(copies(docs), "copies")
     spare = bounded(members.filter("doc <> rep").select("doc"), 1_000_000)
     single = docs.join(spare, "doc", "left_anti")
-    anchors = single.mapInArrow(_anchor_batches(k, need), "key long, doc long, pos int")
-    of_key = Window.partitionBy("key")
+    common = F.broadcast(written(_common(single, documents.count(), k, need), "common").withColumn("common", F.lit(True)))
+    anchors = single.mapInArrow(_anchor_batches(k, need), "key long, doc long, pos int").join(common, "key", "left")
+    known = F.coalesce("common", F.lit(False))
+    of_key = Window.partitionBy("key", F.when(known, F.col("doc")))  # rows of common keys are not gathered
     repeated = (
-        anchors.select("*", F.min("doc").over(of_key).alias("first"), F.max("doc").over(of_key).alias("last"))
-        .filter("first < last").select("key", "doc", "pos")
+        anchors.select("key", "doc", "pos", known.alias("common"), F.count("*").over(of_key).alias("n"), F.min("doc").over(of_key).alias("first"), F.max("doc").over(of_key).alias("last"))
+        .filter("common or first < last").select("doc", F.struct("key", "pos", (F.col("common") | (F.col("n") > direct)).alias("large")).alias("spot"))
     )
-    spots = repeated.groupBy("doc").agg(F.collect_list(F.struct("key", "pos")).alias("spots"))
+    spots = repeated.groupBy("doc").agg(F.collect_list("spot").alias("spots"))
     rows = single.join(spots, "doc").select("doc", "text", "spots").mapInArrow(_context_batches(k, need), _ROW)
     missing, results = need - k, []
     while True:
-        found = written(
-            rows.repartition("key").sortWithinPartitions("key").mapInArrow(_level_batches(missing, direct, cover), _OUT), f"level{missing}"
-        )
+        found = written(_level(rows, missing, direct, cover), f"level{missing}")
         results.append(found)
-        rows = found.filter(f"kind = {_DEEPER}").select(*[c.split()[0] for c in _ROW.split(", ")])
-        if missing == 0 or rows.isEmpty():
+        deeper = found.filter(f"kind = {_DEEPER}").select(*_COLUMNS)
+        if missing == 0 or deeper.isEmpty():
             break
-        missing = missing // 2
+        rows, missing = _sized(deeper, direct), missing // 2
     every = results[0]
     for r in results[1:]:
         every = every.unionByName(r)
-    pairs = every.filter(f"kind = {_PAIR}").select("a", "b")
-    equal = results[-1].filter(f"kind = {_EQUAL}").select("key", "doc").distinct()
-    # groups of equal windows: one of those with the same documents gives their pairs
-    mark = F.xxhash64("doc").cast("decimal(38,0)")
-    sets = equal.groupBy("key").agg(F.count("*").alias("n"), F.sum(mark).alias("s1"), F.sum(F.xxhash64(F.lit(3), "doc").cast("decimal(38,0)")).alias("s2"))
-    chosen = sets.filter("n > 1").groupBy("n", "s1", "s2").agg(F.min("key").alias("key")).select("key")
-    members_of = equal.join(chosen, "key")
-    joined = members_of.withColumnRenamed("doc", "a").join(members_of.withColumnRenamed("doc", "b"), "key").filter("a < b").select("a", "b")
-    out = {"pairs": pairs.unionByName(joined).distinct(), "members": members}
+    equal = results[-1].filter(f"kind = {_EQUAL}").select("key", "mark", "doc", "lo", "hi")
+    out = {"pairs": every.filter(f"kind = {_PAIR}").select("a", "b").distinct(), "groups": _chosen(equal.select("key", "mark", "doc").distinct()), "members": members}
     if cover:
-        spans = every.filter(f"kind = {_COVER}").select("doc", "lo", "hi")
-        same = results[-1].filter(f"kind = {_EQUAL}").select("key", "doc", "lo", "hi")
-        out["spans"] = spans.unionByName(same.join(sets.filter("n > 1").select("key"), "key").select("doc", "lo", "hi"))
+        out["spans"] = every.filter(f"kind = {_COVER}").select("doc", "lo", "hi").unionByName(equal.select("doc", "lo", "hi"))
     return out
 
 
+def _chosen(equal: DataFrame) -> DataFrame:
+    """(key, mark, doc): of the groups with the same documents, one."""
+    sum_of = lambda *cols: F.sum(F.xxhash64(*cols).cast("decimal(38,0)"))
+    sets = equal.groupBy("key", "mark").agg(F.count("*").alias("n"), sum_of("doc").alias("s1"), sum_of(F.lit(3), "doc").alias("s2"))
+    one = sets.filter("n > 1").groupBy("n", "s1", "s2").agg(F.min(F.struct("key", "mark")).alias("m")).select("m.key", "m.mark")
+    return equal.join(one, ["key", "mark"])
+
+
+def linked(got: dict[str, DataFrame]) -> DataFrame:
+    """(a, b), a < b: all pairs of different texts from the result of `shared_spans`, the groups'
+    included."""
+    g = got["groups"]
+    within = g.withColumnRenamed("doc", "a").join(g.withColumnRenamed("doc", "b"), ["key", "mark"]).filter("a < b").select("a", "b")
+    return got["pairs"].unionByName(within).distinct()
+
+
 def expand(pairs: DataFrame, members: DataFrame) -> DataFrame:
     """Pairs of documents (a < b) from pairs of representatives, copies included."""
     m = members.select(F.col("rep"), F.col("doc"))
@@ -372,10 +390,10 @@ def expand(pairs: DataFrame, members: DataFrame) -> DataFrame:
     return across.unionByName(within)
 
 
-def shared_share(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text", need: int = MIN_CHARS) -> DataFrame:
+def shared_share(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text", need: int = MIN_CHARS, direct: int = DIRECT) -> DataFrame:
     """(doc_id, chars, shared_chars, share): how much of each document lies in spans of at least
     `need` characters that stand elsewhere. One row per document with a text, also without any."""
-    got = shared_spans(documents, doc_id=doc_id, text=text, need=need, cover=True)
+    got = shared_spans(documents, doc_id=doc_id, text=text, need=need, cover=True, direct=direct)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -40,19 +40,19 @@ def corpus(seed, need):
     return texts
 
 
-@pytest.mark.parametrize(("seed", "direct"), [(1, 32), (2, 2)])
-def test_spans_against_brute_force(spark, seed, direct):
+@pytest.mark.parametrize(("seed", "direct", "common"), [(1, 32, 8), (2, 2, 8), (3, 2, 10**9), (4, 8, 2)])
+def test_spans_against_brute_force(spark, monkeypatch, seed, direct, common):
+    monkeypatch.setattr(spans, "COMMON", common)
     need = 24
     texts = corpus(seed, need)
     schema = "doc_id long, text string, key string, pos int, doc int"
     data = [(d, t, "k", 1, 2) for d, t in texts] + [(900, None, None, None, None), (None, texts[0][1], "", 0, 0), (*texts[3], "again", 0, 0)]
     got = spans.shared_spans(spark.createDataFrame(data, schema), need=need, cover=True, direct=direct)
-    pairs = {tuple(r) for r in spans.expand(got["pairs"], got["members"]).collect()}
+    pairs = {tuple(r) for r in spans.expand(spans.linked(got), got["members"]).collect()}
     want, cover = by_force(texts, need)
     assert pairs == want
-    if direct == 32:
-        share = {r.doc_id: r.shared_chars for r in spans.shared_share(spark.createDataFrame(data, schema), need=need).collect()}
-        assert share == {d: cover.get(d, 0) for d, _ in texts}
+    share = {r.doc_id: r.shared_chars for r in spans.shared_share(spark.createDataFrame(data, schema), need=need, direct=direct).collect()}
+    assert share == {d: cover.get(d, 0) for d, _ in texts}
 
 
 def test_spans_long_and_empty(spark, monkeypatch):
@@ -62,9 +62,9 @@ def test_spans_long_and_empty(spark, monkeypatch):
     n = spans._CHUNK
     df = spark.createDataFrame([(1, long(n - 150) + part + long(n)), (2, long(50) + part + long(7))], "doc_id long, text string")
     got = spans.shared_spans(df)
-    assert [tuple(r) for r in got["pairs"].collect()] == [(1, 2)]
+    assert [tuple(r) for r in spans.linked(got).collect()] == [(1, 2)]
     none = spans.shared_spans(df.limit(0), cover=True)
-    assert none["pairs"].count() == none["members"].count() == none["spans"].count() == 0
+    assert spans.linked(none).count() == none["members"].count() == none["spans"].count() == 0
 
 
 def test_lower_bound_never_exceeds_a_packing():
