@@ -11,31 +11,45 @@ from strata.session import written
 
 #: Items packed by one task at a time.
 PART_ITEMS = 20_000
-#: Partitions whose open containers are repacked together in the next round.
-FAN = 8
 
 
 def lower_bound(sizes: np.ndarray, counts: np.ndarray, capacity: int) -> int:
     """Least number of containers that any packing needs, by dual feasible functions: maps of
     sizes under which no full container can exceed the capacity, so that the mapped total over
-    the capacity bounds every packing. Three families are tried over their parameters."""
+    the capacity bounds every packing. The best of three families over all their parameters; the
+    first and third come from cumulative counts by size, in about capacity times its logarithm."""
     keep = sizes > 0
     x, n = sizes[keep].astype(np.int64), counts[keep].astype(np.int64)
     if not len(x):
         return int(counts.sum() > 0)
-    best = -(-int((x * n).sum()) // capacity)
-    # sizes above capacity - t fill a container; sizes below t vanish
-    for t in np.unique(x[x <= capacity // 2]):
-        mapped = np.where(x > capacity - t, capacity, np.where(x < t, 0, x))
-        best = max(best, -(-int((mapped * n).sum()) // capacity))
-    for k in range(1, 51):  # multiples of capacity / (k + 1), rounded down unless exact; scaled by k
-        exact = (x * (k + 1)) % capacity == 0
-        mapped = np.where(exact, x * k, (x * (k + 1)) // capacity * capacity)
-        best = max(best, -(-int((mapped * n).sum()) // (capacity * k)))
-    for t in np.unique(x[x <= capacity // 2]):  # whole multiples of t; large sizes by what they leave
-        slots = capacity // t
-        mapped = np.where(2 * x > capacity, 2 * (slots - (capacity - x) // t), np.where(2 * x == capacity, slots, 2 * (x // t)))
-        best = max(best, -(-int((mapped * n).sum()) // (2 * slots)))
+    of = np.zeros(capacity + 2, dtype=np.int64)  # how many items have each size
+    np.add.at(of, x, n)
+    held = np.arange(capacity + 2, dtype=np.int64)
+    upto, space = np.cumsum(of), np.cumsum(of * held)
+    total = int(space[-1])
+    best = -(-total // capacity)
+    t = np.unique(x[2 * x <= capacity])
+    if len(t):
+        # sizes above capacity - t fill a container; sizes below t vanish
+        mapped = (upto[-1] - upto[capacity - t]) * capacity + space[capacity - t] - space[t - 1]
+        best = max(best, int((-(-mapped // capacity)).max()))
+        # whole multiples of t; sizes above half the capacity by what they leave
+        small, left = np.where(2 * held < capacity, of, 0), np.where(2 * held > capacity, of, 0)[capacity::-1]
+        at_least = np.cumsum(small[::-1])[::-1]
+        left_at_least = np.cumsum(left[::-1])[::-1]
+        large, half = int(left.sum()), int(of[capacity // 2]) if capacity % 2 == 0 else 0
+        for step in t.tolist():
+            slots = capacity // step
+            sum_small, sum_left = int(at_least[step::step].sum()), int(left_at_least[step::step].sum())
+            best = max(best, -(-(2 * (slots * large - sum_left) + half * slots + 2 * sum_small) // (2 * slots)))
+    # multiples of capacity / m, rounded down unless exact, over m - 1. The bound is at most
+    # m / (m - 1) times the plain one, so no greater m can help once that is not above the best
+    for m in range(2, capacity + 1):
+        if -(-total * m // ((m - 1) * capacity)) <= best:
+            break
+        scaled = x * m
+        mapped = np.where(scaled % capacity == 0, x * (m - 1), scaled // capacity * capacity)
+        best = max(best, -(-int((mapped * n).sum()) // (capacity * (m - 1))))
     return best
 
 
@@ -65,34 +79,34 @@ def best_fit_decreasing(sizes: np.ndarray, capacity: int) -> np.ndarray:
     return bins
 
 
-def _reopened(sizes: np.ndarray, bins: np.ndarray, capacity: int) -> np.ndarray:
-    """Whether each item is exchanged: the partition needs more containers than its bound, and
-    the item lies in one of the emptiest, taken until their free space is twice the surplus."""
+def _reopened(sizes: np.ndarray, bins: np.ndarray, capacity: int) -> tuple[np.ndarray, bool]:
+    """(whether each item is exchanged, whether the partition is certified): a partition that
+    needs more containers than its bound hands on the items of its emptiest ones, taken until
+    their free space is twice the surplus."""
     total = int(bins.max()) + 1
     fill = np.bincount(bins, weights=sizes, minlength=total)
     values, counts = np.unique(sizes, return_counts=True)
     surplus = total - lower_bound(values, counts, capacity)
-    if surplus <= 0:
-        return np.zeros(len(sizes), dtype=bool)
-    order = np.argsort(fill, kind="stable")
-    free = np.cumsum(capacity - fill[order])
-    n = max(2, int(np.searchsorted(free, 2.0 * surplus * capacity)) + 1)
     opened = np.zeros(total, dtype=bool)
-    opened[order[:n]] = True
-    return opened[bins]
+    if surplus > 0:
+        order = np.argsort(fill, kind="stable")
+        free = np.cumsum(capacity - fill[order])
+        opened[order[: max(2, int(np.searchsorted(free, 2.0 * surplus * capacity)) + 1)]] = True
+    return opened[bins], surplus <= 0
 
 
 def _pack_part(round_no: int, last: bool):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         capacity = int(pdf["capacity"].iloc[0])
-        pdf = pdf.sort_values(["tokens", "doc", "piece"], ascending=False, kind="stable")
+        pdf = pdf.sort_values(["tokens", "doc", "piece", "row"], ascending=False, kind="stable")
         sizes = pdf["tokens"].to_numpy(np.int64)
         bins = best_fit_decreasing(sizes, capacity)
-        open_ = np.zeros(len(sizes), dtype=bool) if last else _reopened(sizes, bins, capacity)
+        opened, certified = _reopened(sizes, bins, capacity)
         part = int(pdf["part"].iloc[0])
-        out = pdf[["kind", "capacity", "doc", "piece", "first", "tokens", "part"]].copy()
+        out = pdf[["kind", "capacity", "doc", "piece", "first", "tokens", "row"]].copy()
         out["bin"] = [f"{round_no}-{part}-{b}" for b in bins]
-        out["open"] = open_
+        out["open"] = opened & (not last)
+        out["certified"] = certified
         return out
 
     return run
@@ -114,55 +128,56 @@ def pieces(counts: DataFrame, capacities: DataFrame) -> DataFrame:
     return cut.select("kind", "capacity", "doc", "piece", first.alias("first"), F.least(F.col("capacity"), F.col("tokens") - first).alias("tokens"))
 
 
-def pack(counts: DataFrame, capacities: DataFrame, *, part_items: int = PART_ITEMS, rounds: int = 4) -> DataFrame:
-    """(container_kind, capacity_tokens, container_id, doc_id, piece_no, first_token, tokens): every
-    document in containers of each kind. counts: (doc, tokens); capacities: (kind, capacity).
+def pack(counts: DataFrame, capacities: DataFrame, *, part_items: int = PART_ITEMS) -> DataFrame:
+    """(container_kind, capacity_tokens, container_id, doc_id, piece_no, first_token, tokens,
+    certified): every document in containers of each kind. counts: (doc, tokens); capacities:
+    (kind, capacity).
 
     Full pieces of long documents fill a container each. All other pieces are spread by hash over
     partitions of about `part_items` and packed by best-fit decreasing. A partition whose number
     of containers equals its lower bound (`lower_bound`) is certified and done. The others hand
-    the documents of their emptiest containers on: these are pooled over FAN partitions and packed
-    again, for at most `rounds` rounds. Rounds are written to the shared folder; only what is
-    handed on is read again.
+    the documents of their emptiest containers on: these are pooled over partitions of the same
+    size and packed again, until nothing is handed on, one partition holds all of it, or a round
+    leaves as much as it got. `certified` tells whether a container's partition met its bound in
+    its last round. Rounds are written to the shared folder; only what is handed on is read again.
 
     Documents without tokens take no space but get a container. Kinds with a null name or without
     a positive capacity are ignored; repeated rows are items of their own; an empty table gives
     no rows."""
-    # written: the token counts and cuts must not be worked out anew in each round
-    items = written(pieces(counts, capacities), "pieces")
+    # written: the token counts, cuts and row numbers must not be worked out anew in each round
+    items = written(pieces(counts, capacities).withColumn("row", F.monotonically_increasing_id()), "pieces")
     full = items.filter("tokens = capacity").select(
-        "kind", "capacity", F.concat(F.lit("full-"), F.coalesce(F.col("doc").cast("string"), F.lit("null")), F.lit("-"), F.col("piece"), F.lit("-"), F.monotonically_increasing_id()).alias("bin"), "doc", "piece", "first", "tokens"
+        "kind", "capacity", F.concat(F.lit("full-"), F.col("row")).alias("bin"), "doc", "piece", "first", "tokens", F.lit(True).alias("certified")
     )
-    todo = items.filter("tokens < capacity")
-    sizes = todo.groupBy("kind").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
-    parts = max(1, -(-sizes // part_items))
-    todo = todo.withColumn("part", F.pmod(F.xxhash64("doc", "piece"), F.lit(parts)).cast("long"))
-    done = [full]
-    schema = "kind string, capacity long, doc long, piece long, first long, tokens long, part long, bin string, open boolean"
-    for r in range(1, rounds + 1):
-        last = r == rounds
-        got = todo.groupBy("kind", "part").applyInPandas(_pack_part(r, last), schema)
-        if not last:
-            got = written(got, f"round{r}")
-        done.append(got.filter("not open").select("kind", "capacity", "bin", "doc", "piece", "first", "tokens"))
+    todo, done, r, before = items.filter("tokens < capacity"), [full], 0, None
+    schema = "kind string, capacity long, doc long, piece long, first long, tokens long, row long, bin string, open boolean, certified boolean"
+    while True:
+        most = todo.groupBy("kind").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+        parts = max(1, -(-most // part_items))
+        r += 1
+        last = parts == 1 or (before is not None and most >= before)
+        spread = F.pmod(F.xxhash64("row", F.lit(r)), F.lit(parts)).cast("long")
+        got = written(todo.withColumn("part", spread).groupBy("kind", "part").applyInPandas(_pack_part(r, last), schema), f"round{r}")
+        done.append(got.filter("not open").select("kind", "capacity", "bin", "doc", "piece", "first", "tokens", "certified"))
         if last:
             break
-        todo = got.filter("open").withColumn("part", F.floor(F.col("part") / FAN))
-        if todo.isEmpty():
-            break
+        todo, before = got.filter("open").drop("bin", "open", "certified"), most
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
     return out.select(
         F.col("kind").alias("container_kind"), F.col("capacity").alias("capacity_tokens"), F.concat("kind", F.lit("-"), "bin").alias("container_id"),
-        F.col("doc").alias("doc_id"), F.col("piece").alias("piece_no"), F.col("first").alias("first_token"), "tokens",
+        F.col("doc").alias("doc_id"), F.col("piece").alias("piece_no"), F.col("first").alias("first_token"), "tokens", "certified",
     )
 
 
 def packing_report(packed: DataFrame) -> DataFrame:
-    """Per kind: containers, the lower bound over all documents, and the share of space used. The
-    bound is worked out from the number of pieces of each size: at most `capacity` rows a kind."""
-    bins = packed.groupBy("container_kind").agg(F.count_distinct("container_id").alias("containers"), F.sum("tokens").alias("tokens"))
+    """Per kind: containers, how many of them come from a partition that met its bound, the lower
+    bound over all documents (the packing is the best there is if it equals the containers), and
+    the share of space used. The bound is worked out from the number of pieces of each size: at
+    most `capacity` rows a kind."""
+    each = packed.groupBy("container_kind", "container_id").agg(F.sum("tokens").alias("tokens"), F.min("certified").alias("certified"))
+    bins = each.groupBy("container_kind").agg(F.count("*").alias("containers"), F.count_if("certified").alias("certified_containers"), F.sum("tokens").alias("tokens"))
     sizes = packed.groupBy("container_kind", "capacity_tokens", "tokens").agg(F.count("*").alias("n"))
 
     def bound(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -88,12 +88,59 @@ def test_lower_bound_tries_large_thresholds():
     assert packing.lower_bound(v, c, 8192) == 1500
 
 
+def bound_by_force(x, n, capacity):
+    """All three families, one parameter and one item at a time."""
+    best = -(-sum(a * b for a, b in zip(x, n, strict=True)) // capacity)
+    for t in x:
+        if 2 * t <= capacity:
+            best = max(best, -(-sum(b * (capacity if a > capacity - t else 0 if a < t else a) for a, b in zip(x, n, strict=True)) // capacity))
+            slots = capacity // t
+            each = (b * (2 * (slots - (capacity - a) // t) if 2 * a > capacity else slots if 2 * a == capacity else 2 * (a // t)) for a, b in zip(x, n, strict=True))
+            best = max(best, -(-sum(each) // (2 * slots)))
+    for m in range(2, capacity + 1):
+        each = (b * (a * (m - 1) if a * m % capacity == 0 else a * m // capacity * capacity) for a, b in zip(x, n, strict=True))
+        best = max(best, -(-sum(each) // (capacity * (m - 1))))
+    return best
+
+
+def test_lower_bound_is_the_best_of_all_parameters():
+    rng = np.random.default_rng(2)
+    for _ in range(200):
+        cap = int(rng.integers(2, 120))
+        x = np.unique(rng.integers(1, cap + 1, size=int(rng.integers(1, 30))))
+        n = rng.integers(1, 40, size=len(x))
+        assert packing.lower_bound(x, n, cap) == bound_by_force(x.tolist(), n.tolist(), cap)
+
+
+def test_lower_bound_of_many_sizes():
+    # two of 5,000 sizes above a third of the capacity fit together at most, whatever else there is
+    v = np.concatenate([np.arange(1, 5001), [43_700, 43_701]])
+    c = np.concatenate([np.ones(5000, np.int64), [30_000, 30_000]])
+    assert packing.lower_bound(v, c, 131_072) == 30_000
+    bins = packing.best_fit_decreasing(np.repeat(v, c), 131_072)
+    assert bins.max() + 1 == 30_000
+
+
+def test_pack_reports_what_is_not_certified(spark):
+    # 60 + 60 leaves 40 in each container of 100 that nothing fills: the bound knows
+    df = spark.createDataFrame([(i, 60) for i in range(50)] + [(100 + i, 51) for i in range(30)], "doc long, tokens long")
+    caps = spark.createDataFrame([("s", 100)], "kind string, capacity long")
+    got = packing.pack(df, caps, part_items=10)
+    assert got.filter("not certified").isEmpty()
+    r = packing.packing_report(got).first()
+    assert (r.containers, r.certified_containers, r.least_containers) == (80, 80, 80)
+    # best fit takes 40 + 40 first and needs three containers where two would do
+    hard = spark.createDataFrame([(i, t) for i, t in enumerate([40, 40, 30, 30, 30, 30])], "doc long, tokens long")
+    r = packing.packing_report(packing.pack(hard, caps)).first()
+    assert (r.containers, r.certified_containers, r.least_containers) == (3, 0, 2)
+
+
 def test_pack(spark):
     rng = random.Random(3)
     counts = [(i, rng.choice([0, 1, 5, 7, 30, 99, 100, 101, 250])) for i in range(600)] + [(None, 5), (7, 5), (7, 5)]
     caps = spark.createDataFrame([("s", 100), ("l", 200), ("l", 200), (None, 5), ("bad", 0)], "kind string, capacity long")
     df = spark.createDataFrame(counts, "doc long, tokens long")
-    got = packing.pack(df, caps, part_items=100, rounds=3)
+    got = packing.pack(df, caps, part_items=100)
     rows = got.collect()
     for kind, cap in (("s", 100), ("l", 200)):
         own = [r for r in rows if r.container_kind == kind]
