@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import heapq
+from fractions import Fraction
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,91 +12,120 @@ from strata.session import written
 
 
 class Flow:
-    """Min-cost flow by successive shortest paths, for graphs of a few thousand arcs."""
-
-    def __init__(self) -> None:
-        self.arcs: list[list] = []  # [to, room, cost]; an arc and its reverse are neighbours
-        self.at: dict[object, list[int]] = {}
-
-    def add(self, a: object, b: object, room: int, cost: int = 0) -> int:
-        for u, v, r, c in ((a, b, room, cost), (b, a, 0, -cost)):
-            self.at.setdefault(u, []).append(len(self.arcs))
-            self.at.setdefault(v, [])
-            self.arcs.append([v, r, c])
-        return len(self.arcs) - 2
-
-    def send(self, a: object, b: object) -> int:
-        """As much as possible from a to b, at least cost; the amount."""
-        height = dict.fromkeys(self.at, 0)
+    """Maximum flow that can be carried on after arcs grew wider: shortest paths in phases
+    (Dinic). Nodes are numbers; an arc and its reverse are neighbours."""
+
+    def __init__(self, nodes: int) -> None:
+        self.to: list[int] = []
+        self.room: list[int] = []
+        self.at: list[list[int]] = [[] for _ in range(nodes)]
+
+    def add(self, a: int, b: int, room: int) -> int:
+        for u, v, r in ((a, b, room), (b, a, 0)):
+            self.at[u].append(len(self.to))
+            self.to.append(v)
+            self.room.append(r)
+        return len(self.to) - 2
+
+    def reached(self, a: int) -> list[int]:
+        """Steps from a to each node along arcs with room; -1 where there is no way."""
+        far = [-1] * len(self.at)
+        far[a], queue = 0, [a]
+        for u in queue:
+            for i in self.at[u]:
+                if self.room[i] and far[self.to[i]] < 0:
+                    far[self.to[i]] = far[u] + 1
+                    queue.append(self.to[i])
+        return far
+
+    def send(self, a: int, b: int) -> int:
+        """As much more as possible from a to b; the amount. What leaves a by an arc never
+        becomes less."""
         total = 0
-        while True:
-            far, came, heap, n = {a: 0}, {}, [(0, 0, a)], 0
-            while heap:
-                d, _, u = heapq.heappop(heap)
-                if d > far[u]:
-                    continue
-                for i in self.at[u]:
-                    v, room, cost = self.arcs[i]
-                    e = d + cost + height[u] - height[v]
-                    if room > 0 and e < far.get(v, e + 1):
-                        far[v], came[v], n = e, i, n + 1
-                        heapq.heappush(heap, (e, n, v))
-            if b not in far:
-                return total
-            for u in self.at:
-                height[u] += min(far.get(u, far[b]), far[b])
-            path, u = [], b
-            while u != a:
-                path.append(came[u])
-                u = self.arcs[came[u] ^ 1][0]
-            amount = min(self.arcs[i][1] for i in path)
-            for i in path:
-                self.arcs[i][1] -= amount
-                self.arcs[i ^ 1][1] += amount
-            total += amount
-
-
-def _routed(patterns: dict[tuple, int], targets: dict[str, tuple[float, int]], quota: dict[str, int]) -> tuple[int, dict]:
-    """Tokens of each pattern sent to each source. The k-th use of the same tokens costs k - 1
-    a token, so uses spread over all documents before any is repeated."""
-    flow, sent = Flow(), {}
-    for sources, tokens in patterns.items():
-        for k in range(max(targets[s][1] for s in sources)):
-            flow.add("from", sources, tokens, k)
-        for s in sources:
-            sent[sources, s] = flow.add(sources, ("to", s), tokens * targets[s][1])
-    for s, q in quota.items():
-        flow.add(("to", s), "end", q)
-    total = flow.send("from", "end")
-    return total, {k: flow.arcs[i ^ 1][1] for k, i in sent.items() if flow.arcs[i ^ 1][1] > 0}
+        while (far := self.reached(a))[b] >= 0:
+            tried = [0] * len(self.at)
+            path: list[int] = []
+            u = a
+            while True:
+                if u == b:
+                    amount = min(self.room[i] for i in path)
+                    for i in path:
+                        self.room[i] -= amount
+                        self.room[i ^ 1] += amount
+                    total += amount
+                    first = next(n for n, i in enumerate(path) if not self.room[i])
+                    u, path = self.to[path[first] ^ 1], path[:first]
+                elif tried[u] < len(self.at[u]):
+                    i = self.at[u][tried[u]]
+                    if self.room[i] and far[self.to[i]] == far[u] + 1:
+                        path.append(i)
+                        u = self.to[i]
+                    else:
+                        tried[u] += 1
+                elif path:
+                    far[u] = -1
+                    u = self.to[path.pop() ^ 1]
+                else:
+                    break
+        return total
+
+
+def _network(patterns: dict[tuple, int], targets: dict[str, tuple[float, int]], quota: dict[str, int], laps: int | None = None) -> tuple[Flow, dict, dict, dict]:
+    """Tokens flow from node 0 by sets of sources to sources to node 1. A set gives its tokens
+    `laps` times (default: as often as the most patient of its sources allows), and each source
+    takes them as often as it allows."""
+    source = {s: 2 + i for i, s in enumerate(quota)}
+    node = {p: 2 + len(quota) + i for i, p in enumerate(patterns)}
+    flow = Flow(2 + len(quota) + len(patterns))
+    inflow = {p: flow.add(0, node[p], t * (max(targets[s][1] for s in p) if laps is None else laps)) for p, t in patterns.items()}
+    sent = {(p, s): flow.add(node[p], source[s], t * targets[s][1]) for p, t in patterns.items() for s in p}
+    ends = {s: flow.add(source[s], 1, q) for s, q in quota.items()}
+    return flow, inflow, sent, ends
+
+
+def _routed(patterns: dict[tuple, int], targets: dict[str, tuple[float, int]], quota: dict[str, int]) -> dict[tuple, int]:
+    """Tokens of each set sent to each source: the flow that meets the quotas at least cost, where
+    the k-th use of a token costs k - 1, whatever set it is of. Since the costs are convex and the
+    same for all sets, it is found lap by lap: all that can flow with one use each, then with
+    two, and so on; what a set gave in earlier laps stays given."""
+    flow, inflow, sent, _ = _network(patterns, targets, quota, 0)
+    most = {p: max(targets[s][1] for s in p) for p in patterns}
+    for lap in range(1, max(most.values(), default=0) + 1):
+        for p, i in inflow.items():
+            flow.room[i] += patterns[p] if lap <= most[p] else 0
+        flow.send(0, 1)
+    return {k: flow.room[i ^ 1] for k, i in sent.items() if flow.room[i ^ 1] > 0}
 
 
 def plan_mixture(patterns: dict[tuple, int], targets: dict[str, tuple[float, int]], total: int | None = None) -> dict[tuple, int]:
     """{(sources, source): tokens}. Weights of sources without any tokens are left out and the
     others scaled up to 1. `total` is met if the sources allow it; by default, and beyond what
     they allow, it is the greatest total at which every source reaches its weight."""
-    patterns = {p: t for p, t in patterns.items() if p and t > 0}
-    live = {s for p in patterns for s in p if targets[s][0] > 0 and targets[s][1] > 0}
-    patterns = {q: t for p, t in patterns.items() if (q := tuple(s for s in p if s in live))}
+    given = {p: t for p, t in patterns.items() if p and t > 0}
+    live = sorted({s for p in given for s in p if targets[s][0] > 0 and targets[s][1] > 0})
+    merged: dict[tuple, int] = {}
+    for p, t in given.items():
+        if q := tuple(s for s in p if s in set(live)):
+            merged[q] = merged.get(q, 0) + t  # sets that differ in dead sources alone
     if not live:
         return {}
-    scale = sum(targets[s][0] for s in live)
-
-    def quota(t: int) -> dict[str, int]:
-        return {s: int(t * targets[s][0] / scale) for s in live}
-
-    def reachable(t: int) -> bool:
-        q = quota(t)
-        return _routed(patterns, targets, q)[0] == sum(q.values())
-
-    most = sum(t * max(targets[s][1] for s in p) for p, t in patterns.items())
-    lo, hi = 0, most + 1
-    if total is not None and total <= most and reachable(total):
-        lo, hi = total, total + 1
-    while hi - lo > max(1, lo // 100_000):
-        mid = (lo + hi) // 2
-        lo, hi = (mid, hi) if reachable(mid) else (lo, mid)
-    return _routed(patterns, targets, quota(lo))[1]
+    scale = sum(Fraction(targets[s][0]) for s in live)
+    weight = {s: Fraction(targets[s][0]) / scale for s in live}
+    quota = lambda t: {s: int(t * w) for s, w in weight.items()}
+    most = sum(t * max(targets[s][1] for s in p) for p, t in merged.items())
+    best = Fraction(most if total is None else min(total, most))
+    while True:
+        # a total is too much if some sources together need more than the sets they stand in can
+        # give; the least cut names them, and they allow just that much
+        flow, inflow, sent, ends = _network(merged, targets, quota(best))
+        if flow.send(0, 1) == sum(quota(best).values()):
+            break
+        far = flow.reached(0)
+        scarce = [s for s, i in ends.items() if far[flow.to[i ^ 1]] < 0]
+        width = lambda i: flow.room[i] + flow.room[i ^ 1]  # noqa: E731, B023
+        can = sum(width(i) for i in inflow.values() if far[flow.to[i]] < 0) + sum(width(i) for i in sent.values() if far[flow.to[i ^ 1]] >= 0 > far[flow.to[i]])
+        best = Fraction(can) / sum(weight[s] for s in scarce)
+    return _routed(merged, targets, quota(best))
 
 
 def mixture(counted: DataFrame, targets: DataFrame, *, total: int | None = None, seed: int = 42, most_patterns: int = 100_000) -> DataFrame:
@@ -107,7 +136,8 @@ def mixture(counted: DataFrame, targets: DataFrame, *, total: int | None = None,
     id. targets: (source, weight, repeats). Sources compare trimmed and ignoring case.
 
     Documents are added up by the set of target sources they stand in, at most 2^sources rows,
-    which are all the driver sees. Min-cost flow routes each set's tokens to source quotas: a
+    which are all the driver sees (an error beyond `most_patterns`, for which routing on the driver
+    takes about a minute). Min-cost flow routes each set's tokens to source quotas: a
     document is used at most `repeats` times for a source, and over all sources no more often
     than the greatest `repeats` among its own. Within a set, documents lie end to end in a seeded
     random order, lap after lap; each source gets a stretch of that line, and a document is used

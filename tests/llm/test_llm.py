@@ -163,13 +163,52 @@ def test_pack(spark):
     assert packing.pack(df, caps.limit(0)).count() == 0
 
 
-def test_flow_is_cheapest():
-    f = mixing.Flow()
-    a = f.add("s", "x", 5, 1)
-    f.add("s", "y", 5, 3)
-    f.add("x", "t", 4)
-    f.add("y", "t", 4)
-    assert f.send("s", "t") == 8 and f.arcs[a ^ 1][1] == 4
+def test_flow():
+    f = mixing.Flow(4)
+    a = f.add(0, 2, 5)
+    f.add(0, 3, 5)
+    f.add(2, 3, 9)
+    f.add(3, 1, 4)
+    assert f.send(0, 1) == 4 and f.reached(0)[1] < 0
+    f.add(2, 1, 3)
+    assert f.send(0, 1) == 3 and f.room[a ^ 1] <= 5
+
+
+def uses_by_force(patterns, targets, quota):
+    """Least cost of meeting the quotas token by token, by trying all amounts; None if impossible."""
+    cells = [(p, s) for p in patterns for s in p]
+
+    def go(i, need, given):
+        if i == len(cells):
+            if any(need.values()):
+                return None
+            return sum(sum(min(patterns[p], max(0, n - k * patterns[p])) * k for k in range(9)) for p, n in given.items())
+        p, s = cells[i]
+        room = min(need[s], patterns[p] * targets[s][1], patterns[p] * max(targets[x][1] for x in p) - given[p])
+        costs = [go(i + 1, need | {s: need[s] - n}, given | {p: given[p] + n}) for n in range(room + 1)]
+        return min((c for c in costs if c is not None), default=None)
+
+    return go(0, quota, dict.fromkeys(patterns, 0))
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_plan_is_the_greatest_and_the_cheapest(seed):
+    rng = random.Random(seed)
+    names = ["a", "b", "c"]
+    targets = {n: (rng.choice([0.2, 0.3, 0.5]), rng.randrange(1, 4)) for n in names}
+    sets = [("a",), ("b",), ("c",), ("a", "b"), ("b", "c")]
+    patterns = {p: rng.randrange(1, 4) for p in rng.sample(sets, 3)}
+    plan = mixing.plan_mixture(patterns, targets)
+    by = {s: sum(n for (_, t), n in plan.items() if t == s) for s in names}
+    live = {s for p in patterns for s in p}
+    scale = sum(targets[s][0] for s in live)
+    quota = lambda t: {s: int(t * targets[s][0] / scale + 1e-9) for s in live}
+    cost = uses_by_force(patterns, targets, {s: by[s] for s in live})
+    used = {p: sum(n for (q, _), n in plan.items() if q == p) for p in patterns}
+    assert cost == sum(sum(min(patterns[p], max(0, n - k * patterns[p])) * k for k in range(9)) for p, n in used.items())
+    total, step = sum(by.values()), 1
+    more = [t for t in range(total + 1, total + 12 * step) if sum(quota(t).values()) > total and all(quota(t)[s] >= by[s] for s in live)]
+    assert not any(uses_by_force(patterns, targets, quota(t)) is not None for t in more if min(quota(t)[s] - t * targets[s][0] / scale for s in live) > -1e-6)
 
 
 def test_plan_reaches_weights():
@@ -181,6 +220,9 @@ def test_plan_reaches_weights():
     assert by["b"] == pytest.approx(360, abs=2)  # both its sets, four times over
     assert plan.get((("a", "b"), "a"), 0) == 0
     assert mixing.plan_mixture({}, targets) == {}
+    # sets that differ only in a source of no weight add up
+    dead = {"a": (0.5, 1), "b": (0.5, 1), "x": (0.0, 1)}
+    assert mixing.plan_mixture({("a",): 30, ("a", "x"): 70, ("b",): 100}, dead) == {(("a",), "a"): 100, (("b",), "b"): 100}
 
 
 def test_mixture(spark):
