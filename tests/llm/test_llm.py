@@ -253,10 +253,23 @@ def test_token_counts(spark):
     assert got == {1: 2, 2: 0, 3: 0, 4: len(encode("<|endoftext|> " * 2000))}
 
 
-def test_queries_run(spark, sf):
+@pytest.mark.parametrize("name", ["p8_holds", "p9_holds", "p10_found", "p10_share"])
+def test_same_as_sql(spark, sf, name):
+    from test_catalogue import compare
+
+    from strata.llm import queries
+
+    compare(queries.QUERIES[name](spark, sf), queries.SQL[name], sf)
+
+
+def test_reports(spark, sf):
     from strata.llm import queries
 
-    packed = queries.QUERIES["p8_pack"](spark, sf)
-    assert packed.count() > 0
-    for name in ("p8_report", "p9_mix", "p9_shares", "p10_found", "p10_share"):
-        assert queries.QUERIES[name](spark, sf).count() >= 0
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    packed = {r.container_kind: r for r in queries.p8_report(spark, sf).collect()}
+    kinds = {r.container_kind for r in spark.read.parquet(f"{sf}/pack_capacity.parquet").collect()}
+    assert set(packed) == kinds and len({r.tokens for r in packed.values()}) == 1
+    assert all(r.least_containers <= r.containers and 0.9 < r.used_share <= 1 for r in packed.values())
+    assert queries.p8_pack(spark, sf).select("doc_id").distinct().count() == docs.count()
+    shares = {r.source: r for r in queries.p9_shares(spark, sf).collect()}
+    assert sum(r.share for r in shares.values()) == pytest.approx(1) and all(r.most_uses <= r.max_repeats for r in shares.values())
