@@ -7,24 +7,21 @@ from pyspark.sql import functions as F
 
 from strata.operators.sliced import weighted_quantile
 
-_TEXT = "value string, number double"
+_NUMERIC = ("int", "bigint", "double", "float", "smallint", "tinyint")
 
 
-def value_counts(df: DataFrame, load: str, columns: list[str]) -> DataFrame:
+def value_counts(df: DataFrame, load: str, columns: list[str], labels: list | None = None) -> DataFrame:
     """(column_name, load, value, number, n): how often each column holds each value in each
     load. Values are as written, as text; `number` is the value of numeric columns. A null stays
-    null, and so does a null load. One scan, counted on the map side before the shuffle."""
+    null, and so does a null load. One scan, counted on the map side before the shuffle. `labels`
+    stand for the columns' names; short ones make for less to shuffle."""
     kinds = dict(df.dtypes)
-    numeric = ("int", "bigint", "double", "float", "smallint", "tinyint")
-    cells = [
-        F.struct(
-            F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"),
-            (F.col(c).cast("double") if kinds[c] in numeric or kinds[c].startswith("decimal") else F.lit(None).cast("double")).alias("number"),
-        )
-        for c in columns
-    ]
+    names = dict(zip(columns, labels or columns, strict=True))
+    cells = [F.struct(F.lit(names[c]).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns]
     long = df.select(F.col(load).alias("load"), F.explode(F.array(*cells)).alias("x"))
-    return long.groupBy("x.column_name", "load", "x.value", "x.number").agg(F.count("*").alias("n"))
+    counts = long.groupBy("x.column_name", "load", "x.value").agg(F.count("*").alias("n"))
+    numeric = [names[c] for c in columns if kinds[c] in _NUMERIC or kinds[c].startswith("decimal")]
+    return counts.withColumn("number", F.when(F.col("column_name").isin(numeric), F.col("value")).cast("double"))
 
 
 def shares(counts: DataFrame, domains: dict[str, Column] | None = None) -> DataFrame:
@@ -33,8 +30,8 @@ def shares(counts: DataFrame, domains: dict[str, Column] | None = None) -> DataF
     and the departure from the whole table: total variation distance, population stability index
     and chi-square of the non-null values. Every figure is exact.
 
-    `whole_` columns hold the table's own figures. A load without non-null values has null range
-    and departure."""
+    `whole_` columns hold the table's own figures. Numbers have a numeric range and texts one of
+    text. A load without non-null values has null range and departure."""
     valid = F.lit(None).cast("boolean")
     for name, ok in (domains or {}).items():
         valid = F.when(F.col("column_name") == name, ok).otherwise(valid)
@@ -47,7 +44,7 @@ def shares(counts: DataFrame, domains: dict[str, Column] | None = None) -> DataF
         F.sum("n").alias("rows"), F.sum(F.when(~held, F.col("n")).otherwise(0)).alias("nulls"),
         F.sum(held.cast("int")).cast("long").alias("distinct_values"), F.sum("breach").alias("breaches"),
         F.min(some(F.col("number"))).alias("min_number"), F.max(some(F.col("number"))).alias("max_number"),
-        F.min("value").alias("min_value"), F.max("value").alias("max_value"),
+        *[f(F.when(F.col("number").isNull(), F.col("value"))).alias(n) for f, n in ((F.min, "min_value"), (F.max, "max_value"))],
     ]
     by_load = per_value.groupBy("column_name", "load").agg(*figures)
     w = Window.partitionBy("column_name")  # one row per column and load

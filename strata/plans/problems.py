@@ -188,7 +188,6 @@ def p5_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- 6: column profile
 
-LARGE = ["patient", "encounter", "lab_result", "observation", "survey_administration", "survey_response"]
 # fixed values: the documented domains
 RACES = ["white", "black", "asian", "other", "unknown"]
 UNITS = ["mg/dL", "mmol/L", "umol/L", "g/dL", "g/L", "mg/L", "10*3/uL", "%"]
@@ -205,13 +204,14 @@ def _domains() -> dict:
 
 
 def _profiled(spark: SparkSession, sf_dir: str, columns: dict[str, list[str]]) -> DataFrame:
-    """Profiles of all the tables' columns at once: their counts are one frame, with the table's
-    name before the column's."""
-    counts = [
-        profile.value_counts(table(spark, sf_dir, name), "_batch_id", own).withColumn("column_name", F.concat(F.lit(f"{name}."), "column_name")) for name, own in columns.items()
-    ]
-    both = F.split("column_name", "[.]")
-    return profile.shares(reduce(DataFrame.unionByName, counts), _domains()).withColumns({"table_name": both[0], "column_name": both[1]}).withColumnRenamed("load", "batch_id")
+    """Profiles of all the tables' columns at once: their counts are one frame, in which a number
+    stands for a table's column."""
+    names = [f"{t}.{c}" for t, own in columns.items() for c in own]
+    number = {n: i for i, n in enumerate(names)}
+    counts = [profile.value_counts(table(spark, sf_dir, t), "_batch_id", own, [number[f"{t}.{c}"] for c in own]) for t, own in columns.items()]
+    domains = {number[n]: ok for n, ok in _domains().items() if n in number}
+    both = F.split(F.element_at(F.array(*[F.lit(n) for n in names]), F.col("column_name") + 1), "[.]")
+    return profile.shares(reduce(DataFrame.unionByName, counts), domains).withColumns({"table_name": both[0], "column_name": both[1]}).withColumnRenamed("load", "batch_id")
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -240,11 +240,22 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return by_share.unionByName(by_median)
 
 
+#: Columns of the large tables in whose profile the loads themselves are not a column.
+PROFILED = {
+    "patient": ["patient_id", "sex", "race", "ethnicity", "birth_year", "age_band", "zip3", "deceased_flag", "valid_from", "valid_to", "is_current", "row_hash", "_ingest_ts"],
+    "encounter": ["encounter_id", "patient_id", "provider_id", "organization_id", "care_setting", "admit_ts", "discharge_ts", "encounter_class", "source_system", "_change_type", "_ingest_ts"],
+    "lab_result": ["lab_result_id", "patient_id", "encounter_id", "loinc_code", "display", "value_num", "unit", "resulted_ts", "source_system", "_ingest_ts"],
+    "observation": ["observation_id", "patient_id", "encounter_id", "loinc_code", "display", "value_num", "unit", "observed_ts", "source_system", "_ingest_ts"],
+    "survey_administration": ["administration_id", "patient_id", "instrument_id", "instrument_name", "wave", "administered_ts", "completion_status", "straight_lining_flag", "out_of_window_flag", "irb_protocol_id", "source_system", "_change_type", "_ingest_ts"],
+    "survey_response": ["response_id", "administration_id", "patient_id", "instrument_id", "item_id", "value_num", "source_system", "_ingest_ts"],
+}
+
+
 def p6_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every column of the large tables: each load's figures against the whole table's."""
-    columns = {t: [c for c in table(spark, sf_dir, t).columns if c != "_batch_id"] for t in LARGE}
-    return _profiled(spark, sf_dir, columns).select(
-        "table_name", "column_name", "batch_id", "rows", "nulls", "distinct_values", "breaches", "min_value", "max_value", "min_number", "max_number", "variation", "psi", "chi_square"
+    return _profiled(spark, sf_dir, PROFILED).select(
+        "table_name", "column_name", "batch_id", "rows", "nulls", "distinct_values", "breaches", "min_value", "max_value", "min_number", "max_number",
+        F.round("variation", 6).alias("variation"), F.round("psi", 6).alias("psi"), F.round("chi_square", 3).alias("chi_square"),
     )
 
 

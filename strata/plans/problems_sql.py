@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from strata.functions.text import NULL_TOKENS
-from strata.plans.problems import FIRST_DAY, LAST_DAY, LARGE
+from strata.plans.problems import FIRST_DAY, LAST_DAY, PROFILED
 
 _TOKENS = ", ".join(f"'{t}'" for t in NULL_TOKENS)
 
@@ -139,6 +139,26 @@ _P6 = "select * from (" + " union all ".join([
 ]) + ") where batch_id between 'load-202301' and 'load-202412'"
 
 
+_NUMBERS = {"birth_year", "value_num"}
+_VALID = {
+    "patient.race": "v in ('white', 'black', 'asian', 'other', 'unknown')", "patient.zip3": "regexp_full_match(v, '[0-9]{3}')",
+    "lab_result.unit": "v in ('mg/dL', 'mmol/L', 'umol/L', 'g/dL', 'g/L', 'mg/L', '10*3/uL', '%')", "survey_administration.completion_status": "v in ('complete', 'partial', 'missed')",
+}
+# every load of a column against every value of the column, straight from the definitions
+_P6_PROFILE = "with long as (" + " union all ".join(
+    f"select '{t}' t, '{c}' c, _batch_id b, {c}::varchar v, {f'{c}::double' if c in _NUMBERS else 'null::double'} x from {t}" for t, own in PROFILED.items() for c in own
+) + """),
+loads as (
+  select t, c, b, count(*) "rows", count(*) filter (v is null) nulls, count(v) held, count(distinct v) distinct_values, min(case when x is null then v end) min_value, max(case when x is null then v end) max_value,
+    min(x) min_number, max(x) max_number, count(*) filter (""" + " or ".join(f"(t || '.' || c = '{n}' and not ({ok}))" for n, ok in _VALID.items()) + """) breaches from long group by 1, 2, 3),
+counted as (select t, c, b, v, count(*) n from long where v is not null group by 1, 2, 3, 4),
+vals as (select t, c, v, sum(n) n, sum(sum(n)) over (partition by t, c) held from counted group by 1, 2, 3),
+grid as (select l.t, l.c, l.b, l.held, coalesce(x.n, 0) / l.held p, (v.n / v.held)::double q from loads l join vals v on v.t = l.t and v.c = l.c left join counted x on x.t = l.t and x.c = l.c and x.b = l.b and x.v = v.v where l.held > 0),
+away as (select t, c, b, sum(abs(p - q)) / 2 variation, sum((p - q) * ln(greatest(p, 1e-6) / greatest(q, 1e-6))) psi, sum((p - q) * (p - q) / q * held) chi_square from grid group by 1, 2, 3)
+select t table_name, c column_name, b batch_id, "rows", nulls, distinct_values, breaches, min_value, max_value, min_number, max_number, round(variation, 6) variation, round(psi, 6) psi, round(chi_square, 3) chi_square
+from loads left join away using (t, c, b)"""
+
+
 def _p7_part(child: str, own: str, parent: str, ref: str, deletable: bool) -> str:
     stands = "arg_max(_change_type, _ingest_ts) is distinct from 'delete'" if deletable else "true"
     return f"""select '{child}' table_name, c.id row_id,
@@ -172,6 +192,7 @@ SQL = {
     "p5_found": _DAYS + " select patient patient_id, (year(day) * 10000 + month(day) * 100 + dayofmonth(day))::bigint day_key from rolled where a + r = 0 and a7 + r7 >= 5 and 30 * (a7 + r7) >= 14 * (a30 + r30)",
     "p5_rolling": _DAYS + f" select patient patient_id, (year(day) * 10000 + month(day) * 100 + dayofmonth(day))::bigint day_key, a::bigint admissions, r::bigint results, a7::bigint admissions_7, a30::bigint admissions_30, r7::bigint results_7, r30::bigint results_30, {_MEANS} from rolled",
     "p6_found": _P6,
+    "p6_profile": _P6_PROFILE,
     "p7_found": _P7,
     "p7_report": f"select table_name, period, status, count(*) records from ({_P7}) group by 1, 2, 3",
 }

@@ -257,12 +257,14 @@ def test_profile(spark):
 def test_psi_counts_absent_values(spark):
     rng = random.Random(4)
     data = [(load, rng.choice(held)) for load, held in (("l1", "ab"), ("l2", "abcd"), ("l3", "d"), (None, "ac")) for _ in range(50)] + [("l1", None)]
-    got = {r.load: r.psi for r in shares(value_counts(spark.createDataFrame(data, "load string, value string"), "load", ["value"])).collect()}
+    figures = {r.load: r for r in shares(value_counts(spark.createDataFrame(data, "load string, value string"), "load", ["value"])).collect()}
     whole = [v for _, v in data if v is not None]
     for load in ("l1", "l2", "l3", None):
         own = [v for x, v in data if x == load and v is not None]
         share = [(own.count(v) / len(own), whole.count(v) / len(whole)) for v in "abcd"]
-        assert got[load] == pytest.approx(sum((p - q) * math.log(max(p, 1e-6) / max(q, 1e-6)) for p, q in share))
+        assert figures[load].psi == pytest.approx(sum((p - q) * math.log(max(p, 1e-6) / max(q, 1e-6)) for p, q in share))
+        assert figures[load].chi_square == pytest.approx(sum((p - q) ** 2 / q * len(own) for p, q in share))
+        assert figures[load].variation == pytest.approx(sum(abs(p - q) for p, q in share) / 2)
 
 
 # --- orphans
