@@ -31,9 +31,14 @@ class Settings:
         return f"{self.catalog}.{schema}.{table}"
 
 
+def shipped(name: str) -> Path:
+    """A configuration file that comes with the package."""
+    return Path(__file__).parent / "shipped" / name
+
+
 @lru_cache(maxsize=1)
-def load(path: str | None = None, prefix: str = "STRATA_") -> Settings:
-    """Defaults, then the YAML file, then STRATA_<FIELD> variables. `load.cache_clear()` rereads."""
+def load(path: str | Path = shipped("platform.yml"), prefix: str = "STRATA_") -> Settings:
+    """Defaults, then the YAML file (as shipped, if none is named), then STRATA_<FIELD> variables. `load.cache_clear()` rereads."""
     values: dict = {}
     if path and Path(path).exists():
         import yaml

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata import config
 from strata.functions import privacy
 from strata.functions.text import attribute_of, id_of, key_of, micros
 from strata.operators import relational as rel
 from strata.operators.current import latest
+from strata.plans.lake import layer
 from strata.plans.problems import table
 
-PEPPER = "demo-pepper"
 AS_OF = "2025-01-01"
 # fixed values: attribute weights by code, order of the survey waves
 WEIGHTS = {"4548-4": 2, "2345-7": 1, "2160-0": 1, "1988-5": 1}
@@ -19,14 +20,26 @@ WAVE_ORDER = ["baseline", "day_30", "day_90", "day_180", "day_365"]
 PERSON = ["sex", "race", "ethnicity"]
 
 
+def pepper() -> str:
+    return config.load().secret()
+
+
 def sk(c: Column) -> Column:
-    return privacy.hmac_hex(c, PEPPER)
+    return privacy.hmac_hex(c, pepper())
+
+
+@layer("restricted.patient_xref")
+def patient_xref(spark: SparkSession, d: str) -> DataFrame:
+    """Pseudonymous key of every source id."""
+    ids = table(spark, d, "patient").select(id_of(F.col("patient_id")).alias("source_patient_id")).filter("source_patient_id is not null").distinct()
+    return ids.select(sk(F.col("source_patient_id")).alias("patient_sk"), "source_patient_id")
 
 
 def date_key(c: Column) -> Column:
     return F.date_format(c, "yyyyMMdd").cast("int")
 
 
+@layer("silver.patient")
 def silver_patient(spark: SparkSession, d: str) -> DataFrame:
     """One pseudonymised row per patient: the latest delivery."""
     raw = table(spark, d, "patient")
@@ -67,6 +80,7 @@ def encounter_windows(stays: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good.filter("admit_ts is not null"), bad.unionByName(good.filter("admit_ts is null"))
 
 
+@layer("silver.encounter")
 def silver_encounter(spark: SparkSession, d: str) -> DataFrame:
     known = rel.referential_keep(conformed_encounter(spark, d), silver_patient(spark, d), "patient_sk")
     return encounter_windows(known)[0]
@@ -91,10 +105,12 @@ def lab_status(spark: SparkSession, d: str) -> DataFrame:
     return rel.two_parent_status(conformed_lab(spark, d), silver_patient(spark, d), "patient_sk", silver_encounter(spark, d), "encounter_sk")
 
 
+@layer("silver.lab_result")
 def silver_lab(spark: SparkSession, d: str) -> DataFrame:
     return lab_status(spark, d).filter("status = 'good'").drop("status")
 
 
+@layer("gold.fact_encounter")
 def fact_encounter(spark: SparkSession, d: str) -> DataFrame:
     s = F.unix_timestamp("discharge_ts") - F.unix_timestamp("admit_ts")
     return silver_encounter(spark, d).select(
@@ -104,6 +120,7 @@ def fact_encounter(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@layer("gold.fact_lab_result")
 def fact_lab(spark: SparkSession, d: str) -> DataFrame:
     return silver_lab(spark, d).select(
         F.col("lab_result_sk").alias("lab_result_key"), F.col("patient_sk").alias("patient_key"), F.col("encounter_sk").alias("encounter_key"), F.col("loinc_code").alias("lab_test_key"),
@@ -111,12 +128,14 @@ def fact_lab(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@layer("gold.fact_readmission")
 def fact_readmission(spark: SparkSession, d: str) -> DataFrame:
     stays = fact_encounter(spark, d).filter("care_setting_key = 'inpatient'")
     out = rel.next_event_within(stays, "patient_key", "admit_ts", "discharge_ts", "encounter_key", 30.0, "readmission_30d")
     return out.select("encounter_key", "patient_key", "admit_ts", "discharge_ts", "readmission_30d", F.col("readmission_30d").cast("int").alias("readmission_30d_count"))
 
 
+@layer("gold.fact_survey_response")
 def fact_survey(spark: SparkSession, d: str) -> DataFrame:
     """Total score per standing administration with answers."""
     adm = latest(
@@ -133,10 +152,12 @@ def fact_survey(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@layer("gold.dim_patient")
 def dim_patient(spark: SparkSession, d: str) -> DataFrame:
     return silver_patient(spark, d).filter("is_current").select(F.col("patient_sk").alias("patient_key"), *PERSON, "age_band", "birth_year", "zip3", "deceased_flag")
 
 
+@layer("gold.mart_patient_360")
 def patient_360(spark: SparkSession, d: str) -> DataFrame:
     visits, results = fact_encounter(spark, d), fact_lab(spark, d)
     v = visits.groupBy("patient_key").agg(
@@ -148,6 +169,7 @@ def patient_360(spark: SparkSession, d: str) -> DataFrame:
     return out.na.fill(0, ["encounter_count", "inpatient_count", "ed_count", "lab_count", "distinct_tests"])
 
 
+@layer("gold.mart_utilization")
 def utilization(spark: SparkSession, d: str, k: int = 11) -> DataFrame:
     who = dim_patient(spark, d).select("patient_key", "age_band", "sex")
     cells = fact_encounter(spark, d).select("patient_key", "care_setting_key", "los_s").join(who, "patient_key").groupBy("age_band", "sex", "care_setting_key").agg(
@@ -156,15 +178,18 @@ def utilization(spark: SparkSession, d: str, k: int = 11) -> DataFrame:
     return rel.suppress_small_cells(cells, "n", k, ["avg_los_days"])
 
 
+@layer("gold.mart_prom_trajectory")
 def trajectory(spark: SparkSession, d: str) -> DataFrame:
     out = rel.baseline_delta(fact_survey(spark, d), ["patient_key", "instrument_key"], "wave", "total_score")
     return out.withColumn("baseline_score", F.round("baseline_score", 6)).withColumn("change", F.round("change", 6))
 
 
+@layer("gold.mart_clinical_survey_linkage")
 def linkage(spark: SparkSession, d: str) -> DataFrame:
     return patient_360(spark, d).select("patient_key", "encounter_count", "lab_count").join(fact_survey(spark, d).select("patient_key", "instrument_key", "wave", "total_score"), "patient_key")
 
 
+@layer("ml.ft_utilization_90d")
 def ft_trailing_90d(spark: SparkSession, d: str) -> DataFrame:
     """Utilisation of the 90 days before each admission; one row per patient and day, the last."""
     setting = F.col("care_setting_key")
@@ -177,6 +202,7 @@ def ft_trailing_90d(spark: SparkSession, d: str) -> DataFrame:
     return last.select("patient_key", date_key(F.col("feature_as_of")).alias("as_of_key"), *[F.coalesce(F.col("m")[c], F.lit(0)).cast("long").alias(c) for c in names])
 
 
+@layer("ml.ft_lab_trends")
 def ft_lab_trend_180d(spark: SparkSession, d: str) -> DataFrame:
     v = F.col("value_num").cast("decimal(18,4)")
     out = rel.trailing(
@@ -186,6 +212,7 @@ def ft_lab_trend_180d(spark: SparkSession, d: str) -> DataFrame:
     return out.select("patient_key", "lab_result_key", "labs_180d", F.size("_tests").cast("long").alias("tests_180d"), (F.col("_s").cast("double") / F.col("_n")).alias("mean_value_180d"))
 
 
+@layer("ml.ft_prom_scores")
 def ft_latest_score(spark: SparkSession, d: str) -> DataFrame:
     """Latest score per patient and instrument, by time of administration, then by wave order."""
     rank = F.array_position(F.array(*[F.lit(w) for w in WAVE_ORDER]), F.col("wave"))
@@ -193,6 +220,7 @@ def ft_latest_score(spark: SparkSession, d: str) -> DataFrame:
     return last.select("patient_key", "instrument_key", "m.wave", "m.total_score")
 
 
+@layer("ml.ft_comorbidity_index")
 def ft_weighted_codes(spark: SparkSession, d: str) -> DataFrame:
     weight = F.lit(0)
     for code, w in WEIGHTS.items():
@@ -202,10 +230,12 @@ def ft_weighted_codes(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@layer("ml.ft_medication_adherence")
 def ft_density(spark: SparkSession, d: str) -> DataFrame:
     return fact_lab(spark, d).groupBy("patient_key").agg(F.max(date_key(F.col("resulted_ts"))).alias("as_of_key"), F.count("*").alias("events"), F.lit(1.0).alias("adherence"))
 
 
+@layer("ml.ft_patient_demographics")
 def ft_demographics(spark: SparkSession, d: str) -> DataFrame:
     return dim_patient(spark, d).select("patient_key", "sex", "race", "ethnicity", "age_band", "birth_year", "zip3", F.col("deceased_flag").cast("int").alias("deceased_flag"), F.lit(20250101).alias("as_of_key"))
 

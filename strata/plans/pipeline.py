@@ -2,55 +2,66 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from datetime import UTC, datetime
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata import config
 from strata.operators import cohort as ch
+from strata.operators import contracts, rules
 from strata.operators import relational as rel
-from strata.operators import rules
 from strata.plans import layers as L
+from strata.plans.lake import Lake
+from strata.sources import landing
 from strata.sources.store import Store
 
-Frame = Callable[[SparkSession, str], DataFrame]
+SILVER = (L.silver_patient, L.silver_encounter, L.silver_lab)
+GOLD = (L.dim_patient, L.fact_encounter, L.fact_lab, L.fact_readmission, L.fact_survey, L.patient_360, L.utilization, L.trajectory, L.linkage)
+FEATURES = (L.ft_demographics, L.ft_trailing_90d, L.ft_lab_trend_180d, L.ft_latest_score, L.ft_weighted_codes, L.ft_density)
+RULED = ("patient", "encounter", "lab_result")
 
-SILVER: Mapping[str, Frame] = {"patient": L.silver_patient, "encounter": L.silver_encounter, "lab_result": L.silver_lab}
-GOLD: Mapping[str, Frame] = {
-    "dim_patient": L.dim_patient, "fact_encounter": L.fact_encounter, "fact_lab_result": L.fact_lab, "fact_readmission": L.fact_readmission, "fact_survey_response": L.fact_survey,
-    "mart_patient_360": L.patient_360, "mart_utilization": L.utilization, "mart_prom_trajectory": L.trajectory, "mart_clinical_survey_linkage": L.linkage,
-}
-FEATURES: Mapping[str, Frame] = {
-    "ft_patient_demographics": L.ft_demographics, "ft_utilization_90d": L.ft_trailing_90d, "ft_lab_trends": L.ft_lab_trend_180d, "ft_prom_scores": L.ft_latest_score,
-    "ft_comorbidity_index": L.ft_weighted_codes, "ft_medication_adherence": L.ft_density,
-}
 
+def rulesets() -> dict[str, list[rules.Rule]]:
+    """The rules that come with the package, by Silver table."""
+    return {t: rules.load_rules(config.shipped(f"rules/{t}.yml")) for t in RULED}
 
-def _publish(store: Store, source: str, schema: str, frames: Mapping[str, Frame]) -> dict[str, int]:
-    """Each table written once."""
-    return {name: store.write(f(store.spark, source), schema, name, mode="overwrite") for name, f in frames.items()}
+
+def _publish(lake: Lake, frames: Iterable, contract: bool = False) -> dict[str, int]:
+    """Each table written once, from the tables below it as they are stored."""
+    out = {}
+    for f in frames:
+        schema, name = f.at.split(".")
+        df = f.build(lake.spark, lake)
+        if contract:
+            contracts.require(df, contracts.load(config.shipped(f"contracts/{schema}_{name}.yml")), types=True)
+        out[name] = lake.store.write(df, schema, name, mode="overwrite")
+    return out
 
 
-def build_silver(store: Store, source: str, batch_id: str) -> dict[str, int]:
-    """Silver tables and what they reject, with reason and payload."""
-    spark = store.spark
-    conformed = L.conformed_encounter(spark, source)
+def build_silver(lake: Lake, batch_id: str) -> dict[str, int]:
+    """Crosswalk and Silver tables from Bronze, held to their contracts, and what they reject with
+    reason and payload."""
+    spark, store = lake.spark, lake.store
+    out = {**_publish(lake, [L.patient_xref]), **_publish(lake, SILVER, contract=True)}
+    conformed, patients = L.conformed_encounter(spark, lake), L.silver_patient(spark, lake)
     rejected = {
-        ("encounter", "orphan_patient"): rel.referential_orphans(conformed, L.silver_patient(spark, source), "patient_sk"),
+        ("encounter", "orphan_patient"): rel.referential_orphans(conformed, patients, "patient_sk"),
         ("encounter", "window"): L.encounter_windows(conformed)[1],
-        ("lab_result", "orphan_parent"): L.lab_status(spark, source).filter("status <> 'good'").drop("status"),
+        ("lab_result", "orphan_parent"): L.lab_status(spark, lake).filter("status <> 'good'").drop("status"),
     }
-    out = _publish(store, source, "silver", SILVER)
     for (entity, reason), bad in rejected.items():
         out[f"{entity}_{reason}"] = store.write(rel.quarantined(bad, entity=entity, reason=reason, batch_id=batch_id), "quarantine", f"{entity}_{reason}")
     return out
 
 
-def validate_silver(store: Store, rulesets: Mapping[str, list[rules.Rule]], *, enforce: bool = True, alert=None) -> dict[str, rules.Report]:
-    """Measures every table, keeps all results, and only then blocks."""
-    reports = {t: rules.validate(store.read("silver", t), r, f"silver.{t}") for t, r in rulesets.items()}
+def validate_silver(lake: Lake, ruled: Mapping[str, list[rules.Rule]] | None = None, *, enforce: bool = True, alert=None) -> dict[str, rules.Report]:
+    """Measures every table by the given rules or those shipped, keeps all results, and only then
+    blocks."""
+    store = lake.store
+    reports = {t: rules.validate(store.read("silver", t), r, f"silver.{t}") for t, r in (rulesets() if ruled is None else ruled).items()}
     for r in reports.values():
         store.write(rules.report_frame(store.spark, r), "ops", "dq_results")
     if enforce:
@@ -59,14 +70,36 @@ def validate_silver(store: Store, rulesets: Mapping[str, list[rules.Rule]], *, e
     return reports
 
 
-def build_gold(store: Store, source: str, rulesets: Mapping[str, list[rules.Rule]] | None = None) -> dict[str, int]:
-    if rulesets:
-        validate_silver(store, rulesets)
-    return _publish(store, source, "gold", GOLD)
+def build_gold(lake: Lake, ruled: Mapping[str, list[rules.Rule]] | None = None, *, alert=None) -> dict[str, int]:
+    """Gold from the stored Silver, once it has passed the gate."""
+    validate_silver(lake, ruled, alert=alert)
+    return _publish(lake, GOLD)
+
+
+def build_features(lake: Lake) -> dict[str, int]:
+    return _publish(lake, FEATURES)
+
+
+def run(lake: Lake, landing_folder: str, batch_id: str) -> dict[str, int]:
+    """Landing files to Bronze, Silver, gate, Gold and features; each step logged."""
+    out: dict[str, int] = {}
+    for step, build in {
+        "bronze": lambda: landing.ingest_directory(lake.store, landing_folder, batch_id), "silver": lambda: build_silver(lake, batch_id),
+        "gold": lambda: build_gold(lake), "features": lambda: build_features(lake),
+    }.items():
+        got = build()
+        log_run(lake.store, step, got)
+        out |= {f"{step}.{t}": n for t, n in got.items()}
+    return out
 
 
-def build_features(store: Store, source: str) -> dict[str, int]:
-    return _publish(store, source, "ml", FEATURES)
+def land(spark: SparkSession, folder: str, into: str, tables: Iterable[str] = ("patient", "encounter", "lab_result", "observation", "survey_administration", "survey_response")) -> None:
+    """Tables of a folder as landing files: CSV with header, texts as they are."""
+    for t in tables:
+        df = spark.read.parquet(f"{folder}/{t}.parquet")
+        side = "survey" if t.startswith("survey_") else "clinical"
+        options = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "emptyValue": '""'}
+        df.write.mode("overwrite").options(**options).csv(f"{into}/{side}/{t}.csv")
 
 
 def cohort_criteria(store: Store, versions: Mapping[str, int] | None = None) -> dict[str, Callable]:

@@ -22,8 +22,9 @@ ATTRIBUTES = {"slow": ["sex", "race", "ethnicity"], "fast": ["zip3", "age_band"]
 FIRST_DAY, LAST_DAY = "2023-01-01", "2024-12-31"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir, name: str) -> DataFrame:
+    """A raw table of a folder, or of any source with a `table` of its own."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet") if isinstance(sf_dir, str) else sf_dir.table(name)
 
 
 def standing_encounters(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,8 @@ from strata.operators import governance as gov
 from strata.operators import ml, rules, scanner, sliced
 from strata.operators import relational as rel
 from strata.plans import layers as L
-from strata.plans.governance_rows import EDGES
+from strata.plans import pipeline
+from strata.plans.lake import Lake, lineage
 from strata.plans.problems import table
 from strata.session import written
 from strata.sources.store import shared_store
@@ -82,17 +83,11 @@ def hmac_surrogate(spark, d):
     return table(spark, d, "customer").select("c_custkey", L.sk(F.col("c_name")).alias("key"))
 
 
-@query
-def patient_xref(spark, d):
-    ids = table(spark, d, "patient").select(id_of(F.col("patient_id")).alias("source_patient_id")).filter("source_patient_id is not null").distinct()
-    return ids.select(L.sk(F.col("source_patient_id")).alias("patient_sk"), "source_patient_id")
-
-
 @query
 def day_shift(spark, d):
     o = table(spark, d, "orders")
     key = F.col("o_custkey").cast("string")
-    return o.select("o_orderkey", privacy.day_offset(key, L.PEPPER).alias("days"), L.date_key(privacy.shifted_date(F.col("o_orderdate"), key, L.PEPPER)).alias("shifted_key"))
+    return o.select("o_orderkey", privacy.day_offset(key, L.pepper()).alias("days"), L.date_key(privacy.shifted_date(F.col("o_orderdate"), key, L.pepper())).alias("shifted_key"))
 
 
 @query
@@ -170,7 +165,7 @@ def quarantine_payload(spark, d):
     return rel.quarantined(bad.select("encounter_sk", "care_setting"), entity="encounter", reason="orphan_patient", batch_id="b1").select("encounter_sk", "_quarantine_reason", "_raw_payload_json")
 
 
-for _name in ("silver_patient", "silver_encounter", "silver_lab"):
+for _name in ("patient_xref", "silver_patient", "silver_encounter", "silver_lab"):
     _publish(_name, getattr(L, _name))
 
 
@@ -277,48 +272,57 @@ def dash_linkage(spark, d):
 
 # --- data quality
 
-ENCOUNTER_RULES = [
-    rules.parse(r)
-    for r in (
-        {"id": "enc_pk_not_null", "type": "not_null", "column": "encounter_sk", "category": "completeness"},
-        {"id": "enc_patient_not_null", "type": "not_null", "column": "patient_sk", "category": "completeness"},
-        {"id": "enc_pk_unique", "type": "unique", "columns": ["encounter_sk"], "category": "uniqueness"},
-        {"id": "enc_window", "type": "expression", "expression": "discharge_ts IS NULL OR discharge_ts >= admit_ts", "category": "consistency"},
-        {"id": "enc_setting", "type": "allowed_values", "column": "care_setting", "values": ["inpatient", "outpatient", "emergency", "ambulatory"], "severity": "warn", "threshold": 0.95},
-        {"id": "enc_rows", "type": "row_count_min", "min_rows": 100},
-    )
-]
-LAB_RULES = [
-    rules.parse(r)
-    for r in (
-        {"id": "lab_value_range", "type": "between", "column": "value_num", "min": 0, "max": 1000, "threshold": 0.99},
-        {"id": "lab_code_shape", "type": "regex", "column": "loinc_code", "pattern": r"^[0-9]+-[0-9]$"},
-        {"id": "lab_value_given", "type": "not_null", "column": "value_num", "filter": "unit is not null", "threshold": 0.9},
-        {"id": "lab_pair_unique", "type": "unique", "columns": ["patient_sk", "resulted_ts"], "severity": "warn"},
-    )
-]
+@query
+def dq_patient(spark, d):
+    return rules.measured(L.silver_patient(spark, d), pipeline.rulesets()["patient"])
 
 
 @query
 def dq_encounter(spark, d):
-    return rules.measured(L.conformed_encounter(spark, d), ENCOUNTER_RULES)
+    return rules.measured(L.conformed_encounter(spark, d), pipeline.rulesets()["encounter"])
 
 
 @query
 def dq_lab(spark, d):
-    return rules.measured(L.conformed_lab(spark, d), LAB_RULES)
+    return rules.measured(L.conformed_lab(spark, d), pipeline.rulesets()["lab_result"])
 
 
 @query
 def dq_scorecard(spark, d):
-    """Two runs of the rules, of which the later counts."""
+    """Two runs of the rules, over all encounters and over those in Silver, of which the later
+    counts."""
     runs = []
-    for run, frame in (("r1", L.conformed_encounter(spark, d).limit(0)), ("r2", L.conformed_encounter(spark, d))):
-        report = rules.validate(frame, ENCOUNTER_RULES, "silver.encounter", run)
+    for run, frame in (("r1", L.conformed_encounter(spark, d)), ("r2", L.silver_encounter(spark, d))):
+        report = rules.validate(frame, pipeline.rulesets()["encounter"], "silver.encounter", run)
         runs.append(rules.report_frame(spark, report).withColumn("ts", F.lit(run)))
     return rules.scorecard(runs[0].unionByName(runs[1])).select("table_name", "rule_id", "status", "pass_rate", "rows_failed")
 
 
+# --- the chain: landing, Bronze, Silver, gate, Gold, features
+
+def _chained(spark: SparkSession, d: str) -> Lake:
+    """A lake that the tables went through from landing files to features."""
+    lake = Lake(shared_store(spark, "lake"))
+    pipeline.land(spark, d, f"{lake.store.root}/landing_files")
+    pipeline.run(lake, f"{lake.store.root}/landing_files", "b1")
+    return lake
+
+
+@query
+def chain_patient_360(spark, d):
+    """The 360 mart as it stands in Gold after the whole chain."""
+    return secs(_chained(spark, d).store.read("gold", "mart_patient_360"))
+
+
+@query
+def chain_run_log(spark, d):
+    """Rows of the core tables in the run log against the rows they hold."""
+    store = _chained(spark, d).store
+    tables = [f.at for f in (*pipeline.SILVER, *pipeline.GOLD)]
+    log = store.read("ops", "pipeline_run_log").filter("status = 'ok'").select(F.concat_ws(".", "step", "table_name").alias("at"), "rows")
+    return log.filter(F.col("at").isin(tables)).select("at", "rows")
+
+
 # --- cohorts
 
 def _criteria(spark: SparkSession, d: str) -> dict:
@@ -522,18 +526,20 @@ def pivot_scores(spark, d):
 
 # --- governance
 
-def _edges(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(EDGES, "source string, target string, transform string")
+def _edges(spark: SparkSession, d: str) -> DataFrame:
+    """Lineage of Silver, Gold and features, from their own plans."""
+    edges = lineage(spark, d, [L.patient_xref, *pipeline.SILVER, *pipeline.GOLD, *pipeline.FEATURES])
+    return spark.createDataFrame(edges, "source string, target string, transform string")
 
 
 @query
 def lineage_edges(spark, d):
-    return _edges(spark)
+    return _edges(spark, d)
 
 
 @query
 def lineage_closure(spark, d):
-    return gov.closure(_edges(spark)).select("source", "target", F.col("steps").cast("long").alias("steps"))
+    return gov.closure(_edges(spark, d)).select("source", "target", F.col("steps").cast("long").alias("steps"))
 
 
 GRANTS = gov.parse_grants([

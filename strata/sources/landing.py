@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pathlib import Path
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from strata.operators.relational import TECHNICAL, anti_seen, require_columns, with_technical_columns
+from strata.sources import files
 from strata.sources.store import Store
 
 ENTITIES = [
@@ -33,15 +32,18 @@ def header_schema(path: str) -> StructType:
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
     """A CSV with header; every column text; broken lines kept as far as they go."""
-    return spark.read.csv(path, header=True, inferSchema=False, mode="PERMISSIVE")
+    return spark.read.csv(path, header=True, inferSchema=False, mode="PERMISSIVE", escape='"')
 
 
 def bronze_rows(df: DataFrame, entity: str, batch_id: str, seen: DataFrame | None) -> DataFrame:
-    """Technical columns, one row per record hash, and only hashes not seen before."""
+    """Technical columns, one row per record hash, and only hashes not seen before. A column that
+    the feed names with an underscore is landed as feed_<name>, since technical columns have such
+    names."""
     if entity not in ENTITIES:
         raise KeyError(entity)
+    feed = {c: f"feed{c}" for c in df.columns if c.startswith("_")}
     tagged = with_technical_columns(
-        df.select("*", "_metadata.file_path", "_metadata.file_modification_time").withColumnsRenamed({"file_path": "_path", "file_modification_time": "_modified"}),
+        df.select(*[F.col(c).alias(feed.get(c, c)) for c in df.columns], "_metadata.file_path", "_metadata.file_modification_time").withColumnsRenamed({"file_path": "_path", "file_modification_time": "_modified"}),
         source_system=source_system(entity), batch_id=batch_id, version=VERSION, source_file=F.col("_path"), modified=F.col("_modified"),
     )
     return anti_seen(require_columns(tagged.dropDuplicates(["_record_hash"]), TECHNICAL), seen)
@@ -59,6 +61,6 @@ def ingest_directory(store: Store, root: str, batch_id: str, entities: list[str]
     """Looks for <entity>.csv in clinical/, survey/ and the root, in that order; missing: 0."""
     out = {}
     for e in entities or ENTITIES:
-        found = next((p for d in ("clinical", "survey", ".") if (p := Path(root) / d / f"{e}.csv").exists()), None)
-        out[e] = ingest_file(store, e, str(found), batch_id) if found else 0
+        found = next((f"{root}/{d}/{e}.csv" for d in ("clinical", "survey", ".") if f"{e}.csv" in files.names(store.spark, f"{root}/{d}")), None)
+        out[e] = ingest_file(store, e, found, batch_id) if found else 0
     return out

@@ -170,9 +170,14 @@ def test_scanner(spark, tmp_path):
     got = {(r.id, r.line_no, r.pattern) for r in scanner.scan_lines(df, F.col("text"), ["id"]).collect()}
     assert got == {(1, 1, "email"), (1, 2, "ssn"), (1, 4, "mrn"), (1, 4, "dob_full"), (1, 5, "zip4"), (1, 5, "phone")}
     (tmp_path / "x.txt").write_text("mail a@b.org")
-    (tmp_path / "y.png").write_text("mail a@b.org")
+    (tmp_path / "y.png").write_bytes(b"mail a@b.org \0\1")
+    (tmp_path / "z.png").write_bytes(b"mail a@b.org \xff\xfe")
+    for hidden in (".cache", "made"):
+        (tmp_path / hidden).mkdir()
+        (tmp_path / hidden / "v.txt").write_text("mail a@b.org")
     (tmp_path / "ok.txt").write_text("mail a@b.org")
-    assert scanner.scan_files(spark, [str(tmp_path)], ["ok.txt"]).count() == 1
+    found = scanner.scan_files(spark, [str(tmp_path)], ["ok.txt"], ["made"])
+    assert found.count() == 1 == scanner.exit_code(found) and scanner.exit_code(found.limit(0)) == 0
 
 
 def test_generator_is_seeded(spark):

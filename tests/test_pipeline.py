@@ -7,36 +7,56 @@ from strata import config
 from strata.operators import cohort as ch
 from strata.operators import contracts, rules
 from strata.plans import layers, pipeline
-from strata.plans.reference import ENCOUNTER_RULES
+from strata.plans.lake import Lake
 from strata.sources import landing, synth
 from strata.sources.store import Store
 
 
+def landed(spark, sf, tmp_path):
+    """The driver's tables as landing files, ingested to Bronze."""
+    pipeline.land(spark, sf, str(tmp_path / "in"))
+    lake = Lake(Store(spark, str(tmp_path / "lake")))
+    landing.ingest_directory(lake.store, str(tmp_path / "in"), "b1")
+    return lake
+
+
 def test_stay_without_times_is_quarantined(spark, sf, tmp_path, monkeypatch):
     lost = layers.silver_encounter(spark, sf).selectExpr("min(encounter_sk)").first()[0]
     times = {c: F.when(F.col("encounter_sk") != lost, F.col(c)) for c in ("admit_ts", "discharge_ts")}
     held = layers.conformed_encounter(spark, sf).withColumns(times)
+    lake = landed(spark, sf, tmp_path)
+    store = lake.store
     monkeypatch.setattr(layers, "conformed_encounter", lambda *_: held)
-    store = Store(spark, str(tmp_path / "lake"))
-    pipeline.build_silver(store, sf, "b1")
+    pipeline.build_silver(lake, "b1")
     found = lambda schema, table: store.read(schema, table).filter(F.col("encounter_sk") == lost).count()
     assert (found("silver", "encounter"), found("quarantine", "encounter_window")) == (0, 1)
 
 
+def same(a, b):
+    return sorted(map(repr, a.collect())) == sorted(map(repr, b.select(*a.columns).collect()))
+
+
 def test_chain(spark, sf, tmp_path):
-    store = Store(spark, str(tmp_path / "lake"))
-    silver = pipeline.build_silver(store, sf, "b1")
-    assert silver["patient"] > 0 and silver["encounter"] > 0 and "lab_result_orphan_parent" in silver
-    strict = [*ENCOUNTER_RULES[:4], rules.parse({"id": "rows", "type": "row_count_min", "min_rows": 10**9})]
+    lake = landed(spark, sf, tmp_path)
+    store = lake.store
+    assert sum(landing.ingest_directory(store, str(tmp_path / "in"), "b2").values()) == 0
+    silver = pipeline.build_silver(lake, "b1")
+    assert silver["patient"] == silver["patient_xref"] > 0 and silver["encounter"] > 0 and "lab_result_orphan_parent" in silver
+    shipped = pipeline.rulesets()
+    assert {t: len(r) for t, r in shipped.items()} == {"patient": 5, "encounter": 6, "lab_result": 5}
     with pytest.raises(rules.PromotionBlocked):
-        pipeline.build_gold(store, sf, {"encounter": strict})
-    assert store.read("ops", "dq_results").count() == 5
-    gold = pipeline.build_gold(store, sf, {"encounter": ENCOUNTER_RULES[:4]})
+        pipeline.build_gold(lake, {"encounter": [*shipped["encounter"], rules.parse({"id": "rows", "type": "row_count_min", "min_rows": 10**9})]})
+    assert store.read("ops", "dq_results").count() == 7 and not store.exists("gold", "fact_encounter")
+    gold = pipeline.build_gold(lake)
     assert gold["fact_encounter"] == silver["encounter"] and gold["dim_patient"] == silver["patient"]
-    assert set(pipeline.build_features(store, sf)) == set(pipeline.FEATURES)
-    c = ch.parse({"name": "lab", "inclusion": [{"type": "has_lab_loinc", "value": "4548-4"}], "exclusion": [{"type": "deceased"}]})
+    assert store.read("ops", "dq_results").count() == 7 + 16
+    assert pipeline.build_features(lake).keys() == {f.at.split(".")[1] for f in pipeline.FEATURES}
+    # what went through landing, Bronze and Silver is what the plans give straight from the tables
+    for f in (*pipeline.SILVER, *pipeline.GOLD, *pipeline.FEATURES):
+        assert same(f(spark, sf), store.read(*f.at.split("."))), f.at
+    c = ch.load(config.shipped("cohorts/glycated_with_mood.yml"))
     m = pipeline.build_cohort(store, c, tmp_path / "m.json")
-    assert m.rows == store.read("gold", "cohort_lab").count() > 0
+    assert m.rows == store.read("gold", f"cohort_{c.name}").count() > 0
     pipeline.log_run(store, "gold", gold)
     # a later load of the inputs does not matter: the versions are pinned
     store.write(store.read("gold", "fact_lab_result").limit(0), "gold", "fact_lab_result", mode="overwrite")
@@ -45,6 +65,27 @@ def test_chain(spark, sf, tmp_path):
     assert spark.read.csv(str(tmp_path / "x"), header=True).count() == 3
 
 
+def test_gold_reads_the_stored_silver(spark, sf, tmp_path):
+    lake = landed(spark, sf, tmp_path)
+    pipeline.build_silver(lake, "b1")
+    lake.store.write(lake.store.read("silver", "encounter").limit(7), "silver", "encounter", mode="overwrite")
+    assert pipeline.build_gold(lake)["fact_encounter"] == 7
+
+
+def test_pepper_comes_from_the_settings(spark, sf, monkeypatch):
+    key = lambda: layers.silver_patient(spark, sf).selectExpr("min(patient_sk)").first()[0]
+    demo = key()
+    monkeypatch.setenv("STRATA_PEPPER", "other")
+    config.load.cache_clear()
+    assert key() != demo
+    monkeypatch.setenv("STRATA_PEPPER", config.DEMO_PEPPER)
+    monkeypatch.setenv("STRATA_ENVIRONMENT", "production")
+    config.load.cache_clear()
+    with pytest.raises(RuntimeError):
+        key()
+    config.load.cache_clear()
+
+
 def test_contract(spark):
     c = contracts.parse({"entity": "e", "primary_key": ["k"], "columns": [{"name": "k", "type": "string", "nullable": False}, {"name": "v", "type": "double"}], "checks": [{"name": "pos", "expression": "v > 0"}]})
     df = spark.createDataFrame([("a", 1.0), ("a", -1.0), (None, None)], "k string, v double")
