@@ -14,6 +14,9 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata import config
+from strata.sources import files
+
 EVERYONE = {"account users", "users", "all users"}
 
 
@@ -120,6 +123,70 @@ class JsonFormatter(logging.Formatter):
         return json.dumps(base | extra, default=str)
 
 
+def access_matrix(path: str | Path | None = None) -> dict:
+    """Grants, masks, row filters and tags from YAML, by default as shipped."""
+    got = load_yaml(path or config.shipped("access.yml"))
+    parse_grants(got["grants"])
+    return got
+
+
+def access_script(matrix: dict, catalog: str) -> list[str]:
+    """Statements for a catalog that takes them: grants, then a function and its binding for each
+    mask and row filter. The function has the type of the column it masks."""
+    member = lambda groups: " OR ".join(f"is_account_group_member('{g}')" for g in groups)
+    out = grants_script(parse_grants(matrix["grants"]), catalog)
+    for m in matrix.get("masks", ()):
+        out.append(f"CREATE OR REPLACE FUNCTION {catalog}.ops.{m['name']}(x {m['type']}) RETURNS {m['type']} RETURN CASE WHEN {member(m['groups'])} THEN x END;")
+        out.append(f"ALTER TABLE {catalog}.{m['table']} ALTER COLUMN {m['column']} SET MASK {catalog}.ops.{m['name']};")
+    for f in matrix.get("row_filters", ()):
+        entry = f"SELECT 1 FROM {catalog}.{f['access']} a WHERE is_account_group_member(a.principal_group) AND a.active AND a.{f['key']} = x"
+        out.append(f"CREATE OR REPLACE FUNCTION {catalog}.ops.{f['name']}(x STRING) RETURNS BOOLEAN RETURN EXISTS ({entry});")
+        out.append(f"ALTER TABLE {catalog}.{f['table']} SET ROW FILTER {catalog}.ops.{f['name']} ON ({f['key']});")
+    return out
+
+
+def access_review(spark: SparkSession, matrix: dict, due: str = "next quarter") -> DataFrame:
+    """One row per grant, to be confirmed by its reviewer."""
+    at = datetime.now(UTC).isoformat()
+    rows = [(uuid.uuid4().hex, g["group"], g["asset"], g["privilege"], g.get("why", ""), "pending", None, at, due) for g in matrix["grants"]]
+    return spark.createDataFrame(rows, "review_id string, principal string, asset string, privilege string, why string, status string, reviewer string, created_at string, due string")
+
+
+def audit_daily(accesses: DataFrame, matrix: dict, keep_years: int = 6) -> DataFrame:
+    """(audit_date, principal, action, asset, class, accesses, keep_years): accesses (at,
+    principal, action, asset) added up per day, with the class that the tags give the asset's
+    schema. Rows with a null time keep a null day."""
+    tags = matrix["tags"]
+    classes = {s: own.get("class", tags["defaults"].get("class")) for s, own in tags["by_schema"].items()}
+    schema, kind = F.split("asset", "[.]")[1], F.lit(tags["defaults"].get("class"))
+    for s, c in classes.items():
+        kind = F.when(schema == s, c).otherwise(kind)
+    rows = accesses.select(F.to_date("at").alias("audit_date"), "principal", "action", "asset", kind.alias("class"))
+    return rows.groupBy("audit_date", "principal", "action", "asset", "class").agg(F.count("*").alias("accesses")).withColumn("keep_years", F.lit(keep_years))
+
+
+#: Dashboards that come with the package.
+DASHBOARDS = ("utilization", "readmission", "scores", "linkage", "cost")
+
+
+def dashboards(folder: str | Path | None = None, unit_cost: float = 0.55) -> dict[str, str]:
+    """SQL of every dashboard by name, over views <schema>_<table>; an error if one is missing."""
+    root = Path(folder) if folder else config.shipped("dashboards")
+    missing = [n for n in DASHBOARDS if not (root / f"{n}.sql").exists()]
+    if missing:
+        raise FileNotFoundError(f"missing dashboards: {missing}")
+    return {n: (root / f"{n}.sql").read_text().replace("{rate}", str(unit_cost)) for n in DASHBOARDS}
+
+
+def write_artifacts(spark: SparkSession, folder: str, edges: list[tuple[str, str, str]], catalog: str = "main") -> list[str]:
+    """The lineage document, the access script and the dashboards' SQL as files; their names."""
+    texts = {"lineage.md": f"```mermaid\n{mermaid(edges)}\n```\n", "grants.sql": "\n".join(access_script(access_matrix(), catalog)) + "\n"}
+    texts |= {f"{n}.sql": sql for n, sql in dashboards().items()}
+    for name, text in texts.items():
+        files.write_text(spark, f"{folder}/{name}", text)
+    return sorted(texts)
+
+
 def load_yaml(path: str | Path) -> dict:
     import yaml
 

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import json
+import logging
+import urllib.request
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
 from functools import reduce
@@ -148,6 +152,33 @@ def gate(report: Report, alert=None) -> Report:
     return report
 
 
+def webhook(url: str, send=None) -> Callable[[Report], bool]:
+    """An `alert` for `gate` that posts the failed rules as JSON; tells whether it was sent. Only
+    https addresses are used; an error is logged and doesn't stop the run."""
+    log = logging.getLogger(__name__)
+
+    def alert(report: Report) -> bool:
+        failed = [{"rule": r.rule.id, "severity": r.rule.severity, "pass_rate": r.pass_rate, "threshold": r.rule.threshold, "rows_failed": r.failed, "owner": r.rule.owner} for r in report.results if not r.passed]
+        if not url.startswith("https://"):
+            log.warning("alert not sent: only https addresses are used")
+            return False
+        body = json.dumps({"text": json.dumps({"table": report.table, "run_id": report.run_id, "failed": failed})}).encode()
+        request = urllib.request.Request(url, data=body, headers={"Content-Type": "application/json"}, method="POST")
+        try:
+            with (send or urllib.request.urlopen)(request, timeout=5):
+                return True
+        except OSError as e:  # what urllib raises, time-outs included
+            log.warning("alert not sent: %s", e)
+            return False
+
+    return alert
+
+
+def listed(folder: str | Path) -> dict[str, list[Rule]]:
+    """All rulesets of a folder by table."""
+    return {p.stem: load_rules(p) for p in sorted(Path(folder).glob("*.yml"))}
+
+
 def report_frame(spark: SparkSession, report: Report) -> DataFrame:
     return spark.createDataFrame(report.rows(), ROW_SCHEMA)
 

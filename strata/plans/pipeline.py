@@ -21,12 +21,11 @@ from strata.sources.store import Store
 SILVER = (L.silver_patient, L.silver_encounter, L.silver_lab)
 GOLD = (L.dim_patient, L.fact_encounter, L.fact_lab, L.fact_readmission, L.fact_survey, L.patient_360, L.utilization, L.trajectory, L.linkage)
 FEATURES = (L.ft_demographics, L.ft_trailing_90d, L.ft_lab_trend_180d, L.ft_latest_score, L.ft_weighted_codes, L.ft_density)
-RULED = ("patient", "encounter", "lab_result")
 
 
 def rulesets() -> dict[str, list[rules.Rule]]:
     """The rules that come with the package, by Silver table."""
-    return {t: rules.load_rules(config.shipped(f"rules/{t}.yml")) for t in RULED}
+    return rules.listed(config.shipped("rules"))
 
 
 def _publish(lake: Lake, frames: Iterable, contract: bool = False) -> dict[str, int]:

@@ -14,7 +14,7 @@ from strata.operators import governance as gov
 from strata.operators import ml, rules, scanner, sliced
 from strata.operators import relational as rel
 from strata.plans import layers as L
-from strata.plans import pipeline
+from strata.plans import learning, pipeline
 from strata.plans.lake import Lake, lineage
 from strata.plans.problems import table
 from strata.session import written
@@ -241,33 +241,43 @@ def metric_mean_change(spark, d):
     )
 
 
+def _dashboard(spark: SparkSession, d: str, name: str, **frames: Query) -> DataFrame:
+    _views(spark, d, **frames)
+    return spark.sql(gov.dashboards()[name])
+
+
 @query
 def dash_utilization(spark, d):
-    _views(spark, d, gold_utilization=L.utilization)
-    return spark.sql("select age_band, sex, care_setting_key, n encounter_count, avg_los_days from gold_utilization order by age_band, sex, care_setting_key")
+    return _dashboard(spark, d, "utilization", gold_mart_utilization=L.utilization)
 
 
 @query
 def dash_readmission(spark, d):
-    _views(spark, d, gold_readmission=L.fact_readmission, gold_patient=L.dim_patient)
-    return spark.sql(
-        "with base as (select p.age_band, r.readmission_30d from gold_readmission r join gold_patient p on r.patient_key = p.patient_key) "
-        "select age_band, count(*) index_stays, count_if(readmission_30d) readmissions_30d, round(count_if(readmission_30d) / count(*), 4) readmission_rate from base group by age_band having count(*) >= 11 order by age_band"
-    )
+    return _dashboard(spark, d, "readmission", gold_fact_readmission=L.fact_readmission, gold_dim_patient=L.dim_patient)
 
 
 @query
 def dash_scores(spark, d):
-    _views(spark, d, gold_trajectory=L.trajectory)
-    return spark.sql(
-        "select instrument_key, wave, count(*) n_responses, cast(sum(cast(total_score as decimal(18,4))) as double) / count(*) mean_score from gold_trajectory group by instrument_key, wave having count(*) >= 11 order by 1, 2"
-    )
+    return _dashboard(spark, d, "scores", gold_mart_prom_trajectory=L.trajectory)
 
 
 @query
 def dash_linkage(spark, d):
-    _views(spark, d, gold_linkage=L.linkage)
-    return spark.sql("select count(distinct patient_key) patients_with_linkage, count(*) linkage_rows from gold_linkage")
+    return _dashboard(spark, d, "linkage", gold_mart_clinical_survey_linkage=L.linkage)
+
+
+def _usage(spark: SparkSession, d: str) -> DataFrame:
+    """Events as metered use: what was done stands for the job, a user group for the owner."""
+    e = table(spark, d, "events")
+    return e.select(
+        F.to_date("ts").alias("usage_date"), F.to_json(F.struct(F.when(F.col("event_type") != "view", F.col("event_type")).alias("job_name"))).alias("usage_metadata"),
+        F.to_json(F.struct(F.concat(F.lit("u"), F.col("user_id") % 5).alias("Owner"))).alias("custom_tags"), F.col("value").cast("decimal(18,4)").alias("usage_quantity"),
+    )
+
+
+@query
+def monthly_cost(spark, d):
+    return _dashboard(spark, d, "cost", ops_usage=_usage).select("usage_month", "pipeline", "owner", F.col("units").cast("double").alias("units"), F.col("cost").cast("double").alias("cost"))
 
 
 # --- data quality
@@ -439,27 +449,29 @@ def nearest_pairs(spark, d):
     return ml.matched_pairs(*_segments(spark, d), "s", "c_custkey", 5.0).select("treated", "control")
 
 
-def _training(spark: SparkSession, d: str) -> DataFrame:
-    """Index stays with features known at admission and the readmission label."""
-    stays = L.fact_readmission(spark, d).select("encounter_key", "patient_key", "admit_ts", F.col("readmission_30d_count").alias("label"))
-    setting = F.col("care_setting_key")
-    back = rel.trailing(L.fact_encounter(spark, d), "patient_key", "admit_ts", 90 * 86_400, {"encounters_90d": F.count("*"), "ed_90d": F.sum((setting == "emergency").cast("int"))}).select("encounter_key", "encounters_90d", "ed_90d")
-    return stays.join(back, "encounter_key").join(L.dim_patient(spark, d).select("patient_key", "birth_year", "sex"), "patient_key")
+@query
+def readmission_frame(spark, d):
+    return learning.readmission_frame(spark, d)
+
+
+@query
+def no_show_frame(spark, d):
+    return learning.no_show_frame(spark, d)
 
 
 @query
 def gbt_scores(spark, d):
-    rows = ml.entity_split(_training(spark, d), "patient_key").withColumn("sex_code", F.ascii("sex") % 7)
-    rows = written(rows, "training")
-    model = ml.calibrated_classifier(rows.filter("split = 'train'"), ["encounters_90d", "ed_90d", "birth_year", "sex_code"], "label")
-    return model(rows).select("encounter_key", "split", "label", "score")
+    return learning.readmission_scores(spark, d).select("encounter_key", "split", "label", "score")
+
+
+@query
+def no_show_scores(spark, d):
+    return learning.no_show_scores(spark, d).select("encounter_key", "split", "label", "score")
 
 
 @query
 def kmeans_assign(spark, d):
-    """Patients by their mean score in each instrument."""
-    wide = L.fact_survey(spark, d).groupBy("patient_key").pivot("instrument_key", ["MOOD-8", "MOVE-10", "SLEEP-6"]).agg(F.avg("total_score")).na.fill(0)
-    return ml.clusters(written(wide, "wide"), ["MOOD-8", "MOVE-10", "SLEEP-6"]).select("patient_key", "cluster", "mean_value")
+    return learning.response_clusters(spark, d)
 
 
 @query
@@ -542,19 +554,28 @@ def lineage_closure(spark, d):
     return gov.closure(_edges(spark, d)).select("source", "target", F.col("steps").cast("long").alias("steps"))
 
 
-GRANTS = gov.parse_grants([
-    {"group": "engineers", "asset": "*.bronze.*", "privilege": "ALL_PRIVILEGES"}, {"group": "stewards", "asset": "*.silver.*", "privilege": "SELECT"}, {"group": "analysts", "asset": "*.gold.mart_utilization", "privilege": "SELECT"},
-])
+@query
+def grants_sql(spark, d):
+    """Grants, masks and row filters of the shipped access matrix."""
+    return spark.createDataFrame([(x,) for x in gov.access_script(gov.access_matrix(), "main")], "statement string")
 
 
 @query
-def grants_sql(spark, d):
-    return spark.createDataFrame([(s,) for s in gov.grants_script(GRANTS, "main")], "statement string")
+def access_review(spark, d):
+    return gov.access_review(spark, gov.access_matrix()).select("principal", "asset", "privilege", "why", "status")
+
+
+@query
+def access_audit(spark, d):
+    """Events as accesses of users' own tables, added up per day."""
+    e = table(spark, d, "events").select(F.col("ts").alias("at"), F.concat(F.lit("u"), F.col("user_id") % 7).alias("principal"), F.upper("event_type").alias("action"), F.concat(F.lit("main.gold.t"), F.col("event_id") % 3).alias("asset"))
+    return gov.audit_daily(e, gov.access_matrix()).select(F.date_format("audit_date", "yyyyMMdd").cast("int").alias("day_key"), "principal", "action", "asset", "class", "accesses")
 
 
 @query
 def tags(spark, d):
-    return spark.createDataFrame(gov.tag_rows({"owner": "data", "class": "internal"}, {"silver": {"class": "deidentified"}, "restricted": {"class": "identified"}}), "schema_name string, tag string, value string")
+    own = gov.access_matrix()["tags"]
+    return spark.createDataFrame(gov.tag_rows(own["defaults"], own["by_schema"]), "schema_name string, tag string, value string")
 
 
 @query

@@ -127,6 +127,12 @@ _SCAN = f"with {_LINES}, hits as ({_HITS}) "
 
 _W90 = "(partition by patient_key order by floor(epoch(admit_ts))::bigint range between 7776000 preceding and 1 preceding)"
 _W180 = "(partition by patient_key order by floor(epoch(resulted_ts))::bigint range between 15552000 preceding and current row)"
+_BACK = f"""back as (
+  select patient_key, {_dk('admit_ts')} as_of_key, encounters_90d, coalesce(inpatient_90d, 0)::bigint inpatient_90d, coalesce(ed_90d, 0)::bigint ed_90d from (
+    select *, row_number() over (partition by patient_key, admit_ts::date order by admit_ts desc, encounter_key desc) rn from (
+      select patient_key, encounter_key, admit_ts, count(*) over w encounters_90d, sum((care_setting_key = 'inpatient')::int) over w inpatient_90d, sum((care_setting_key = 'emergency')::int) over w ed_90d
+      from fact_encounter window w as {_W90})) where rn = 1)"""
+_PERSONS = "persons as (select patient_key, birth_year, sex, age_band, ascii(patient_key) % 3 bucket from dim_patient)"
 _WEIGHT = "case " + " ".join(f"when lab_test_key like '{k}%' then {w}" for k, w in WEIGHTS.items()) + " else 0 end"
 _LABEL = f"{_bucket('''o_custkey::varchar || ':' || o_orderkey::varchar || ':noshow' ''', 100)} < 20"
 _SCORED = f"scored as (select o_orderkey, o_orderstatus, o_orderpriority, ({_LABEL})::int y, {_bucket('''('s' || o_orderkey::varchar)''', 64)} / 64.0::double p from orders)"
@@ -175,6 +181,21 @@ _READS = {
     "ml.ft_patient_demographics ft_demographics": "gold.dim_patient", "ml.ft_utilization_90d ft_trailing_90d": "gold.fact_encounter", "ml.ft_lab_trends ft_lab_trend_180d": "gold.fact_lab_result",
     "ml.ft_prom_scores ft_latest_score": "gold.fact_survey_response", "ml.ft_comorbidity_index ft_weighted_codes": "gold.fact_lab_result", "ml.ft_medication_adherence ft_density": "gold.fact_lab_result",
 }
+_GRANTED = [
+    ("engineers", "*.bronze.*", "ALL_PRIVILEGES", "ingest"), ("engineers", "*.silver.*", "ALL_PRIVILEGES", "conform"), ("engineers", "*.gold.*", "ALL_PRIVILEGES", "publish"),
+    ("engineers", "*.ops.*", "ALL_PRIVILEGES", "run the pipeline"), ("stewards", "*.silver.*", "SELECT", "review quality"), ("stewards", "*.ops.dq_results", "SELECT", "own the scorecard"),
+    ("researchers", "*.gold.*", "SELECT", "de-identified research"), ("modellers", "*.ml.*", "ALL_PRIVILEGES", "features and models"), ("analysts", "*.gold.mart_utilization", "SELECT", "suppressed aggregates"),
+    ("auditors", "*.ops.*", "SELECT", "audit"), ("officers", "*.restricted.patient_xref", "SELECT", "justified re-identification"),
+]
+_STATEMENTS = [
+    *[f"GRANT {p.replace('_', ' ')} ON {'SCHEMA main.' + a.split('.')[1] if a.endswith('.*') else 'TABLE main' + a[1:]} TO `{g}`;" for g, a, p, _ in _GRANTED],
+    "CREATE OR REPLACE FUNCTION main.ops.birth_year_for_stewards(x INT) RETURNS INT RETURN CASE WHEN is_account_group_member('engineers') OR is_account_group_member('stewards') THEN x END;",
+    "ALTER TABLE main.silver.patient ALTER COLUMN birth_year SET MASK main.ops.birth_year_for_stewards;",
+    "CREATE OR REPLACE FUNCTION main.ops.area_for_researchers(x STRING) RETURNS STRING RETURN CASE WHEN is_account_group_member('engineers') OR is_account_group_member('researchers') THEN x END;",
+    "ALTER TABLE main.gold.dim_patient ALTER COLUMN zip3 SET MASK main.ops.area_for_researchers;",
+    "CREATE OR REPLACE FUNCTION main.ops.own_cohorts(x STRING) RETURNS BOOLEAN RETURN EXISTS (SELECT 1 FROM main.ops.cohort_access a WHERE is_account_group_member(a.principal_group) AND a.active AND a.name = x);",
+    "ALTER TABLE main.gold.cohort_registry SET ROW FILTER main.ops.own_cohorts ON (name);",
+]
 _EDGES = [(source, *target.split()) for target, sources in _READS.items() for source in sources.split()]
 _PERSON = ("sex", "race", "ethnicity", "zip3", "age_band")
 
@@ -235,7 +256,7 @@ SQL = {
     "metric_mean_change": _S + "select instrument_key, sum(change::decimal(18, 4))::double / count(*) mean_change, count(*) filter (changed_markedly) marked, count(*) rows_n from trajectory where wave <> 'baseline' and change is not null group by 1",
     "dash_utilization": _ALL + "select age_band, sex, care_setting_key, n encounter_count, avg_los_days from utilization order by 1, 2, 3",
     "dash_readmission": _PV + "select age_band, count(*) index_stays, count(*) filter (readmission_30d) readmissions_30d, round(count(*) filter (readmission_30d) / count(*), 4)::double readmission_rate from fact_readmission join dim_patient using (patient_key) group by 1 having count(*) >= 11 order by 1",
-    "dash_scores": _S + "select instrument_key, wave, count(*) n_responses, sum(total_score::decimal(18, 4))::double / count(*) mean_score from trajectory group by 1, 2 having count(*) >= 11 order by 1, 2",
+    "dash_scores": _S + "select instrument_key, wave, count(*) n_responses, sum(total_score::decimal(18, 4))::double / count(*) mean_score, sum(change::decimal(18, 4))::double / count(change) mean_change from trajectory group by 1, 2 having count(*) >= 11 order by 1, 2",
     "dash_linkage": _ALL + "select count(distinct patient_key) patients_with_linkage, count(*) linkage_rows from mart_360 join fact_survey using (patient_key)",
     "dq_encounter": _PV + _ENC_RULES,
     "dq_lab": _PVL + _LAB_RULES,
@@ -259,6 +280,20 @@ SQL = {
       select case when (select sum(n) from h) <= 100000 then (select checksum from flat) else (select sha256(string_agg(p || d, '|' order by p)) from grouped) end checksum""",
     "pattern_scan_lines": _SCAN + "select doc_id, line_no::int line_no, pattern, snippet from hits",
     "pattern_scan_summary": _SCAN + "select pattern, count(*) \"lines\", count(distinct doc_id) documents from hits group by 1",
+    "readmission_frame": _PVL + f""", {_BACK}, {_PERSONS},
+      labs as (select patient_key, lab_result_key, {_s('resulted_ts')} t, count(*) over w labs_180d, (sum(value_num::decimal(18, 4)) over w)::double / count(value_num) over w mean_value_180d,
+        sum({_WEIGHT}) over (partition by patient_key order by {_s('resulted_ts')}, lab_result_key rows unbounded preceding) code_weight from fact_lab where resulted_ts is not null and patient_key is not null window w as {_W180}),
+      stays as (select encounter_key, patient_key, {_s('admit_ts')} t, {_dk('admit_ts')} as_of_key, readmission_30d::int "label" from fact_readmission),
+      prior as (select encounter_key, arg_max((labs_180d, mean_value_180d, code_weight), (labs.t, lab_result_key)) x from stays join labs on labs.patient_key = stays.patient_key and labs.t <= stays.t group by 1)
+      select encounter_key, patient_key, "label", birth_year, sex, age_band, encounters_90d, inpatient_90d, ed_90d, bucket, x[1]::bigint labs_180d, x[2]::double mean_value_180d, x[3]::bigint code_weight
+      from stays join persons using (patient_key) left join back using (patient_key, as_of_key) left join prior using (encounter_key)""",
+    "no_show_frame": f"with {PEOPLE}, {VISITS}, {SURVEYS}, {_BACK}, {_PERSONS}" + f""",
+      scores as (select patient_key, sum(total_score::decimal(18, 4))::double / count(total_score) mean_score from (
+        select *, row_number() over (partition by patient_key, instrument_key order by administered_ts desc nulls last, list_position(['baseline', 'day_30', 'day_90', 'day_180', 'day_365'], wave) desc nulls last, survey_response_key desc) rn from fact_survey)
+        where rn = 1 group by 1),
+      stays as (select encounter_key, patient_key, {_dk('admit_ts')} as_of_key, ({_bucket("patient_key || ':' || encounter_key || ':noshow'", 100)} < 20)::int "label" from fact_encounter where care_setting_key in ('outpatient', 'ambulatory'))
+      select encounter_key, patient_key, "label", birth_year, sex, age_band, encounters_90d, inpatient_90d, ed_90d, bucket, mean_score
+      from stays join persons using (patient_key) left join back using (patient_key, as_of_key) left join scores using (patient_key)""",
     "noshow_label": f"select o_orderkey, {_LABEL} label from orders",
     "payer_bucket": "select c_custkey, ascii(c_mktsegment) % 3 bucket from customer",
     "entity_split": f"select o_orderkey, case when {_bucket('''('42|' || o_custkey::varchar)''', 10000)} < 2500 then 'test' else 'train' end split from orders",
@@ -284,8 +319,11 @@ SQL = {
     "lineage_edges": f"select * from {_values(_EDGES)} t(source, target, transform)",
     "lineage_closure": f"""with recursive e as (select distinct source, target from {_values(_EDGES)} t(source, target, transform)),
       c as (select source, target, 1 steps from e union select c.source, e.target, steps + 1 from c join e on e.source = c.target) select source, target, min(steps)::bigint steps from c group by 1, 2""",
-    "grants_sql": "select * from (values ('GRANT ALL PRIVILEGES ON SCHEMA main.bronze TO `engineers`;'), ('GRANT SELECT ON SCHEMA main.silver TO `stewards`;'), ('GRANT SELECT ON TABLE main.gold.mart_utilization TO `analysts`;')) t(statement)",
-    "tags": "select * from (values ('restricted', 'class', 'identified'), ('restricted', 'owner', 'data'), ('silver', 'class', 'deidentified'), ('silver', 'owner', 'data')) t(schema_name, tag, value)",
+    "grants_sql": f"select * from {_values([(x,) for x in _STATEMENTS])} t(statement)",
+    "access_review": f"select *, 'pending' status from {_values(_GRANTED)} t(principal, asset, privilege, why)",
+    "access_audit": f"select {_dk('ts')} day_key, 'u' || user_id % 7 principal, upper(event_type) action, 'main.gold.t' || event_id % 3 asset, 'deidentified' class, count(*) accesses from events group by 1, 2, 3, 4",
+    "monthly_cost": "select (year(ts) * 100 + month(ts))::int usage_month, case when event_type <> 'view' then event_type else 'untagged' end pipeline, 'u' || user_id % 5 \"owner\", sum(value::decimal(18, 4))::double units, (sum(value::decimal(18, 4)) * 0.55)::double \"cost\" from events group by 1, 2, 3",
+    "tags": f"select * from {_values([(s, t, v) for s, c in (('bronze', 'identified'), ('gold', 'deidentified'), ('restricted', 'identified'), ('silver', 'deidentified')) for t, v in (('class', c), ('owner', 'stewards'), ('retention', '7y'))])} t(schema_name, tag, value)",
     "row_filtered": _PVL + "select lab_test_key, count(*) n from fact_lab where lab_test_key in ('4548-4', '2345-7') group by 1",
     "stream_expect_drop": "select event_type, count(*) n from events where value > 0 group by 1",
     "stream_ingest_idempotent": "select event_type, count(*) n from events group by 1",

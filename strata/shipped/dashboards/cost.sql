@@ -1,3 +1,3 @@
 select cast(date_format(date_trunc('month', usage_date), 'yyyyMM') as int) usage_month, coalesce(get_json_object(usage_metadata, '$.job_name'), 'untagged') pipeline,
-  coalesce(get_json_object(custom_tags, '$.Owner'), 'unknown') owner, sum(usage_quantity) units, sum(usage_quantity) * {rate} cost
+  coalesce(get_json_object(custom_tags, '$.Owner'), 'unknown') owner, sum(usage_quantity) units, sum(usage_quantity) * cast({rate} as decimal(9,4)) cost
 from ops_usage group by 1, 2, 3 order by 1 desc, 4 desc
