@@ -17,6 +17,7 @@ from strata.plans import layers as L
 from strata.plans.lake import Lake
 from strata.sources import landing
 from strata.sources.store import Store
+from strata.streaming import ingest
 
 SILVER = (L.silver_patient, L.silver_encounter, L.silver_lab)
 GOLD = (L.dim_patient, L.fact_encounter, L.fact_lab, L.fact_readmission, L.fact_survey, L.patient_360, L.utilization, L.trajectory, L.linkage)
@@ -101,6 +102,16 @@ def land(spark: SparkSession, folder: str, into: str, tables: Iterable[str] = ("
         df.write.mode("overwrite").options(**options).csv(f"{into}/{side}/{t}.csv")
 
 
+def stream(lake: Lake, landing_folder: str, checkpoint: str, batch_id: str, required: Mapping[str, str], builds: Mapping[str, Iterable] | None = None) -> None:
+    """Every entity's new files to Bronze, each by a stream with a checkpoint of its own, and after
+    each of its batches the tables in `builds` from what Bronze then holds. A second run takes only
+    what is new. `required`: per entity the column without which a row is dropped."""
+    for entity, column in required.items():
+        after = list((builds or {}).get(entity, ()))
+        sink = ingest.entity_sink(lake.store, entity, batch_id, column, (lambda after=after: _publish(lake, after)) if after else None)
+        ingest.run_available(ingest.new_files(lake.spark, f"{landing_folder}/{entity}*.csv"), sink, f"{checkpoint}/{entity}")
+
+
 def cohort_criteria(store: Store, versions: Mapping[str, int] | None = None) -> dict[str, Callable]:
     """Criteria over Gold tables, at pinned versions if given."""
     read = lambda t: store.read("gold", t, (versions or {}).get(t))

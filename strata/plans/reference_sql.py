@@ -224,6 +224,7 @@ SQL = {
     "window_violations": _PV + f"select encounter_sk, {_s('admit_ts')} admit_ts_s, {_s('discharge_ts')} discharge_ts_s from conformed_encounter where not coalesce(discharge_ts is null or discharge_ts >= admit_ts, false)",
     "silver_patient": _P + "select patient_sk, sex, race, ethnicity, birth_year, age_band, zip3, deceased_flag, is_current, _batch_id, row_hash from silver_patient",
     "silver_encounter": _PV + f"select encounter_sk, patient_sk, provider_sk, organization_sk, care_setting, {_s('admit_ts')} admit_ts_s, {_s('discharge_ts')} discharge_ts_s from silver_encounter",
+    "stream_silver_encounter": _PV + f"select encounter_sk, patient_sk, provider_sk, organization_sk, care_setting, {_s('admit_ts')} admit_ts_s, {_s('discharge_ts')} discharge_ts_s from silver_encounter",
     "silver_lab": _PVL + f"select lab_result_sk, patient_sk, encounter_sk, loinc_code, value_num, unit, {_s('resulted_ts')} resulted_ts_s from silver_lab",
     "dim_date": "select (year(d) * 10000 + month(d) * 100 + day(d))::int date_key, year(d)::int \"year\", month(d)::int \"month\", day(d)::int day_of_month, weekofyear(d)::int iso_week, dayname(d) day_name, month(d) >= 10 or month(d) <= 3 is_flu_season from (select unnest(generate_series(date '2020-01-01', date '2026-12-31', interval 1 day))::date d)",
     "dim_care_setting": "select * from (values ('inpatient', 'Inpatient', true), ('outpatient', 'Outpatient', false), ('emergency', 'Emergency', true), ('ambulatory', 'Ambulatory', false)) t(care_setting_key, name, is_acute)",

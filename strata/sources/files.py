@@ -28,6 +28,16 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
+def first_line(spark: SparkSession, path: str) -> str:
+    """The first line of a text file, without reading on."""
+    fs, where = _at(spark, path)
+    stream = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(fs.open(where), "UTF-8"))
+    try:
+        return stream.readLine() or ""
+    finally:
+        stream.close()
+
+
 def write_text(spark: SparkSession, path: str, text: str, *, overwrite: bool = True) -> None:
     """Without `overwrite` an existing file is an error, also if another writer just made it."""
     fs, where = _at(spark, path)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from strata.operators.relational import TECHNICAL, anti_seen, require_columns, with_technical_columns
 from strata.sources import files
@@ -21,17 +20,8 @@ def source_system(entity: str) -> str:
     return "survey_sim" if entity.startswith("survey_") else "synthea_sim"
 
 
-def header_schema(path: str) -> StructType:
-    """All columns of a CSV header, as text."""
-    import csv
-
-    with open(path, newline="", encoding="utf-8") as f:
-        names = next(csv.reader(f), [])
-    return StructType([StructField(n, StringType()) for n in names])
-
-
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """A CSV with header; every column text; broken lines kept as far as they go."""
+def read_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """CSV files of one header; every column text; broken lines kept as far as they go."""
     return spark.read.csv(path, header=True, inferSchema=False, mode="PERMISSIVE", escape='"')
 
 

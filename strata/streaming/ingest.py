@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from strata.sources import files, landing
+
 RESCUED = "_rescued_data"
 
 
@@ -21,6 +23,39 @@ def csv_stream(spark: SparkSession, folder: str, schema: StructType) -> DataFram
     )
 
 
+def new_files(spark: SparkSession, folder: str, glob: str = "*.csv", most_files: int = 1000) -> DataFrame:
+    """(path) of the files of a folder as they appear, also in its sub-folders; `folder` may hold
+    wildcards, and contents are not read. At most `most_files` make a batch; the others come with the next ones."""
+    kinds = "path string, modificationTime timestamp, length long, content binary"
+    source = spark.readStream.format("binaryFile").schema(kinds).option("recursiveFileLookup", True).option("pathGlobFilter", glob)
+    return source.option("maxFilesPerTrigger", most_files).load(folder).select("path")
+
+
+def entity_sink(store, entity: str, batch_id: str, required: str | None = None, then: Callable[[], object] | None = None) -> Callable[[DataFrame, int], None]:
+    """A batch sink of `new_files` that lands an entity's CSV files in Bronze, by column name:
+    files of one header are read together, and a column that appears later is null in the rows
+    before. Rows without the `required` column's value are dropped; rows that are there already
+    add nothing, so a batch may be delivered twice. `then` is called once new rows are in."""
+
+    def sink(batch: DataFrame, _: int) -> None:
+        spark, table = store.spark, f"{entity}_raw"
+        by_header: dict[str, list[str]] = {}
+        for r in batch.distinct().collect():  # bounded by the source's files a batch
+            by_header.setdefault(files.first_line(spark, r["path"]), []).append(r["path"])
+        grown = 0
+        for paths in by_header.values():
+            seen = store.read("bronze", table).select("_record_hash") if store.exists("bronze", table) else None
+            rows = landing.bronze_rows(landing.read_csv(spark, paths), entity, batch_id, seen)
+            if required:
+                rows = rows.filter(F.col(required).isNotNull()) if required in rows.columns else rows.limit(0)
+            if not rows.isEmpty():
+                grown += store.write(rows, "bronze", table)
+        if grown and then:
+            then()
+
+    return sink
+
+
 def expect_or_drop(df: DataFrame, name: str, ok: Column) -> DataFrame:
     """Keeps rows for which `ok` holds; how many failed is observed under `name`."""
     return df.observe(name, F.count_if(~F.coalesce(ok, F.lit(False))).alias("dropped")).filter(ok)

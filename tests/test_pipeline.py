@@ -122,3 +122,22 @@ def test_synthetic_landing(spark, tmp_path):
     first = landing.ingest_directory(store, str(tmp_path / "in"), "b1")
     assert first["patient"] == 12 and first["condition"] > 0 and first["survey_item"] == 9 and first["medication"] == 0
     assert sum(landing.ingest_directory(store, str(tmp_path / "in"), "b2").values()) == 0
+
+
+def test_streams_follow_new_columns(spark, tmp_path):
+    """Files of one entity with other columns, in another order, and a file that comes again."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    lake = Lake(Store(spark, str(tmp_path / "lake")))
+    run = lambda: pipeline.stream(lake, str(folder), str(tmp_path / "cp"), "b1", {"consent": "consent_id"})
+    (folder / "consent_1.csv").write_text("consent_id,status\n1,granted\n,lost\n2,declined\n")
+    run()
+    (folder / "consent_2.csv").write_text("status,consent_id,signed_on\ngranted,3,2024-01-01\n")
+    (folder / "consent_3.csv").write_text("consent_id,status\n1,granted\n2,declined\n")
+    (folder / "consent_4.csv").write_text("status\ngranted\n")
+    (folder / "other.csv").write_text("consent_id,status\n9,granted\n")
+    run()
+    run()
+    got = {(r.consent_id, r.status, r.signed_on) for r in lake.store.read("bronze", "consent_raw").collect()}
+    assert got == {("1", "granted", None), ("2", "declined", None), ("3", "granted", "2024-01-01")}
+    assert lake.store.version("bronze", "consent_raw") == 1
