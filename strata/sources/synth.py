@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,20 +68,86 @@ def with_orphans(rows: DataFrame, key: str, column: str, share: float = 0.01, se
     return rows.unionByName(lost)
 
 
-def surveys(people: DataFrame, instruments: dict[str, tuple[int, int, int]], seed: int = 42) -> DataFrame:
-    """One row per patient, instrument and wave that was answered; instruments: items, least and
-    greatest item value."""
-    cells = F.array(*[
-        F.struct(F.lit(i).alias("instrument"), F.lit(n).alias("items"), F.lit(lo).alias("lo"), F.lit(hi).alias("hi"), F.lit(w).alias("wave"), F.lit(d).alias("day"))
-        for i, (n, lo, hi) in instruments.items() for w, d in WAVES.items()
-    ])
-    each = people.select("patient_id", F.explode(cells).alias("x")).select("patient_id", "x.*")
-    u = lambda tag: uniform(seed, tag, F.col("patient_id"), F.col("instrument"), F.col("wave"))
-    total = F.col("items") * F.col("lo") + F.floor(u("score") * (F.col("items") * (F.col("hi") - F.col("lo")) + 1))
-    return each.filter(u("skip") >= 0.08).select(
-        "patient_id", "instrument", "wave", F.timestamp_seconds(F.lit(1_672_531_200) + F.col("day") * 86_400 + F.floor((u("late") - 0.5) * 40 * 86_400)).alias("administered_ts"),
-        F.when(u("part") < 0.12, "partial").otherwise("complete").alias("completion_status"), (u("line") < 0.04).alias("straight_lining_flag"), total.cast("double").alias("total_score"),
+def observations(visits: DataFrame, vitals: dict[str, tuple[str, str, float, float]], seed: int = 42) -> DataFrame:
+    """Readings of most visits; vitals: code to display, unit, least and greatest value."""
+    table = F.array(*[F.struct(F.lit(c).alias("code"), F.lit(t).alias("display"), F.lit(u).alias("unit"), F.lit(float(lo)).alias("lo"), F.lit(float(hi)).alias("hi")) for c, (t, u, lo, hi) in vitals.items()])
+    each = visits.select("encounter_id", "patient_id", "admit_ts", F.explode(table).alias("x")).filter(uniform(seed, "seen", F.col("encounter_id"), F.col("x.code")) < 0.85)
+    value = F.col("x.lo") + uniform(seed, "reading", F.col("encounter_id"), F.col("x.code")) * (F.col("x.hi") - F.col("x.lo"))
+    return each.select(
+        F.concat_ws("-", F.lit("OBS"), "encounter_id", "x.code").alias("observation_id"), "patient_id", "encounter_id", F.col("x.code").alias("loinc_code"), "x.display", F.round(value, 1).alias("value_num"), "x.unit",
+        F.col("admit_ts").alias("observed_ts"),
+    )
+
+
+@dataclass(frozen=True)
+class Instrument:
+    """Items of a questionnaire (how many, least and greatest answer), the upper ends of its bands
+    by label, ascending, and how many answers may be missing for a score."""
+
+    items: int
+    lo: int
+    hi: int
+    bands: tuple[tuple[str, int], ...] = ()
+    spare: int = 0
+
+
+# fixed values: public questionnaires and the bands of their total scores
+INSTRUMENTS = {
+    "PHQ-9": Instrument(9, 0, 3, (("none-minimal", 4), ("mild", 9), ("moderate", 14), ("moderately-severe", 19), ("severe", 27)), 1),
+    "GAD-7": Instrument(7, 0, 3, (("minimal", 4), ("mild", 9), ("moderate", 14), ("severe", 21)), 1),
+    "PROMIS-29": Instrument(28, 1, 5),
+    "EQ-5D-5L": Instrument(5, 1, 5),
+    "SF-36": Instrument(36, 1, 5),
+}
+
+
+def administrations(people: DataFrame, consent: DataFrame, instruments: dict[str, Instrument] = INSTRUMENTS, seed: int = 42) -> DataFrame:
+    """One row per patient, wave and instrument that was answered. Patients whose consent was
+    declined have none; the others drop out after a wave of their own, leave out waves after the
+    first now and then, and come up to twenty days early or late, flagged beyond fourteen. Some
+    stop within the questionnaire, some give the same answer throughout."""
+    able = people.select("patient_id").join(consent.filter("consent_status <> 'granted'").select("patient_id"), "patient_id", "left_anti")
+    waves = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(w).alias("wave"), F.lit(d).alias("day")) for i, (w, d) in enumerate(WAVES.items())])
+    u = lambda tag, *by: uniform(seed, tag, F.col("patient_id"), *[F.col(c) for c in by])
+    came = able.select("patient_id", F.explode(waves).alias("x")).select("patient_id", "x.*").filter(
+        (F.col("i") <= F.floor(u("dropout") * (len(WAVES) + 1))) & ((F.col("i") == 0) | (u("skip", "wave") >= 0.08))
     )
+    shift = F.when(u("off", "wave") < 0.05, F.floor(u("by", "wave") * 40) - 20).otherwise(F.lit(0)).cast("int")
+    kinds = F.array(*[F.struct(F.lit(n).alias("instrument_name"), F.lit(k.items).alias("items")) for n, k in instruments.items()])
+    each = came.withColumn("shift", shift).select("*", F.explode(kinds).alias("k")).select("*", "k.*")
+    part = F.when(u("part", "wave", "instrument_name") < 0.12, F.greatest(F.lit(1), F.floor(F.col("items") * (0.4 + u("rest", "wave", "instrument_name") * 0.5)))).otherwise(F.col("items")).cast("int")
+    return each.withColumn("answered", part).select(
+        F.concat_ws("-", F.lit("ADM"), "patient_id", "wave", "instrument_name").alias("administration_id"), "patient_id", F.concat(F.lit("INSTR-"), F.regexp_replace("instrument_name", "-", "")).alias("instrument_id"), "instrument_name", "wave",
+        F.timestamp_seconds(F.lit(1_673_740_800) + (F.col("day") + F.col("shift")) * 86_400).alias("administered_ts"), F.when(F.col("answered") == F.col("items"), "complete").otherwise("partial").alias("completion_status"),
+        (u("line", "wave", "instrument_name") < 0.04).alias("straight_lining_flag"), (F.abs("shift") > 14).alias("out_of_window_flag"), "answered",
+    )
+
+
+def _of(instruments: dict[str, Instrument], what: str) -> Column:
+    pairs = [x for n, k in instruments.items() for x in (F.lit(n), F.lit(getattr(k, what)))]
+    return F.create_map(*pairs)[F.col("instrument_name")]
+
+
+def responses(administered: DataFrame, instruments: dict[str, Instrument] = INSTRUMENTS, seed: int = 42) -> DataFrame:
+    """The answers: items from the first on, as many as were answered."""
+    each = administered.select("*", F.explode(F.sequence(F.lit(1), F.col("answered"))).alias("q"))
+    lo, hi = _of(instruments, "lo"), _of(instruments, "hi")
+    drawn = lo + F.floor(uniform(seed, "answer", F.col("administration_id"), F.col("q")) * (hi - lo + 1))
+    return each.select(
+        F.concat_ws("-", "administration_id", "q").alias("response_id"), "administration_id", "patient_id", "instrument_id", "instrument_name", F.concat(F.regexp_replace("instrument_name", "-", ""), F.lit("_Q"), "q").alias("item_id"),
+        F.when(F.col("straight_lining_flag"), lo).otherwise(drawn).cast("int").alias("value_num"),
+    )
+
+
+def scores(administered: DataFrame, answers: DataFrame, instruments: dict[str, Instrument] = INSTRUMENTS) -> DataFrame:
+    """Total and band of every administration with enough answers."""
+    total = answers.groupBy("administration_id").agg(F.sum("value_num").cast("double").alias("total_score"), F.count("value_num").alias("given"))
+    enough = administered.join(total, "administration_id").filter(F.col("given") + _of(instruments, "spare") >= _of(instruments, "items"))
+    band = F.lit("n/a")
+    for name, kind in instruments.items():
+        if kind.bands:
+            band = F.when(F.col("instrument_name") == name, severity(F.col("total_score"), dict(kind.bands))).otherwise(band)
+    return enough.select(F.concat(F.lit("SCR-"), "administration_id").alias("score_id"), "administration_id", "patient_id", "instrument_id", "instrument_name", "wave", "total_score", band.alias("severity_band"))
 
 
 def severity(score: Column, cuts: dict[str, float]) -> Column:
@@ -113,15 +181,45 @@ def consents(people: DataFrame, share: float = 0.9, seed: int = 42) -> DataFrame
     return people.select(F.regexp_replace("patient_id", "PAT", "CNS").alias("consent_id"), "patient_id", F.when(uniform(seed, "consent", F.col("patient_id")) < share, "granted").otherwise("declined").alias("consent_status"))
 
 
-def survey_items(spark: SparkSession, instruments: dict[str, tuple[int, int, int]]) -> DataFrame:
-    rows = [(i, f"{i}_Q{q}", lo, hi) for i, (n, lo, hi) in instruments.items() for q in range(1, n + 1)]
-    return spark.createDataFrame(rows, "instrument_id string, item_id string, min_value int, max_value int")
+def survey_items(spark: SparkSession, instruments: dict[str, Instrument] = INSTRUMENTS) -> DataFrame:
+    rows = [(f"INSTR-{n.replace('-', '')}", n, f"{n.replace('-', '')}_Q{q}", k.lo, k.hi) for n, k in instruments.items() for q in range(1, k.items + 1)]
+    return spark.createDataFrame(rows, "instrument_id string, instrument_name string, item_id string, min_value int, max_value int")
+
+
+def survey_instruments(spark: SparkSession, instruments: dict[str, Instrument] = INSTRUMENTS) -> DataFrame:
+    rows = [(f"INSTR-{n.replace('-', '')}", n, k.items) for n, k in instruments.items()]
+    return spark.createDataFrame(rows, "instrument_id string, name string, item_count int")
+
+
+# fixed values: codes of generated events by entity, and the share of visits that have each
+EVENTS = {
+    "condition": ({"E11.9": "Type 2 diabetes", "I10": "Hypertension", "J45.909": "Asthma", "F32.9": "Depressive episode"}, 0.25),
+    "medication": ({"860975": "Metformin", "314076": "Lisinopril", "745679": "Albuterol"}, 0.2),
+    "procedure": ({"93000": "Electrocardiogram", "71046": "Chest radiograph"}, 0.15),
+    "immunization": ({"140": "Influenza", "208": "Coronavirus"}, 0.1),
+    "payer_claim": ({"claim": "Claim"}, 0.9),
+}
+VITALS = {"8310-5": ("Body temperature", "Cel", 36.0, 38.5), "8867-4": ("Heart rate", "/min", 50.0, 110.0), "8480-6": ("Systolic pressure", "mm[Hg]", 95.0, 165.0), "9279-1": ("Respiratory rate", "/min", 10.0, 24.0)}
+LABS = {"4548-4": (6.0, 1.5), "2345-7": (100.0, 30.0), "2160-0": (1.0, 0.4), "718-7": (14.0, 2.0)}
+
 
+def everything(spark: SparkSession, n: int, seed: int = 42, orphans: float = 0.01) -> dict[str, DataFrame]:
+    """All landing entities for n patients."""
+    people = patients(spark, n, seed)
+    visits, consent = encounters(people, seed), consents(people, seed=seed)
+    asked = administrations(people, consent, seed=seed)
+    answers = responses(asked, seed=seed)
+    out = {
+        "patient": people, "encounter": visits, "consent": consent, "observation": observations(visits, VITALS, seed), "lab_result": with_orphans(labs(visits, LABS, seed), "lab_result_id", "encounter_id", orphans, seed),
+        "organization": organizations(spark, max(1, n // 50), seed), "provider": providers(spark, max(1, n // 10), max(1, n // 50), ["medicine", "surgery", "psychiatry"], seed),
+        "survey_instrument": survey_instruments(spark), "survey_item": survey_items(spark), "survey_administration": asked.drop("answered"), "survey_response": answers, "survey_score": scores(asked, answers),
+    }
+    return out | {e: coded_events(visits, e[:3].upper(), codes, share, seed) for e, (codes, share) in EVENTS.items()}
 
-def write_landing(frames: dict[str, DataFrame], folder: str) -> None:
-    """One CSV with header per entity; meant for demonstration sizes."""
-    from pathlib import Path
 
-    Path(folder).mkdir(parents=True, exist_ok=True)
+def write_landing(frames: dict[str, DataFrame], folder: str, sample_rows: int | None = None) -> None:
+    """A folder of CSV files with header per entity, written where the rows lie; with `sample_rows`
+    only so many of each, as an example of the format."""
     for name, df in frames.items():
-        df.toPandas().to_csv(f"{folder}/{name}.csv", index=False)
+        rows = df if sample_rows is None else df.limit(sample_rows).coalesce(1)
+        rows.write.mode("overwrite").options(header=True, escape='"', emptyValue='""').csv(f"{folder}/{'survey' if name.startswith('survey_') else 'clinical'}/{name}.csv")

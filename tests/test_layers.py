@@ -188,8 +188,29 @@ def test_generator_is_seeded(spark):
     assert e.filter("discharge_ts < admit_ts").isEmpty() and e.join(p, "patient_id", "left_anti").isEmpty()
     labs = synth.with_orphans(synth.labs(e, {"718-7": (14.0, 2.0)}), "lab_result_id", "encounter_id", 0.2)
     assert 0 < labs.filter("encounter_id like 'ORPHAN-%'").count() < labs.count() / 2
-    s = synth.surveys(p, {"PHQ-9": (9, 0, 3)})
-    assert s.filter("total_score not between 0 and 27").isEmpty()
+    consent = synth.consents(p, 0.7)
+    asked = synth.administrations(p, consent)
+    answers = synth.responses(asked)
+    scored = synth.scores(asked, answers)
+    declined = {r.patient_id for r in consent.filter("consent_status <> 'granted'").collect()}
+    assert declined and not declined & {r.patient_id for r in asked.collect()}
+    assert {r.completion_status for r in asked.collect()} == {"complete", "partial"}
+    held = {}
+    for r in answers.collect():
+        k = synth.INSTRUMENTS[r.instrument_name]
+        assert k.lo <= r.value_num <= k.hi
+        held.setdefault(r.administration_id, []).append(r.value_num)
+    want = {r.administration_id: float(sum(held[r.administration_id])) for r in asked.collect() if len(held[r.administration_id]) >= synth.INSTRUMENTS[r.instrument_name].items - synth.INSTRUMENTS[r.instrument_name].spare}
+    assert {r.administration_id: r.total_score for r in scored.collect()} == want
+    for r in scored.filter("instrument_name = 'PHQ-9'").collect():
+        assert r.severity_band == ("none-minimal" if r.total_score <= 4 else "mild" if r.total_score <= 9 else "moderate" if r.total_score <= 14 else "moderately-severe" if r.total_score <= 19 else "severe")
+    assert {r.severity_band for r in scored.filter("instrument_name = 'SF-36'").collect()} <= {"n/a"}
+    waves = {}
+    for r in asked.select("patient_id", "wave").distinct().collect():
+        waves.setdefault(r.patient_id, set()).add(r.wave)
+    assert all("baseline" in w for w in waves.values()) and any(len(w) < 5 for w in waves.values())
+    seen = synth.observations(e, synth.VITALS)
+    assert 0 < seen.count() < 4 * e.count() and seen.filter("loinc_code = '8310-5' and value_num not between 36 and 38.5").isEmpty()
     assert one(spark, synth.severity(F.lit(12.0), {"low": 4, "mid": 14, "high": 27})) == "mid"
 
 

@@ -111,17 +111,16 @@ def test_settings(monkeypatch, tmp_path):
 
 
 def test_synthetic_landing(spark, tmp_path):
-    p = synth.patients(spark, 12)
-    e = synth.encounters(p)
-    frames = {
-        "patient": p, "encounter": e, "condition": synth.coded_events(e, "CND", {"E11": "Diabetes", "I10": "Hypertension"}, 0.4), "consent": synth.consents(p),
-        "organization": synth.organizations(spark, 3), "provider": synth.providers(spark, 5, 3, ["a", "b"]), "survey_item": synth.survey_items(spark, {"PHQ-9": (9, 0, 3)}),
-    }
+    frames = synth.everything(spark, 12, orphans=0.2)
+    assert set(frames) == set(landing.ENTITIES)
     synth.write_landing(frames, str(tmp_path / "in"))
     store = Store(spark, str(tmp_path / "lake"))
     first = landing.ingest_directory(store, str(tmp_path / "in"), "b1")
-    assert first["patient"] == 12 and first["condition"] > 0 and first["survey_item"] == 9 and first["medication"] == 0
+    assert first["patient"] == 12 and first["condition"] > 0 and first["survey_item"] == 85 and min(first.values()) > 0
     assert sum(landing.ingest_directory(store, str(tmp_path / "in"), "b2").values()) == 0
+    assert store.read("bronze", "survey_score_raw").select("_source_system").distinct().first()[0] == "survey_sim"
+    synth.write_landing({"patient": frames["patient"]}, str(tmp_path / "few"), 3)
+    assert landing.read_csv(spark, str(tmp_path / "few" / "clinical" / "patient.csv")).count() == 3
 
 
 def test_streams_follow_new_columns(spark, tmp_path):
