@@ -27,10 +27,15 @@ def entity_split(df: DataFrame, entity: str, test_share: float = 0.25, seed: int
 
 
 def temporal_split(df: DataFrame, at: str, train_share: float = 0.75) -> DataFrame:
-    """Adds `split`: rows up to the approximate `train_share` quantile of time are train; equal
-    times fall on one side."""
-    cut = df.agg(F.percentile_approx(at, train_share, 10_000)).first()[0]  # one value
-    return df.withColumn("split", F.when(F.col(at) <= F.lit(cut), "train").otherwise("test"))
+    """Adds `split`: in order of the (numeric) time, the first `train_share` of the rows are train,
+    and so is whatever has the time of the last of them; rows without a time are test. The cut is
+    exact: rows are counted per time, and counts added up per time slice."""
+    counts = written(df.filter(F.col(at).isNotNull()).groupBy(F.col(at).alias("t")).agg(F.count("*").alias("n")), "times")
+    k = int((counts.agg(F.sum("n")).first()[0] or 0) * train_share)
+    ranked = sum_before(sliced(counts, "t"), [], ["t"], "n", "below")
+    last = ranked.filter((F.col("below") < k) & (F.col("below") + F.col("n") >= k)).first()  # one row
+    train = F.col(at) <= F.lit(last["t"]) if last else F.lit(False)
+    return df.withColumn("split", F.when(train, "train").otherwise("test"))
 
 
 def fit_codes(train: DataFrame, column: str, most: int = 10_000) -> dict[str, int]:

@@ -298,6 +298,12 @@ SQL = {
     "noshow_label": f"select o_orderkey, {_LABEL} label from orders",
     "payer_bucket": "select c_custkey, ascii(c_mktsegment) % 3 bucket from customer",
     "entity_split": f"select o_orderkey, case when {_bucket('''('42|' || o_custkey::varchar)''', 10000)} < 2500 then 'test' else 'train' end split from orders",
+    "temporal_holdout": f"""with o as (select {_s('o_orderdate')} t, row_number() over (order by o_orderdate) r from orders), c as (select max(t) cut from o where r <= floor((select count(*) from o) * 0.75))
+      select case when t <= cut then 'train' else 'test' end split, min(t) first_s, max(t) last_s, count(*) n from o, c group by 1""",
+    "quarantine_payload": _PV + """select encounter_sk, 'orphan_patient' _quarantine_reason, '{' || concat_ws(',', '"encounter_sk":"' || encounter_sk || '"', '"care_setting":"' || care_setting || '"') || '}' _raw_payload_json
+      from conformed_encounter where patient_sk is null or patient_sk not in (select patient_sk from silver_patient)""",
+    "frame_checksum_mergeable": f"""with h as (select {_hash('c_custkey', 'c_mktsegment', 'c_name')} h from customer)
+      select count(*) "rows", sha256(concat_ws('|', {', '.join(f"sum(('0x' || substr(h, {1 + 16 * i}, 15))::bigint)::varchar" for i in range(4))})) checksum from h""",
     "category_codes": "with codes as (select c_mktsegment, row_number() over (order by c_mktsegment) - 1 code from (select distinct c_mktsegment from customer where c_mktsegment <> 'MACHINERY')) select c_custkey, coalesce(code, -1)::int code from customer left join codes using (c_mktsegment)",
     "subgroup_metrics": f"""with {_SCORED}, long as (select 'o_orderstatus' slice, o_orderstatus level, y, p from scored union all select 'o_orderpriority', o_orderpriority, y, p from scored),
       ranked as (select *, rank() over (partition by slice, level order by p) + (count(*) over (partition by slice, level, p) - 1) / 2.0 r from long)
