@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from strata.plans import problems, problems_sql, reference, reference_sql
+from strata.plans import operations, problems, problems_sql, reference, reference_sql
 
-QUERIES = {**problems.QUERIES, **reference.QUERIES}
-SQL = {**problems_sql.SQL, **reference_sql.SQL}
+QUERIES = {**problems.QUERIES, **reference.QUERIES, **operations.QUERIES}
+SQL = {**problems_sql.SQL, **reference_sql.SQL, **operations.SQL}

@@ -159,18 +159,22 @@ def _enc_rules(source: str) -> str:
     ])
 
 
-_ENC_RULES = _enc_rules("conformed_encounter")
-_LAB_RULES = " union all ".join([
-    _rule("key_present", "count(*) filter (lab_result_sk is null)", source="conformed_lab"), _rule("patient_present", "count(*) filter (patient_sk is null)", source="conformed_lab"),
-    _rule("test_named", "count(*) filter (loinc_code is null)", source="conformed_lab"), _rule("one_row_a_result", "count(*) - count(distinct lab_result_sk)", source="conformed_lab"),
-    _rule("value_in_bounds", "count(*) filter (value_num < -1 or value_num > 10000)", "count(value_num)", "conformed_lab"),
-])
-_PAT_RULES = " union all ".join([
-    _rule("key_present", "count(*) filter (patient_sk is null)", source="silver_patient"), _rule("one_current_row", "count(*) filter (is_current) - count(distinct case when is_current then patient_sk end)", "count(*) filter (is_current)", "silver_patient"),
-    _rule("known_sex", "count(*) filter (sex not in ('female', 'male', 'other', 'unknown'))", "count(sex)", "silver_patient"),
-    _rule("birth_year_of_a_living_memory", "count(*) filter (birth_year < 1900 or birth_year > 2024)", "count(birth_year)", "silver_patient"),
-    _rule("three_digit_area", "count(*) filter (not regexp_matches(zip3, '^[0-9]{3}$'))", "count(zip3)", "silver_patient"),
-])
+def _lab_rules(source: str) -> str:
+    return " union all ".join([
+        _rule("key_present", "count(*) filter (lab_result_sk is null)", source=source), _rule("patient_present", "count(*) filter (patient_sk is null)", source=source),
+        _rule("test_named", "count(*) filter (loinc_code is null)", source=source), _rule("one_row_a_result", "count(*) - count(distinct lab_result_sk)", source=source),
+        _rule("value_in_bounds", "count(*) filter (value_num < -1 or value_num > 10000)", "count(value_num)", source),
+    ])
+
+
+def _pat_rules(source: str) -> str:
+    return " union all ".join([
+        _rule("key_present", "count(*) filter (patient_sk is null)", source=source), _rule("one_current_row", "count(*) filter (is_current) - count(distinct case when is_current then patient_sk end)", "count(*) filter (is_current)", source),
+        _rule("known_sex", "count(*) filter (sex not in ('female', 'male', 'other', 'unknown'))", "count(sex)", source), _rule("birth_year_of_a_living_memory", "count(*) filter (birth_year < 1900 or birth_year > 2024)", "count(birth_year)", source),
+        _rule("three_digit_area", "count(*) filter (not regexp_matches(zip3, '^[0-9]{3}$'))", "count(zip3)", source),
+    ])
+
+
 # what each table of the layers reads, stated by hand
 _READS = {
     "restricted.patient_xref patient_xref": "bronze.patient_raw", "silver.patient silver_patient": "bronze.patient_raw", "silver.encounter silver_encounter": "bronze.encounter_raw silver.patient",
@@ -259,9 +263,9 @@ SQL = {
     "dash_readmission": _PV + "select age_band, count(*) index_stays, count(*) filter (readmission_30d) readmissions_30d, round(count(*) filter (readmission_30d) / count(*), 4)::double readmission_rate from fact_readmission join dim_patient using (patient_key) group by 1 having count(*) >= 11 order by 1",
     "dash_scores": _S + "select instrument_key, wave, count(*) n_responses, sum(total_score::decimal(18, 4))::double / count(*) mean_score, sum(change::decimal(18, 4))::double / count(change) mean_change from trajectory group by 1, 2 having count(*) >= 11 order by 1, 2",
     "dash_linkage": _ALL + "select count(distinct patient_key) patients_with_linkage, count(*) linkage_rows from mart_360 join fact_survey using (patient_key)",
-    "dq_encounter": _PV + _ENC_RULES,
-    "dq_lab": _PVL + _LAB_RULES,
-    "dq_patient": _P + _PAT_RULES,
+    "dq_encounter": _PV + _enc_rules("conformed_encounter"),
+    "dq_lab": _PVL + _lab_rules("conformed_lab"),
+    "dq_patient": _P + _pat_rules("silver_patient"),
     "dq_scorecard": _PV + f""", m as ({_enc_rules('silver_encounter')}) select 'silver.encounter' table_name, rule_id,
       case when (rows_scanned - rows_failed) / rows_scanned >= case rule_id when 'known_setting' then 0.8 when 'not_yet_to_come' then 0.99 else 1.0 end then 'pass' else 'fail' end status,
       round((rows_scanned - rows_failed) / rows_scanned, 6)::double pass_rate, rows_failed from m""",

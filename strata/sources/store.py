@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import json
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,7 +46,10 @@ class Store:
         return json.loads(text)
 
     def _read_parts(self, schema: str, table: str, parts: list[str]) -> DataFrame:
-        return self.spark.read.option("mergeSchema", len(parts) > 1).parquet(*[f"{self.path(schema, table)}/{p}" for p in parts])
+        paths = [f"{self.path(schema, table)}/{p}" for p in parts]
+        if len(paths) > 1 and any("=" in n for n in files.names(self.spark, paths[0])):  # partitions of several roots must be read apart
+            return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [self.spark.read.parquet(p) for p in paths])
+        return self.spark.read.option("mergeSchema", len(paths) > 1).parquet(*paths)
 
     def read(self, schema: str, table: str, version: int | None = None) -> DataFrame:
         return self._read_parts(schema, table, self._parts(schema, table, self.version(schema, table) if version is None else version))
