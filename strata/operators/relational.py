@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from strata.functions.privacy import record_hash
 from strata.functions.text import is_missing
 from strata.operators import sliced
+from strata.session import written
 
 TECHNICAL = ["_ingest_ts", "_source_system", "_source_file", "_file_modification_time", "_batch_id", "_record_hash", "_rescued_data", "_ingest_pipeline_version"]
 
@@ -125,19 +126,49 @@ def next_event_within(df: DataFrame, entity: str, start: str, end: str, key: str
     )
 
 
-def trailing(df: DataFrame, entity: str, at: str, seconds_back: int, aggregates: dict[str, Column], *, include_now: bool = False) -> DataFrame:
-    """Aggregates over the entity's rows of the last `seconds_back` seconds; those of the same
-    second only with `include_now`. `at` is a timestamp; rows without one see each other.
-
-    Time is cut into stretches as long as the frame; each row also stands, as context, in the
-    stretch after its own, so that frames never leave a (entity, stretch) group. However many rows
-    an entity has, a task gets those of two stretches."""
-    t = F.unix_timestamp(at)
-    stretch = F.floor(t / seconds_back)
-    spread = df.withColumn("_stretch_", F.explode(F.when(t.isNull(), F.array(F.lit(None).cast("long"))).otherwise(F.array(stretch, stretch + 1))))
-    w = Window.partitionBy(entity, "_stretch_").orderBy(F.unix_timestamp(at)).rangeBetween(-seconds_back, 0 if include_now else -1)
-    full = spread.select("*", *[a.over(w).alias(n) for n, a in aggregates.items()])
-    return full.filter(F.col("_stretch_").eqNullSafe(stretch)).drop("_stretch_")
+def trailing(
+    df: DataFrame, entity: str, at: str, seconds_back: int, sums: dict[str, Column], distinct: dict[str, Column] | None = None, *, include_now: bool = False,
+) -> DataFrame:
+    """Adds sums, and counts of distinct non-null values, over the entity's rows of the last
+    `seconds_back` seconds; rows of the same second count only with `include_now`. `at` is a
+    timestamp; a null summand counts as 0.
+
+    Each row adds its summands at its time and takes them back `seconds_back` later, so the sum
+    over the frame is a running sum of such steps, which is found per time slice: a hot entity is
+    spread over tasks. A value is there from an occurrence until `seconds_back` after the last
+    that follows within that time, so distinct values are counted by steps, too. Rows without an
+    entity or a time have no rows before them: their figures are 0."""
+    distinct = distinct or {}
+    names = [*sums, *distinct]
+    cols = df.columns
+    src = df.select(F.struct(*cols).alias("_row"), F.col(entity).alias("_e"), F.unix_timestamp(at).alias("_t"), *[c.alias(f"_v_{n}") for n, c in (sums | distinct).items()])
+    usable = F.col("_e").isNotNull() & F.col("_t").isNotNull()
+    base = written(src.filter(usable), "trailing")
+    after, own, leaving = F.lit(2), F.lit(1), F.lit(2)
+    arriving = F.lit(0) if include_now else after
+    zero = {n: F.coalesce(F.col(f"_v_{n}"), F.lit(0)) for n in sums}
+
+    def step(t: Column, phase: Column, row: Column, values: dict[str, Column]) -> Column:
+        return F.struct(t.alias("_t"), phase.alias("_phase"), row.alias("_row"), *[values[n].alias(f"_d_{n}") for n in names])
+
+    none = {n: c * 0 for n, c in zero.items()} | {n: F.lit(0).cast("long") for n in distinct}
+    nothing = F.lit(None).cast(base.schema["_row"].dataType)
+    steps = [
+        step(F.col("_t"), own, F.col("_row"), none), step(F.col("_t"), arriving, nothing, none | zero), step(F.col("_t") + seconds_back, leaving, nothing, none | {n: -c for n, c in zero.items()}),
+    ]
+    points = base.select("_e", F.explode(F.array(*steps)).alias("x")).select("_e", "x.*")
+    for n in distinct:
+        kept = base.filter(F.col(f"_v_{n}").isNotNull()).select("_e", F.col(f"_v_{n}").alias("_v"), "_t").distinct()
+        keys = ["_e", "_v"]
+        near = sliced.neighbour(sliced.previous(sliced.sliced(kept, "_t"), keys, ["_t"], ["_t"]), keys, ["_t"], ["_t"], "next_", ahead=True)
+        one = lambda t, phase, sign, n=n: F.struct(t.alias("_t"), phase.alias("_phase"), F.lit(sign).cast("long").alias(f"_d_{n}"))
+        begins = F.when(F.col("prev__t").isNull() | (F.col("_t") - F.col("prev__t") > seconds_back), one(F.col("_t"), arriving, 1))
+        ends = F.when(F.col("next__t").isNull() | (F.col("next__t") - F.col("_t") > seconds_back), one(F.col("_t") + seconds_back, leaving, -1))
+        points = points.unionByName(near.select("_e", F.explode(F.array_compact(F.array(begins, ends))).alias("x")).select("_e", "x.*"), allowMissingColumns=True)
+    points = points.select("_e", "_t", "_phase", "_row", *[F.coalesce(f"_d_{n}", F.lit(0)).alias(f"_d_{n}") for n in names])
+    run = sliced.sums_before(sliced.sliced(points, "_t"), ["_e"], ["_t", "_phase"], {n: f"_d_{n}" for n in names}).filter("_phase = 1").select("_row", *names)
+    rest = src.filter(~usable).select("_row", *[F.lit(0).cast(run.schema[n].dataType).alias(n) for n in names])
+    return run.unionByName(rest).select(*[F.col("_row")[c].alias(c) for c in cols], *names)
 
 
 def baseline_delta(df: DataFrame, keys: Sequence[str], stage: str, score: str, baseline: str = "baseline", threshold: float = 5.0) -> DataFrame:

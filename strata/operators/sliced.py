@@ -151,14 +151,21 @@ def filled_forward(df: DataFrame, keys: list[str], order: str, columns: list[str
     )
 
 
-def sum_before(df: DataFrame, keys: list[str], order: list, value: str, out: str, slice_col: str = "_slice") -> DataFrame:
-    """Adds `out`: the sum of `value` over the rows of the keys before this one, exact across
-    slices; 0 in the first. `order` must be total for a defined result."""
+def sums_before(df: DataFrame, keys: list[str], order: list, values: dict[str, str], slice_col: str = "_slice") -> DataFrame:
+    """Adds for each out -> value of `values` the sum of the value over the rows of the keys before
+    this one, exact across slices; 0 in the first. `order` must be total for a defined result."""
     early = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
     total = lambda w, c: F.coalesce(F.sum(c).over(early(w)), F.lit(0))
-    carry = _carried(df, keys, [F.sum(value).alias("_s")], {"_earlier": lambda w: total(w, "_s")}, slice_col)
-    local = df.withColumn(out, total(Window.partitionBy(*keys, slice_col).orderBy(*order), value))
-    return local.join(carry, [*keys, slice_col]).withColumn(out, F.col(out) + F.col("_earlier")).drop("_earlier")
+    outs = list(values)
+    carry = _carried(df, keys, [F.sum(v).alias(f"_s_{o}") for o, v in values.items()], {f"_e_{o}": (lambda w, o=o: total(w, f"_s_{o}")) for o in outs}, slice_col)
+    w = Window.partitionBy(*keys, slice_col).orderBy(*order)
+    local = df.select("*", *[total(w, v).alias(f"_o_{o}") for o, v in values.items()]).join(carry, [*keys, slice_col])
+    return local.select(*df.columns, *[(F.col(f"_o_{o}") + F.col(f"_e_{o}")).alias(o) for o in outs])
+
+
+def sum_before(df: DataFrame, keys: list[str], order: list, value: str, out: str, slice_col: str = "_slice") -> DataFrame:
+    """`sums_before` of one value."""
+    return sums_before(df, keys, order, {out: value}, slice_col)
 
 
 def _cell(v: Column) -> Column:

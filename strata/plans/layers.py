@@ -195,7 +195,7 @@ def ft_trailing_90d(spark: SparkSession, d: str) -> DataFrame:
     setting = F.col("care_setting_key")
     out = rel.trailing(
         fact_encounter(spark, d), "patient_key", "admit_ts", 90 * 86_400,
-        {"encounters_90d": F.count("*"), "inpatient_90d": F.sum((setting == "inpatient").cast("int")), "ed_90d": F.sum((setting == "emergency").cast("int")), "los_s_90d": F.sum("los_s")},
+        {"encounters_90d": F.lit(1), "inpatient_90d": (setting == "inpatient").cast("int"), "ed_90d": (setting == "emergency").cast("int"), "los_s_90d": F.col("los_s")},
     ).withColumn("feature_as_of", F.to_date("admit_ts"))
     names = ["encounters_90d", "inpatient_90d", "ed_90d", "los_s_90d"]
     last = out.groupBy("patient_key", "feature_as_of").agg(F.max(F.struct("admit_ts", "encounter_key", *names)).alias("m"))
@@ -207,9 +207,9 @@ def ft_lab_trend_180d(spark: SparkSession, d: str) -> DataFrame:
     v = F.col("value_num").cast("decimal(18,4)")
     out = rel.trailing(
         fact_lab(spark, d).filter("resulted_ts is not null"), "patient_key", "resulted_ts", 180 * 86_400,
-        {"labs_180d": F.count("*"), "_tests": F.collect_set("lab_test_key"), "_s": F.sum(v), "_n": F.count(v)}, include_now=True,
+        {"labs_180d": F.lit(1), "_s": v, "_n": v.isNotNull().cast("int")}, {"tests_180d": F.col("lab_test_key")}, include_now=True,
     )
-    return out.select("patient_key", "lab_result_key", "labs_180d", F.size("_tests").cast("long").alias("tests_180d"), (F.col("_s").cast("double") / F.col("_n")).alias("mean_value_180d"))
+    return out.select("patient_key", "lab_result_key", "labs_180d", "tests_180d", F.when(F.col("_n") > 0, F.col("_s").cast("double") / F.col("_n")).alias("mean_value_180d"))
 
 
 @layer("ml.ft_prom_scores")

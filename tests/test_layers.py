@@ -391,14 +391,15 @@ def test_trailing_and_next_against_brute_force(spark):
 
     rng = random.Random(2)
     data = [(i, "hot" if rng.random() < 0.6 else "b", rng.randrange(0, 4000) if rng.random() > 0.02 else None) for i in range(300)]
-    df = spark.createDataFrame(data, "id long, k string, s long").select("id", "k", F.timestamp_seconds("s").alias("at"))
-    got = {r.id: r.n for r in rel.trailing(df, "k", "at", 500, {"n": F.count("*")}).collect()}
-    now = {r.id: r.n for r in rel.trailing(df, "k", "at", 500, {"n": F.count("*")}, include_now=True).collect()}
+    df = spark.createDataFrame(data, "id long, k string, s long").select("id", "k", F.timestamp_seconds("s").alias("at"), (F.col("id") % 7).alias("v"), F.when(F.col("id") % 5 > 0, F.col("id") % 11).alias("c"))
+    figures = lambda **kw: {r.id: (r.n, r.total, r.kinds) for r in rel.trailing(df, "k", "at", 500, {"n": F.lit(1), "total": F.col("v")}, {"kinds": F.col("c")}, **kw).collect()}
+    got, now = figures(), figures(include_now=True)
     for i, k, s in data:
-        if s is not None:
-            assert got[i] == sum(1 for _, kk, x in data if kk == k and x is not None and s - 500 <= x <= s - 1)
-            assert now[i] == sum(1 for _, kk, x in data if kk == k and x is not None and s - 500 <= x <= s)
+        for found, upto in ((got, 1), (now, 0)):
+            own = [j for j, kk, x in data if s is not None and kk == k and x is not None and s - 500 <= x <= s - upto]
+            assert found[i] == (len(own), sum(j % 7 for j in own), len({j % 11 for j in own if j % 5 > 0}))
     assert len(got) == len(data)
+    assert rel.trailing(df.limit(0), "k", "at", 500, {"n": F.lit(1)}).count() == 0
     again = {r.id: r.again for r in rel.next_event_within(df.withColumn("end", F.lit(None).cast("timestamp")), "k", "at", "end", "id", 10 / 86_400).collect()}
     for k in ("hot", "b"):
         own = sorted((s, i) for i, kk, s in data if kk == k and s is not None)
