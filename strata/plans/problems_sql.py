@@ -155,7 +155,7 @@ counted as (select t, c, b, v, count(*) n from long where v is not null group by
 vals as (select t, c, v, sum(n) n, sum(sum(n)) over (partition by t, c) held from counted group by 1, 2, 3),
 grid as (select l.t, l.c, l.b, l.held, coalesce(x.n, 0) / l.held p, (v.n / v.held)::double q from loads l join vals v on v.t = l.t and v.c = l.c left join counted x on x.t = l.t and x.c = l.c and x.b = l.b and x.v = v.v where l.held > 0),
 away as (select t, c, b, sum(abs(p - q)) / 2 variation, sum((p - q) * ln(greatest(p, 1e-6) / greatest(q, 1e-6))) psi, sum((p - q) * (p - q) / q * held) chi_square from grid group by 1, 2, 3)
-select t table_name, c column_name, b batch_id, "rows", nulls, distinct_values, breaches, min_value, max_value, min_number, max_number, round(variation, 6) variation, round(psi, 6) psi, round(chi_square, 3) chi_square
+select t table_name, c column_name, b batch_id, "rows", nulls, distinct_values, breaches, min_value, max_value, min_number, max_number, round(variation + 1e-10, 6) variation, round(psi + 1e-10, 6) psi, round(chi_square + 1e-7, 3) chi_square
 from loads left join away using (t, c, b)"""
 
 
