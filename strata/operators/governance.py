@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from strata import config
 from strata.sources import files
 
+# fixed values: groups that hold everyone
 EVERYONE = {"account users", "users", "all users"}
 
 

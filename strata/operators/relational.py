@@ -13,6 +13,7 @@ from strata.functions.text import is_missing
 from strata.operators import sliced
 from strata.session import written
 
+# fixed values: technical columns of Bronze
 TECHNICAL = ["_ingest_ts", "_source_system", "_source_file", "_file_modification_time", "_batch_id", "_record_hash", "_rescued_data", "_ingest_pipeline_version"]
 
 
@@ -144,6 +145,8 @@ def trailing(
     src = df.select(F.struct(*cols).alias("_row"), F.col(entity).alias("_e"), F.unix_timestamp(at).alias("_t"), *[c.alias(f"_v_{n}") for n, c in (sums | distinct).items()])
     usable = F.col("_e").isNotNull() & F.col("_t").isNotNull()
     base = written(src.filter(usable), "trailing")
+    cuts = sliced.boundaries(base, "_t")
+    cut = lambda rows: rows.withColumn("_slice", sliced.slice_of(F.col("_t"), cuts).cast("int"))
     after, own, leaving = F.lit(2), F.lit(1), F.lit(2)
     arriving = F.lit(0) if include_now else after
     zero = {n: F.coalesce(F.col(f"_v_{n}"), F.lit(0)) for n in sums}
@@ -160,13 +163,13 @@ def trailing(
     for n in distinct:
         kept = base.filter(F.col(f"_v_{n}").isNotNull()).select("_e", F.col(f"_v_{n}").alias("_v"), "_t").distinct()
         keys = ["_e", "_v"]
-        near = sliced.neighbour(sliced.previous(sliced.sliced(kept, "_t"), keys, ["_t"], ["_t"]), keys, ["_t"], ["_t"], "next_", ahead=True)
+        near = sliced.neighbour(sliced.previous(cut(kept), keys, ["_t"], ["_t"]), keys, ["_t"], ["_t"], "next_", ahead=True)
         one = lambda t, phase, sign, n=n: F.struct(t.alias("_t"), phase.alias("_phase"), F.lit(sign).cast("long").alias(f"_d_{n}"))
         begins = F.when(F.col("prev__t").isNull() | (F.col("_t") - F.col("prev__t") > seconds_back), one(F.col("_t"), arriving, 1))
         ends = F.when(F.col("next__t").isNull() | (F.col("next__t") - F.col("_t") > seconds_back), one(F.col("_t") + seconds_back, leaving, -1))
         points = points.unionByName(near.select("_e", F.explode(F.array_compact(F.array(begins, ends))).alias("x")).select("_e", "x.*"), allowMissingColumns=True)
     points = points.select("_e", "_t", "_phase", "_row", *[F.coalesce(f"_d_{n}", F.lit(0)).alias(f"_d_{n}") for n in names])
-    run = sliced.sums_before(sliced.sliced(points, "_t"), ["_e"], ["_t", "_phase"], {n: f"_d_{n}" for n in names}).filter("_phase = 1").select("_row", *names)
+    run = sliced.sums_before(cut(points), ["_e"], ["_t", "_phase"], {n: f"_d_{n}" for n in names}).filter("_phase = 1").select("_row", *names)
     rest = src.filter(~usable).select("_row", *[F.lit(0).cast(run.schema[n].dataType).alias(n) for n in names])
     return run.unionByName(rest).select(*[F.col("_row")[c].alias(c) for c in cols], *names)
 

@@ -207,9 +207,9 @@ def ft_lab_trend_180d(spark: SparkSession, d: str) -> DataFrame:
     v = F.col("value_num").cast("decimal(18,4)")
     out = rel.trailing(
         fact_lab(spark, d).filter("resulted_ts is not null"), "patient_key", "resulted_ts", 180 * 86_400,
-        {"labs_180d": F.lit(1), "_s": v, "_n": v.isNotNull().cast("int")}, {"tests_180d": F.col("lab_test_key")}, include_now=True,
+        {"labs_180d": F.lit(1), "_s": (v * 10_000).cast("long"), "_n": v.isNotNull().cast("int")}, {"tests_180d": F.col("lab_test_key")}, include_now=True,
     )
-    return out.select("patient_key", "lab_result_key", "labs_180d", "tests_180d", F.when(F.col("_n") > 0, F.col("_s").cast("double") / F.col("_n")).alias("mean_value_180d"))
+    return out.select("patient_key", "lab_result_key", "labs_180d", "tests_180d", F.when(F.col("_n") > 0, F.col("_s") / 10_000.0 / F.col("_n")).alias("mean_value_180d"))
 
 
 @layer("ml.ft_prom_scores")

@@ -1,3 +1,5 @@
-select cast(date_format(date_trunc('month', usage_date), 'yyyyMM') as int) usage_month, coalesce(get_json_object(usage_metadata, '$.job_name'), 'untagged') pipeline,
-  coalesce(get_json_object(custom_tags, '$.Owner'), 'unknown') owner, sum(usage_quantity) units, sum(usage_quantity) * cast({rate} as decimal(9,4)) cost
-from ops_usage group by 1, 2, 3 order by 1 desc, 4 desc
+with metered as (
+  select year(usage_date) * 100 + month(usage_date) usage_month, from_json(usage_metadata, 'job_name string').job_name job, from_json(custom_tags, 'Owner string').Owner tagged, usage_quantity q from ops_usage
+)
+select usage_month, coalesce(job, 'untagged') pipeline, coalesce(tagged, 'unknown') owner, sum(q) units, sum(q) * cast({rate} as decimal(9,4)) cost
+from metered group by all order by usage_month desc, units desc

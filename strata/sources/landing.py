@@ -9,6 +9,7 @@ from strata.operators.relational import TECHNICAL, anti_seen, require_columns, w
 from strata.sources import files
 from strata.sources.store import Store
 
+# fixed values: entities of a landing folder
 ENTITIES = [
     "patient", "encounter", "condition", "observation", "lab_result", "medication", "procedure", "immunization", "provider", "organization",
     "payer_claim", "consent", "survey_instrument", "survey_item", "survey_administration", "survey_response", "survey_score",
