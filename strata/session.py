@@ -44,12 +44,27 @@ def shared_folder(spark: SparkSession) -> str:
     return own
 
 
+_made: list[tuple[SparkSession, str]] = []
+
+
+def release() -> int:
+    """Removes all lineage cuts made so far; how many there were. For long sessions, once the
+    results that read them are saved; otherwise they go when the driver ends."""
+    n = len(_made)
+    while _made:
+        files.remove(*_made.pop())
+    return n
+
+
+atexit.register(release)
+
+
 def written(df: DataFrame, label: str = "cut") -> DataFrame:
     """Cut the lineage of `df`: write it once as a compressed table in the shared folder and read
-    it back. Lost executors cost nothing, since no copy lives on them. The table is removed when
-    the driver ends."""
+    it back. Lost executors cost nothing, since no copy lives on them. The table is removed by
+    `release` or when the driver ends."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/strata-{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    atexit.register(files.remove, spark, path)
+    _made.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)

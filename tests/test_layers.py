@@ -180,6 +180,30 @@ def test_scanner(spark, tmp_path):
     assert found.count() == 1 == scanner.exit_code(found) and scanner.exit_code(found.limit(0)) == 0
 
 
+def test_scanner_needs_nothing_that_a_match_lacks(spark):
+    """The cheap test before each pattern lets every match through."""
+    import re
+
+    rng = random.Random(5)
+    seeds = ["123-45-6789", "npi: 1234567890", "NPI#1234567890", "mrn-ab12cd34", "MRN AB12CD34", "a.b@c.de", "+1 (555) 123-4567", "555.123.4567", "12345-6789", "DOB: 2001-02-03", "date of birth = 1/2/2003", "date_of-birth:11/12/2003"]
+    lines = ["".join(rng.choice([rng.choice(seeds), rng.choice("ab -./:12@#")]) for _ in range(6)) for _ in range(800)]
+    got = {(r.id, r.pattern) for r in scanner.scan_lines(spark.createDataFrame(list(enumerate(lines)), "id int, text string"), F.col("text"), ["id"]).collect()}
+    want = {(i, n) for i, t in enumerate(lines) for n, p in scanner.PATTERNS.items() if re.search(p, t, re.ASCII)}
+    assert got == want and {n for _, n in want} == set(scanner.PATTERNS)
+
+
+def test_cuts_are_released(spark):
+    import os
+
+    from strata import session
+
+    session.release()
+    cut = session.written(spark.range(5), "some")
+    path = cut.inputFiles()[0].removeprefix("file://")
+    assert cut.count() == 5 and os.path.exists(path)
+    assert session.release() == 1 and not os.path.exists(path)
+
+
 def test_generator_is_seeded(spark):
     p = synth.patients(spark, 30)
     e = synth.encounters(p)
