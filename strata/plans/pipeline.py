@@ -70,9 +70,10 @@ def validate_silver(lake: Lake, ruled: Mapping[str, list[rules.Rule]] | None = N
     return reports
 
 
-def build_gold(lake: Lake, ruled: Mapping[str, list[rules.Rule]] | None = None, *, alert=None) -> dict[str, int]:
-    """Gold from the stored Silver, once it has passed the gate."""
-    validate_silver(lake, ruled, alert=alert)
+def build_gold(lake: Lake, ruled: Mapping[str, list[rules.Rule]] | None = None, *, enforce: bool = True, alert=None) -> dict[str, int]:
+    """Gold from the stored Silver, once it has passed the gate; without `enforce` also if it has
+    not."""
+    validate_silver(lake, ruled, enforce=enforce, alert=alert)
     return _publish(lake, GOLD)
 
 
@@ -80,12 +81,13 @@ def build_features(lake: Lake) -> dict[str, int]:
     return _publish(lake, FEATURES)
 
 
-def run(lake: Lake, landing_folder: str, batch_id: str) -> dict[str, int]:
-    """Landing files to Bronze, Silver, gate, Gold and features; each step logged."""
+def run(lake: Lake, landing_folder: str, batch_id: str, *, enforce: bool = True) -> dict[str, int]:
+    """Landing files to Bronze, Silver, gate, Gold and features; each step logged. Without
+    `enforce` the gate measures and keeps its results, but blocks nothing."""
     out: dict[str, int] = {}
     for step, build in {
         "bronze": lambda: landing.ingest_directory(lake.store, landing_folder, batch_id), "silver": lambda: build_silver(lake, batch_id),
-        "gold": lambda: build_gold(lake), "features": lambda: build_features(lake),
+        "gold": lambda: build_gold(lake, enforce=enforce), "features": lambda: build_features(lake),
     }.items():
         got = build()
         log_run(lake.store, step, got)

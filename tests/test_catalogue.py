@@ -67,3 +67,18 @@ def test_models(spark, sf):
     assert pairs and all(r.gap <= 0.2 for r in pairs) and len(pairs) == len({r.treated for r in pairs}) == len({r.control for r in pairs})
     # the nearest control is taken, not any within the caliper
     assert sum(r.gap for r in pairs) / len(pairs) < 0.1
+
+
+@pytest.fixture
+def yet_unborn(sf, tmp_path):
+    """The tables, with a year to come as the last delivered birth year of one patient."""
+    for p in glob.glob(f"{sf}/*.parquet"):
+        os.symlink(p, tmp_path / os.path.basename(p))
+    os.remove(tmp_path / "patient.parquet")
+    last = "row_number() over (order by patient_id is null or birth_year is null, _ingest_ts desc, patient_id) = 1"
+    duckdb.execute(f"copy (select * replace (case when {last} then 2027 else birth_year end as birth_year) from '{sf}/patient.parquet') to '{tmp_path}/patient.parquet' (format parquet)")
+    return str(tmp_path)
+
+
+def test_chained_mart_where_a_rule_fails(spark, yet_unborn):
+    compare(catalogue.QUERIES["chain_patient_360"](spark, yet_unborn), catalogue.SQL["chain_patient_360"], yet_unborn)
