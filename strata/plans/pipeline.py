@@ -72,8 +72,10 @@ def validate_silver(lake: Lake, ruled: Mapping[str, list[rules.Rule]] | None = N
 
 def build_gold(lake: Lake, ruled: Mapping[str, list[rules.Rule]] | None = None, *, enforce: bool = True, alert=None) -> dict[str, int]:
     """Gold from the stored Silver, once it has passed the gate; without `enforce` also if it has
-    not."""
-    validate_silver(lake, ruled, enforce=enforce, alert=alert)
+    not, which the run log then tells with the failures of error rules by table."""
+    reports = validate_silver(lake, ruled, enforce=enforce, alert=alert)
+    if over := {r.table: sum(x.failed for x in r.blocking) for r in reports.values() if not r.passed}:
+        log_run(lake.store, "gate", over, status="passed over")
     return _publish(lake, GOLD)
 
 

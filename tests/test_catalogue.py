@@ -9,7 +9,8 @@ import duckdb
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(__file__)))
-from strata.plans import catalogue
+from strata.operators import rules
+from strata.plans import catalogue, pipeline, reference
 
 SLOW = {"p5_rolling"}
 
@@ -82,3 +83,13 @@ def yet_unborn(sf, tmp_path):
 
 def test_chained_mart_where_a_rule_fails(spark, yet_unborn):
     compare(catalogue.QUERIES["chain_patient_360"](spark, yet_unborn), catalogue.SQL["chain_patient_360"], yet_unborn)
+
+
+def test_run_log_where_a_rule_fails(spark, yet_unborn, monkeypatch):
+    lake = reference._chained(spark, yet_unborn)
+    monkeypatch.setattr(reference, "_chained", lambda *_: lake)
+    compare(catalogue.QUERIES["chain_run_log"](spark, yet_unborn), catalogue.SQL["chain_run_log"], yet_unborn)
+    over = lake.store.read("ops", "pipeline_run_log").filter("status <> 'ok'").select("step", "table_name", "rows", "status")
+    assert [tuple(r) for r in over.collect()] == [("gate", "silver.patient", 1, "passed over")]
+    with pytest.raises(rules.PromotionBlocked):
+        pipeline.build_gold(lake)
